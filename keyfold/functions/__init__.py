@@ -6,6 +6,7 @@ from keyfold.functions.values import (
     let,
     long_of,
     object_json,
+    quoted,
     render_object,
     text_of,
 )
@@ -19,6 +20,7 @@ __all__ = [
     "let",
     "long_of",
     "object_json",
+    "quoted",
     "render_object",
     "text_of",
 ]

@@ -20,15 +20,14 @@ def _text(value: Column) -> Column:
     """A variant as text: strings unquoted, JSON null as SQL null, objects and arrays as JSON.
 
     Variants drop the zero fraction of ``5.0``. Parsed from JSON, a whole number of up to 18 digits
-    is stored as a decimal only when it had a fraction, so the fraction can be put back.
+    is stored as a decimal only when it had a fraction, so the fraction can be put back. Text that
+    starts after the digits cannot be a number, which spares most values the closer look.
     """
-
-
-    def with_fraction(text: Column) -> Column:
-        had_fraction = text.rlike(r"^-?\d{1,18}$") & F.schema_of_variant(value).startswith("DECIMAL")
-        return F.when(had_fraction, F.concat(text, F.lit(".0"))).otherwise(text)
-
-    return let(value.cast("string"), with_fraction)
+    text = value.cast("string")
+    had_fraction = (
+        (text < ":") & text.rlike(r"^-?\d{1,18}$") & F.schema_of_variant(value).startswith("DECIMAL")
+    )
+    return F.when(had_fraction, F.concat(text, F.lit(".0"))).otherwise(text)
 
 
 def text_of(fields: Column, name: str) -> Column:
@@ -36,40 +35,34 @@ def text_of(fields: Column, name: str) -> Column:
     return _text(fields[name])
 
 
-def _whole_number(text: Column, sql_type: str, otherwise: Column | None = None) -> Column:
-    """Whole number from text. Absent, null and '' count as 0, fractions are cut off, booleans are
-    1 or 0, thousands commas are ignored. Null means the text is no number of that type."""
-    plain = F.replace(text, F.lit(","), F.lit(""))
-    candidates = [
-        plain.try_cast(sql_type),
-        F.when(plain.rlike(r"^[+-]?\d+\.\d*$"), F.substring_index(plain, ".", 1).try_cast(sql_type)),
-        # exponent form; plain decimals never reach the lossy double
-        F.when(plain.rlike(r"[eE]"), plain.try_cast("double").try_cast(sql_type)),
-    ]
-    if otherwise is not None:
-        candidates.append(otherwise)
-    return (
-        F.when(text.isNull() | text.isin("", "null", "NULL"), F.lit(0).cast(sql_type))
-        .when(text == "true", F.lit(1).cast(sql_type))
-        .when(text == "false", F.lit(0).cast(sql_type))
-        .otherwise(F.coalesce(*candidates))
+def _whole_number(value: Column, sql_type: str, otherwise: Callable[[Column], Column] | None = None) -> Column:
+    """Whole number from a variant. Absent, null and '' count as 0, fractions are cut off, booleans
+    are 1 or 0, text may have thousands commas. Null means the value is no number of that type."""
+
+    def from_text(text: Column) -> Column:
+        plain = F.replace(text, F.lit(","), F.lit("")).try_cast(sql_type)
+        return F.when(text.isin("", "null", "NULL"), F.lit(0).cast(sql_type)).otherwise(
+            F.coalesce(plain, otherwise(text)) if otherwise else plain
+        )
+
+    number = F.try_variant_get(value, "$", sql_type)
+    return F.when(value.isNull() | F.is_variant_null(value), F.lit(0).cast(sql_type)).otherwise(
+        F.coalesce(number, let(value.cast("string"), from_text))
     )
 
 
 def int_of(fields: Column, name: str) -> Column:
     """Integer read, see :func:`_whole_number`."""
-    return let(text_of(fields, name), lambda text: _whole_number(text, "int"))
+    return _whole_number(fields[name], "int")
 
 
 def long_of(fields: Column, name: str) -> Column:
     """Long read. ISO date text is read as epoch milliseconds in the session time zone."""
 
+    def from_date(text: Column) -> Column:
+        return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), F.unix_millis(text.try_cast("timestamp")))
 
-    def number(text: Column) -> Column:
-        as_date = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), F.unix_millis(text.try_cast("timestamp")))
-        return _whole_number(text, "bigint", as_date)
-
-    return let(text_of(fields, name), number)
+    return _whole_number(fields[name], "bigint", from_date)
 
 
 def is_object(value: Column) -> Column:
@@ -87,6 +80,11 @@ def object_json(fields: Column) -> Column:
     return F.to_json(F.map_filter(fields, lambda _, v: ~F.is_variant_null(v)))
 
 
+def quoted(text: Column) -> Column:
+    """Text as a JSON string."""
+    return let(F.to_json(F.array(text)), lambda listed: F.substr(listed, F.lit(2), F.length(listed) - 2))
+
+
 def render_object(entries: Column, name: str, token: str) -> Column:
     """JSON object text from an array of structs holding a key and a finished JSON token.
 
@@ -95,7 +93,6 @@ def render_object(entries: Column, name: str, token: str) -> Column:
     pairs = F.array_sort(F.transform(entries, lambda e: F.struct(e[name].alias("k"), e[token].alias("v"))))
 
     def member(pair: Column) -> Column:
-        quoted = F.to_json(F.array(pair["k"]))
-        return F.concat(F.substr(quoted, F.lit(2), F.length(quoted) - 2), F.lit(":"), pair["v"])
+        return F.concat(quoted(pair["k"]), F.lit(":"), pair["v"])
 
     return F.concat(F.lit("{"), F.array_join(F.transform(pairs, member), ","), F.lit("}"))

@@ -20,8 +20,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keyfold.functions import is_object, json_token, render_object
-from keyfold.operators.merge import STATE_KEY, TIME_ORDER, _latest_per_shape, drop_null_fields, order_key
+from keyfold.functions import is_object, json_token, quoted, render_object
+from keyfold.operators.merge import (
+    STATE_KEY,
+    TIME_ORDER,
+    drop_null_fields,
+    field_names,
+    latest_per_shape,
+    order_key,
+)
 
 _NODE = (
     T.StructType()
@@ -94,39 +101,41 @@ def state_rows(
     docs = docs.select("id", "fields", *TIME_ORDER)
     if null_policy == "ignore":
         docs = drop_null_fields(docs)
-    leaf = F.struct(
-        F.array("_field").alias("path"), F.lit(False).alias("is_object"), json_token(F.col("_val")).alias("token")
-    )
-    if not nested:
-        flat = _latest_per_shape(docs, order).select("id", *TIME_ORDER, F.explode("fields").alias("_field", "_val"))
-        return merge_rows(flat.select("id", *TIME_ORDER, leaf.alias("_n")).select("id", "_n.*", *TIME_ORDER), order)
-
-    objects = F.map_filter("fields", lambda _, v: is_object(v))
-    scalars = F.map_filter("fields", lambda _, v: ~is_object(v))
-    split = docs.select(
-        "id", *TIME_ORDER, scalars.alias("_scalars"), F.when(F.size(objects) > 0, F.to_json(objects)).alias("_objects")
-    )
-    flattened = split.select(
-        "id",
-        *TIME_ORDER,
-        F.concat(
-            F.transform(
-                F.map_entries("_scalars"),
-                lambda e: F.struct(
-                    F.array(e["key"]).alias("path"),
-                    F.lit(False).alias("is_object"),
-                    json_token(e["value"]).alias("token"),
-                ),
-            ),
-            F.coalesce(_flatten_objects("_objects"), F.array().cast(_NODES)),
-        ).alias("_nodes"),
+    # messages of one shape write the same paths, so the newest of them is enough
+    shape = _path_shape if nested else field_names
+    docs = latest_per_shape(docs, shape(F.col("fields")), order)
+
+    leaves = F.map_filter("fields", lambda _, v: ~is_object(v)) if nested else F.col("fields")
+    nodes = F.transform(
+        F.map_entries(leaves),
+        lambda e: F.struct(
+            F.array(e["key"]).alias("path"), F.lit(False).alias("is_object"), json_token(e["value"]).alias("token")
+        ),
     )
-    rows = flattened.select("id", F.inline("_nodes"), *TIME_ORDER)
-    if null_policy == "ignore":
+    if nested:
+        objects = F.map_filter("fields", lambda _, v: is_object(v))
+        text = F.when(F.size(objects) > 0, F.to_json(objects))
+        nodes = F.concat(nodes, F.coalesce(_flatten_objects(text), F.array().cast(_NODES)))
+    # the outer form, since Catalyst would add a filter that runs the Python function once more
+    rows = docs.select("id", *TIME_ORDER, F.inline_outer(nodes)).filter(F.col("path").isNotNull())
+    if nested and null_policy == "ignore":
         rows = rows.filter(F.col("is_object") | (F.col("token") != "null"))
     return merge_rows(rows, order)
 
 
+def _path_shape(fields: Column) -> Column:
+    """The field names of a message, and for nested objects the names and types below them."""
+    entries = F.map_entries(fields)
+    return F.array_sort(
+        F.transform(
+            entries,
+            lambda e: F.struct(
+                e["key"].alias("name"), F.when(is_object(e["value"]), F.schema_of_variant(e["value"])).alias("below")
+            ),
+        )
+    )
+
+
 def merge_rows(rows: DataFrame, order: tuple[str, ...] = TIME_ORDER) -> DataFrame:
     """Newest row per id, path and kind. Feed it any union of state rows, in any order."""
     merged = rows.groupBy(*STATE_KEY).agg(F.max_by(F.struct("token", *TIME_ORDER), order_key(order)).alias("_m"))
@@ -196,3 +205,22 @@ def state_documents(state: DataFrame, order: tuple[str, ...] = TIME_ORDER) -> Da
     """``id, source``: every document of merged state rows as JSON text, keys sorted."""
     entries = state_fields(state, order).groupBy("id").agg(F.collect_list(F.struct("field", "token")).alias("_e"))
     return entries.select("id", render_object(F.col("_e"), "field", "token").alias("source"))
+
+
+def update_documents(state: DataFrame, order: tuple[str, ...] = TIME_ORDER) -> DataFrame:
+    """State rows of one batch as partial updates for a store that merges by itself:
+    ``id, step, source``, to be applied in ``step`` order per id.
+
+    Where the batch wrote a leaf and later an object at the same path, the store must forget what
+    lies below that path first, so a null is sent ahead of the document.
+    """
+    position = order_key(order)
+    by_path = state.groupBy("id", "path").agg(
+        F.max(F.when(~F.col("is_object"), position)).alias("_leaf"),
+        F.max(F.when(F.col("is_object"), position)).alias("_object"),
+    )
+    opened = F.array_join(F.transform("path", lambda name: F.concat(F.lit("{"), quoted(name), F.lit(":"))), "")
+    reset = F.concat(opened, F.lit("null"), F.repeat(F.lit("}"), F.size("path")))
+    resets = by_path.filter(F.col("_leaf") < F.col("_object")).select("id", F.lit(0).alias("step"), reset.alias("source"))
+    documents = state_documents(state, order).select("id", F.lit(1).alias("step"), "source")
+    return resets.unionByName(documents)

@@ -42,15 +42,18 @@ def drop_null_fields(docs: DataFrame) -> DataFrame:
     return docs.withColumn("fields", F.map_filter("fields", lambda _, v: ~F.is_variant_null(v)))
 
 
-def _latest_per_shape(docs: DataFrame, order: tuple[str, ...]) -> DataFrame:
-    """Keeps the newest message per id and set of field names.
+def field_names(fields: Column) -> Column:
+    return F.array_sort(F.map_keys(fields))
 
-    A message replaces every field of an earlier one that has the same names, so the earlier one
-    cannot matter. Busy ids shrink to a few rows before their fields are exploded.
+
+def latest_per_shape(docs: DataFrame, shape: Column, order: tuple[str, ...] = TIME_ORDER) -> DataFrame:
+    """Keeps the newest message per id and shape, where messages of a shape write the same fields.
+
+    Such a message replaces every field of an earlier one, so the earlier one cannot matter. Busy
+    ids shrink to a few rows before their fields are exploded.
     """
-    names = F.array_sort(F.map_keys("fields"))
     message = F.struct("fields", *TIME_ORDER)
-    newest = docs.groupBy("id", names.alias("_names")).agg(F.max_by(message, order_key(order)).alias("_m"))
+    newest = docs.groupBy("id", shape.alias("_shape")).agg(F.max_by(message, order_key(order)).alias("_m"))
     return newest.select("id", "_m.*")
 
 
@@ -71,7 +74,7 @@ def field_merge(
     if null_policy == "ignore":
         docs = drop_null_fields(docs)
     if collapse_shapes:
-        docs = _latest_per_shape(docs, order)
+        docs = latest_per_shape(docs, field_names(F.col("fields")), order)
     exploded = docs.select("id", *TIME_ORDER, F.explode("fields").alias("field", "val"))
     entry = F.struct("val", *TIME_ORDER)
     merged = exploded.groupBy("id", "field").agg(F.max_by(entry, order_key(order)).alias("_m"))

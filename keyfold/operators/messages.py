@@ -44,10 +44,11 @@ def bind(rows: DataFrame, **columns: Column) -> DataFrame:
     """Adds columns that are computed once, whatever is done with them later.
 
     Catalyst copies a projected expression into the filters and projections above it; it does not
-    copy what a generator returns.
+    copy what a generator returns. The generator only hands on the finished struct, because the
+    code of a projection is the better one: common parts are shared, large parts are split.
     """
     one = F.struct(*[column.alias(name) for name, column in columns.items()])
-    return rows.select("*", F.inline(F.array(one)))
+    return rows.withColumn("_bound", one).select(*rows.columns, F.inline(F.array("_bound")))
 
 
 def _last_key_wins(fields: Column) -> Column:

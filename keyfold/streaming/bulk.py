@@ -17,7 +17,7 @@ import os
 import sys
 import time
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 from pyspark import cloudpickle
@@ -179,13 +179,20 @@ class FileTransport:
         os.replace(target + ".part", target)
 
 
-def bulk_sink(options: dict[str, str]):
-    """A document sink for :class:`jobs.JobConfig`: the batch's merged documents through the writer."""
-    from keyfold.operators.deep_merge import state_documents, state_rows
+def bulk_sink(options: dict[str, str], nested: bool = True, null_policy: str = "overwrite") -> Callable:
+    """A document sink for :class:`jobs.JobConfig`: each batch as partial updates of its documents.
+
+    All updates of an id go through one task, in order; there are few, since the batch is merged.
+    """
+    from keyfold.operators.deep_merge import state_rows, update_documents
 
     def sink(docs, batch_id: int) -> None:
         docs.sparkSession.dataSource.register(BulkDataSource)
-        merged = state_documents(state_rows(docs))
-        merged.write.format("keyfold_bulk").options(**options).mode("append").save()
+        state = state_rows(docs, null_policy, nested=nested).persist()
+        try:
+            updates = update_documents(state).repartition("id").sortWithinPartitions("id", "step")
+            updates.select("id", "source").write.format("keyfold_bulk").options(**options).mode("append").save()
+        finally:
+            state.unpersist()
 
     return sink
