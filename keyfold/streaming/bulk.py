@@ -6,7 +6,8 @@ The factory is called in each task with the options and returns an object with
 ``send(rows) -> list[str]``, where ``rows`` is a list of ``(id, source)`` and the result names the
 items the store refused; ``close()``; and, if it wants the outcome on the driver, ``report(outcome)``.
 ``send`` raises :class:`Busy` to be called again later; any other error fails the task, and Spark
-repeats it. Upserts by id make a repeated bulk harmless.
+repeats it. Upserts by id make a repeated bulk harmless. Executors import the transport and this
+package, so ship both with ``--py-files``.
 """
 
 from __future__ import annotations
@@ -14,13 +15,11 @@ from __future__ import annotations
 import importlib
 import json
 import os
-import sys
 import time
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-from pyspark import cloudpickle
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceStreamWriter,
@@ -28,9 +27,6 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
-# Executors need not have this package installed to run the writer.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 # The default flush and retry policy.
 MAX_ROWS = 1_000
 MAX_BYTES = 5 * 1024 * 1024

@@ -14,9 +14,8 @@ def signal(flag, **more):
 
 
 def test_last_batch_flag(log):
-    flags = {1: True, "1": True, 1.0: True, 1.9: True, True: True}
     values = [signal(f) for f in (1, "1", 1.0, 1.9, True)]
-    assert signals.signals(parsed(log, *values)).count() == len(values) >= len(flags)
+    assert signals.signals(parsed(log, *values)).count() == len(values)
     none = [signal(f) for f in (0, None, "", "0", 2, False, "abc", {"a": 1})]
     assert signals.signals(parsed(log, *none)).count() == 0
 
