@@ -76,7 +76,12 @@ def _queue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queue_newest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return signals.with_place(_queue(spark, sf_dir)).select("queue_name", "place", "payload", "part", "pos")
+    # numbering reads the queue twice, so it is stored first, as the job stores it
+    path = scratch_path(spark, "queue")
+    queue = _queue(spark, sf_dir)
+    queue.write.parquet(path)
+    stored = spark.read.schema(queue.schema).parquet(path)
+    return signals.with_place(stored).select("queue_name", "place", "payload", "part", "pos")
 
 
 def user_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:

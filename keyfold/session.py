@@ -14,6 +14,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A nested object may repeat a key; the last one wins, as for top-level keys.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # The call site of every column expression costs more than the expression itself.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

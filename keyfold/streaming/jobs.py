@@ -89,12 +89,14 @@ def _batch_function(
         tables = JobTables(batch.sparkSession, config)
         parsed = messages.parse_messages(batch).persist()
         try:
-            if parsed.isEmpty():
-                return
             if with_signals:
                 reasons = {"document": messages.document_reason(), "signal": signals.signal_reason()}
             else:
                 reasons = {"profile": profiles.profile_reason()}
+            # one row; computing it fills the cache in parallel
+            metrics = batch_metrics(parsed, reasons).first()
+            if not metrics.messages:
+                return
             tables.quarantine.write(messages.rejects(parsed, **reasons), batch_id)
 
             docs = to_documents(parsed)
@@ -106,7 +108,7 @@ def _batch_function(
                 tables.queue.write(queued, batch_id)
 
             elapsed = int((time.monotonic() - started) * 1000)
-            tables.metrics.write(batch_metrics(parsed, reasons).withColumn("ms", F.lit(elapsed).cast("bigint")), batch_id)
+            tables.metrics.write(batch.sparkSession.createDataFrame([(*metrics, elapsed)], METRICS_SCHEMA), batch_id)
             _save_ledger(tables.ledger, parsed, config, batch_id)
         finally:
             parsed.unpersist()
