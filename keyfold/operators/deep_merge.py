@@ -1,11 +1,11 @@
 """Upsert with recursive merge of nested objects (M2).
 
-Documents are flattened to one row per path. A row is either a *leaf* (scalar, null, array) or an
-*object* seen at that path. State is the newest row per id, path and kind, a plain maximum, so a
-busy id never gathers in one task. What the state means:
+Documents are flattened to one state row per id and path. A row says when a *leaf* (scalar, null,
+array) was last written at that path and what it was, and when an *object* was last seen there.
+Both are plain maxima, so a busy id never gathers in one task. What the state means:
 
-* a leaf counts while no newer object stands at its path and no newer leaf at a path above it;
-* an object counts under the same rule with the kinds swapped at its own path.
+* at a path, the newer of leaf and object counts;
+* neither counts if a newer leaf stands at a path above it.
 """
 
 from __future__ import annotations
@@ -21,14 +21,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keyfold.functions import is_object, json_token, quoted, render_object
-from keyfold.operators.merge import (
-    STATE_KEY,
-    TIME_ORDER,
-    drop_null_fields,
-    field_names,
-    latest_per_shape,
-    order_key,
+from keyfold.operators.merge import TIME_ORDER, drop_null_fields, field_names, latest_per_shape, order_key
+
+# Null ``token`` or ``object_pos``: no leaf or no object was ever written at the path.
+# `merge_rows` of any union of state rows is the state of all their messages.
+STATE_SCHEMA = (
+    "id string, path array<string>, token string, ts timestamp, part int, pos bigint, "
+    "object_ts timestamp, object_part int, object_pos bigint"
 )
+STATE_KEY = ["id", "path"]
+OBJECT_ORDER = [f"object_{name}" for name in TIME_ORDER]
 
 _NODE = (
     T.StructType()
@@ -93,7 +95,7 @@ def state_rows(
     order: tuple[str, ...] = TIME_ORDER,
     nested: bool = True,
 ) -> DataFrame:
-    """Documents as merged state rows (:data:`merge.STATE_SCHEMA`).
+    """Documents as merged state rows (:data:`STATE_SCHEMA`).
 
     Only the object-valued fields of a message go through Python, and only with ``nested``;
     otherwise an object is a leaf and replaces the stored one as a whole.
@@ -120,7 +122,9 @@ def state_rows(
     rows = docs.select("id", *TIME_ORDER, F.inline_outer(nodes)).filter(F.col("path").isNotNull())
     if nested and null_policy == "ignore":
         rows = rows.filter(F.col("is_object") | (F.col("token") != "null"))
-    return merge_rows(rows, order)
+    leaf_at = [F.when(~F.col("is_object"), F.col(name)).alias(name) for name in TIME_ORDER]
+    object_at = [F.when(F.col("is_object"), F.col(name)).alias(f"object_{name}") for name in TIME_ORDER]
+    return merge_rows(rows.select(*STATE_KEY, "token", *leaf_at, *object_at), order)
 
 
 def _path_shape(fields: Column) -> Column:
@@ -136,32 +140,63 @@ def _path_shape(fields: Column) -> Column:
     )
 
 
+def _leaf_at(order: tuple[str, ...]) -> Column:
+    return F.when(F.col("token").isNotNull(), order_key(order))
+
+
+def _object_at(order: tuple[str, ...]) -> Column:
+    return F.when(F.col("object_pos").isNotNull(), F.struct(*[F.col(f"object_{n}").alias(n) for n in order]))
+
+
 def merge_rows(rows: DataFrame, order: tuple[str, ...] = TIME_ORDER) -> DataFrame:
-    """Newest row per id, path and kind. Feed it any union of state rows, in any order."""
-    merged = rows.groupBy(*STATE_KEY).agg(F.max_by(F.struct("token", *TIME_ORDER), order_key(order)).alias("_m"))
-    return merged.select(*STATE_KEY, "_m.*")
+    """One row per id and path. Feed it any union of state rows, in any order."""
+    merged = rows.groupBy(*STATE_KEY).agg(
+        F.max_by(F.struct("token", *TIME_ORDER), _leaf_at(order)).alias("_leaf"),
+        F.max_by(F.struct(*OBJECT_ORDER), _object_at(order)).alias("_object"),
+    )
+    return merged.select(*STATE_KEY, "_leaf.*", "_object.*")
+
+
+def drop_overwritten(state: DataFrame, order: tuple[str, ...] = TIME_ORDER) -> DataFrame:
+    """Merged state rows without those that a newer leaf above them has replaced.
+
+    Keeps the state of a document as small as the document: without it, an object that is reset
+    again and again would leave all its former members behind. Only paths that held both a leaf
+    and an object can replace anything, and only nested paths can be replaced, so for flat
+    documents both sides of the join are empty.
+    """
+    resets = state.filter(F.col("token").isNotNull() & F.col("object_pos").isNotNull()).select(
+        "id", F.col("path").alias("_above"), _leaf_at(order).alias("_reset_at")
+    )
+    above = F.transform(F.sequence(F.lit(1), F.size("path") - 1), lambda depth: F.slice("path", F.lit(1), depth))
+    nested = state.filter(F.size("path") > 1).select(
+        *STATE_KEY, F.greatest(_leaf_at(order), _object_at(order)).alias("_at"), F.explode(above).alias("_above")
+    )
+    replaced = nested.join(resets, ["id", "_above"]).filter(F.col("_at") < F.col("_reset_at")).select(*STATE_KEY)
+    return state.join(replaced, STATE_KEY, "left_anti")
 
 
 def _rebuild(nodes: list[dict]) -> str | None:
     """The JSON token of one top-level field from its state rows; None when nothing of it is left."""
-    newest: dict[tuple, dict] = {}
-    leaf_at: dict[tuple, tuple] = {}
-    for node in sorted(nodes, key=lambda n: n["at"]):
-        path = tuple(node["path"])
-        newest[path] = node
-        if not node["is_object"]:
-            leaf_at[path] = node["at"]
-
+    never = ()
+    rows = {
+        tuple(node["path"]): (
+            tuple(node["leaf_at"]) if node["leaf_at"] is not None else never,
+            tuple(node["object_at"]) if node["object_at"] is not None else never,
+            node["token"],
+        )
+        for node in nodes
+    }
     tree: dict = {}
-    for path in sorted(newest, key=len):
-        node = newest[path]
-        above = (leaf_at.get(path[:depth]) for depth in range(1, len(path)))
-        if any(at is not None and at > node["at"] for at in above):
+    for path in sorted(rows, key=len):
+        leaf_at, object_at, token = rows[path]
+        written = max(leaf_at, object_at)
+        if any(rows[path[:depth]][0] > written for depth in range(1, len(path)) if path[:depth] in rows):
             continue
         parent = tree
         for name in path[:-1]:
             parent = parent[name]
-        parent[path[-1]] = {} if node["is_object"] else _Token(node["token"])
+        parent[path[-1]] = {} if object_at > leaf_at else _Token(token)
     return _render(next(iter(tree.values()))) if tree else None
 
 
@@ -177,27 +212,33 @@ def _render(value) -> str:
 
 @F.pandas_udf(T.StringType())
 def _rebuild_fields(groups: pd.Series) -> pd.Series:
-    def rebuilt(nodes):
-        if nodes is None:
-            return None
-        return _rebuild([{**node, "at": tuple(node["at"])} for node in nodes])
+    return groups.map(_rebuild, na_action="ignore")
 
-    return groups.map(rebuilt, na_action="ignore")
 
-
-def _comparable(order: tuple[str, ...]) -> Column:
-    longs = {"ts": F.unix_micros("ts"), "part": F.col("part").cast("bigint"), "pos": F.col("pos")}
-    return F.array(*[longs[name] for name in order])
+def _numbers(names: list[str]) -> Column:
+    """Order columns as an array of longs, which compares in Python as the struct does in Spark,
+    nulls first."""
+    longs = [F.unix_micros(name) if name.endswith("ts") else F.col(name).cast("bigint") for name in names]
+    return F.array(*[F.coalesce(number, F.lit(-(2**63))) for number in longs])
 
 
 def state_fields(state: DataFrame, order: tuple[str, ...] = TIME_ORDER) -> DataFrame:
-    """``id, field, token`` of the live top-level fields of merged state rows."""
-    node = F.struct("path", "is_object", "token", _comparable(order).alias("at"))
+    """``id, field, token`` of the live top-level fields of merged state rows.
+
+    Looks at the rows three times; give it stored or cached ones.
+    """
+    node = F.struct(
+        "path",
+        "token",
+        F.when(F.col("token").isNotNull(), _numbers(list(order))).alias("leaf_at"),
+        F.when(F.col("object_pos").isNotNull(), _numbers([f"object_{n}" for n in order])).alias("object_at"),
+    )
     # a group is one field of one document, whatever the length of its history
-    grouped = state.groupBy("id", F.col("path")[0].alias("field")).agg(F.collect_list(node).alias("_nodes"))
-    plain = F.size("_nodes") == 1
-    nested = F.when(~plain | F.col("_nodes")[0]["is_object"], F.col("_nodes"))
-    token = F.coalesce(_rebuild_fields(nested), F.col("_nodes")[0]["token"])
+    live = drop_overwritten(state, order)
+    grouped = live.groupBy("id", F.col("path")[0].alias("field")).agg(F.collect_list(node).alias("_nodes"))
+    first = F.col("_nodes")[0]
+    plain = (F.size("_nodes") == 1) & first["object_at"].isNull()
+    token = F.coalesce(_rebuild_fields(F.when(~plain, F.col("_nodes"))), F.when(plain, first["token"]))
     return grouped.select("id", "field", token.alias("token"))
 
 
@@ -214,13 +255,9 @@ def update_documents(state: DataFrame, order: tuple[str, ...] = TIME_ORDER) -> D
     Where the batch wrote a leaf and later an object at the same path, the store must forget what
     lies below that path first, so a null is sent ahead of the document.
     """
-    position = order_key(order)
-    by_path = state.groupBy("id", "path").agg(
-        F.max(F.when(~F.col("is_object"), position)).alias("_leaf"),
-        F.max(F.when(F.col("is_object"), position)).alias("_object"),
-    )
     opened = F.array_join(F.transform("path", lambda name: F.concat(F.lit("{"), quoted(name), F.lit(":"))), "")
     reset = F.concat(opened, F.lit("null"), F.repeat(F.lit("}"), F.size("path")))
-    resets = by_path.filter(F.col("_leaf") < F.col("_object")).select("id", F.lit(0).alias("step"), reset.alias("source"))
+    replaced = state.filter(_leaf_at(order) < _object_at(order))
+    resets = replaced.select("id", F.lit(0).alias("step"), reset.alias("source"))
     documents = state_documents(state, order).select("id", F.lit(1).alias("step"), "source")
     return resets.unionByName(documents)

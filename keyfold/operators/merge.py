@@ -17,12 +17,6 @@ from keyfold.functions import json_token, render_object, text_of
 TIME_ORDER = ("ts", "part", "pos")
 LOG_ORDER = ("pos", "part", "ts")
 
-# One row per document path and kind of value; `merge_rows` of any union of such rows is again one.
-STATE_SCHEMA = (
-    "id string, path array<string>, is_object boolean, token string, ts timestamp, part int, pos bigint"
-)
-STATE_KEY = ["id", "path", "is_object"]
-
 
 def order_key(order: tuple[str, ...] = TIME_ORDER) -> Column:
     return F.struct(*order)

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyfold.functions import text_of
-from keyfold.operators import deep_merge, lookup, merge, messages, profiles, progress, signals
+from keyfold.operators import lookup, merge, messages, profiles, progress, signals
 from keyfold.plans.fixtures import NESTED_COLUMNS, TOPIC, message_log, table
 from keyfold.session import scratch_path
 from keyfold.sources.message_log import spread, stream_log
 from keyfold.streaming import jobs
+from keyfold.streaming.tables import DocumentStore
 
 PREFIX, GROUP = "app", "g1"
 
@@ -160,7 +161,10 @@ def corpus_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nested_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = messages.documents(messages.parse_messages(message_log(spark, sf_dir, NESTED_COLUMNS)))
-    return deep_merge.state_documents(deep_merge.state_rows(docs))
+    # reading documents looks at the state rows more than once, so they are stored first
+    store = DocumentStore(spark, scratch_path(spark, "nested"))
+    store.write_batch(docs, 0)
+    return store.documents()
 
 
 def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,8 +9,15 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyfold.operators.deep_merge import merge_rows, state_documents, state_fields, state_rows
-from keyfold.operators.merge import STATE_SCHEMA, TIME_ORDER
+from keyfold.operators.deep_merge import (
+    STATE_SCHEMA,
+    drop_overwritten,
+    merge_rows,
+    state_documents,
+    state_fields,
+    state_rows,
+)
+from keyfold.operators.merge import TIME_ORDER
 
 QUEUE_SCHEMA = "queue_name string, payload string, topic string, part int, pos bigint, ts timestamp"
 QUARANTINE_SCHEMA = "topic string, part int, pos bigint, ts timestamp, value string, branch string, reason string"
@@ -118,7 +125,8 @@ class DocumentStore:
             merged = self.state(upto)
         name = f"upto-{upto}-{uuid.uuid4().hex[:8]}"
         (
-            merged.write.mode("overwrite")
+            drop_overwritten(merged, self.order)
+            .write.mode("overwrite")
             .bucketBy(buckets, "id")
             .sortBy("id")
             .option("path", f"{self.root}/snapshot/{name}")
