@@ -128,6 +128,8 @@ SELECT topic, coalesce({_DOCUMENT_REASON}, 'document') AS reason, count(*) AS n
     "field_merge": f"{_FIELDS} {_newest('id, field, val')}",
     "field_merge_ignore_null": f"{_FIELDS} {_newest('id, field, val', 'WHERE val IS NOT NULL')}",
     "document_sources": f"""{_FIELDS} SELECT id, '{{' || {_SOURCES} || '}}' AS source
+FROM ({_newest('id, field, token')}) GROUP BY id""",
+    "bulk_written": f"""{_FIELDS} SELECT id, '{{' || {_SOURCES} || '}}' AS source
 FROM ({_newest('id, field, token')}) GROUP BY id""",
     "document_state": f"""{_FIELDS}, merged AS ({_newest('id, field, val')})
 SELECT id, {', '.join(f"max(CASE WHEN field = '{name}' THEN val END) AS {name}" for name in _WIDE)}

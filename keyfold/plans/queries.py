@@ -12,7 +12,7 @@ from keyfold.operators import lookup, merge, messages, profiles, progress, signa
 from keyfold.plans.fixtures import NESTED_COLUMNS, TOPIC, message_log, table
 from keyfold.session import scratch_path
 from keyfold.sources.message_log import spread, stream_log
-from keyfold.streaming import jobs
+from keyfold.streaming import bulk, jobs
 from keyfold.streaming.tables import DocumentStore
 
 PREFIX, GROUP = "app", "g1"
@@ -134,6 +134,15 @@ def document_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.merged_documents(merge.field_merge(_documents(spark, sf_dir)))
 
 
+def bulk_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as the batched writer hands them to an external store, read back from there."""
+    bulk.register(spark)
+    path = scratch_path(spark, "bulk")
+    bulk.bulk_sink({"transport": "keyfold.streaming.bulk:FileTransport", "path": path})(_documents(spark, sf_dir), 0)
+    written = spark.read.schema("id string, doc string").json(f"{path}/bulk-*.jsonl")
+    return written.withColumnRenamed("doc", "source")
+
+
 def document_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ["nick_name", "phone", "user_from", "tag_id", "batch_id"]
     return merge.wide_state(_documents(spark, sf_dir), names)
@@ -275,6 +284,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "field_merge": field_merge,
     "field_merge_ignore_null": field_merge_ignore_null,
     "document_sources": document_sources,
+    "bulk_written": bulk_written,
     "document_state": document_state,
     "corpus_state": corpus_state,
     "nested_merge": nested_merge,

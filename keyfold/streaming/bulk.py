@@ -6,8 +6,8 @@ The factory is called in each task with the options and returns an object with
 ``send(rows) -> list[str]``, where ``rows`` is a list of ``(id, source)`` and the result names the
 items the store refused; ``close()``; and, if it wants the outcome on the driver, ``report(outcome)``.
 ``send`` raises :class:`Busy` to be called again later; any other error fails the task, and Spark
-repeats it. Upserts by id make a repeated bulk harmless. Executors import the transport and this
-package, so ship both with ``--py-files``.
+repeats it. Upserts by id make a repeated bulk harmless. :func:`register` sends this package to the
+executors; a transport of your own goes there with ``--py-files``.
 """
 
 from __future__ import annotations
@@ -15,11 +15,15 @@ from __future__ import annotations
 import importlib
 import json
 import os
+import shutil
+import tempfile
 import time
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceStreamWriter,
@@ -27,6 +31,8 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
+from keyfold.operators.deep_merge import state_rows, update_documents
+
 # The default flush and retry policy.
 MAX_ROWS = 1_000
 MAX_BYTES = 5 * 1024 * 1024
@@ -151,11 +157,19 @@ class BulkDataSource(DataSource):
         return BulkStreamWriter(self.options)
 
 
+def register(spark: SparkSession) -> None:
+    """Makes the writer known to a session, and this package to its executors."""
+    sources = Path(__file__).resolve().parents[2]
+    archive = shutil.make_archive(f"{tempfile.mkdtemp()}/keyfold", "zip", sources, "keyfold")
+    spark.sparkContext.addPyFile(archive)
+    spark.dataSource.register(BulkDataSource)
+
+
 class FileTransport:
-    """Bulks as JSON-lines files below ``path``, a folder all executors share."""
+    """Bulks as JSON-lines files below ``path``, a mounted folder all executors share."""
 
     def __init__(self, options: dict):
-        self.path = options["path"]
+        self.path = options["path"].removeprefix("file://").removeprefix("file:")
         os.makedirs(self.path, exist_ok=True)
 
     def send(self, rows: list[tuple[str, str]]) -> list[str]:
@@ -180,9 +194,8 @@ def bulk_sink(options: dict[str, str], nested: bool = True, null_policy: str = "
 
     All updates of an id go through one task, in order; there are few, since the batch is merged.
     """
-    from keyfold.operators.deep_merge import state_rows, update_documents
-
-    def sink(docs, batch_id: int) -> None:
+    def sink(docs: DataFrame, batch_id: int) -> None:
+        # a stream runs its batches in a session of its own
         docs.sparkSession.dataSource.register(BulkDataSource)
         state = state_rows(docs, null_policy, nested=nested).persist()
         try:

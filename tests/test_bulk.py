@@ -48,7 +48,7 @@ def transport(spark, tmp_path):
     module = tmp_path / "flaky_transport.py"
     module.write_text(FLAKY)
     spark.sparkContext.addPyFile(str(module))
-    spark.dataSource.register(bulk.BulkDataSource)
+    bulk.register(spark)
     return "flaky_transport"
 
 
