@@ -9,6 +9,7 @@ from keyfold.functions import int_of, long_of, text_of
 from keyfold.operators.merge import TIME_ORDER, newest_columns
 from keyfold.operators.messages import POSITION, bind, unreadable_reason
 
+# The profile's key and fields.
 KEY_SEPARATOR = "|"
 TEXT_FIELDS = ("app_id", "user_id", "nick_name", "real_name", "user_identity", "phone", "collection_phone")
 PROFILE_COLUMNS = [

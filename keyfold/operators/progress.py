@@ -42,8 +42,8 @@ def ledger_entries(ranges: DataFrame, prefix: str, group_id: str, updated_at: Co
 
 
 def carry_forward(current: DataFrame, entries: DataFrame) -> DataFrame:
-    """Adds the partitions that were idle in this batch, refreshed to the batch's time; the
-    reference point for expiry is the last write, busy or not. A ledger has one row per partition."""
+    """Adds the partitions that were idle in this batch, refreshed to its time: expiry counts from
+    the last write, busy or not. A ledger has one row per partition."""
     stamp = entries.agg(F.max("updated_at").alias("updated_at"), F.max("batch_id").alias("batch_id"))
     idle = current.join(entries, LEDGER_KEY, "left_anti").drop("updated_at", "batch_id")
     # one row on the right side by construction
