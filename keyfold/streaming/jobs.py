@@ -86,6 +86,8 @@ def _batch_function(
 ) -> BatchFunction:
     def run(batch: DataFrame, batch_id: int) -> None:
         started = time.monotonic()
+        # whatever the session: of a nested object's repeated keys the last one wins
+        batch.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
         tables = JobTables(batch.sparkSession, config)
         parsed = messages.parse_messages(batch).persist()
         try:

@@ -98,6 +98,16 @@ def test_keep_last_job_replaces_within_a_batch_and_merges_across(spark, log, tmp
     assert documents_of(tables.store.documents()) == {"a": {"id": "a", "y": 2, "z": 3}}
 
 
+def test_repeated_nested_keys_need_no_setting_in_a_job(spark, log, tmp_path):
+    log('{"id":"a","o":{"x":1,"x":2}}').write.parquet(f"{tmp_path}/log")
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "false")
+    try:
+        tables = run(spark, jobs.document_job, f"{tmp_path}/log", tmp_path)
+    finally:
+        spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    assert documents_of(tables.store.documents()) == {"a": {"id": "a", "o": {"x": 2}}}
+
+
 def test_profile_job(spark, log, tmp_path):
     path = f"{tmp_path}/log"
     user = {"data_source": "s", "app_id": "a", "user_id": "1"}
