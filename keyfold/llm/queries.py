@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keyfold.llm import exact_dedup, mixing, packing
+from keyfold.llm import exact_dedup, fingerprints, licenses, mixing, packing, token_counts
 from keyfold.llm.common import documents, stored
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the licenses it names."""
+    return licenses.license_scan(documents(spark, sf_dir))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids in sequences of power-of-two lengths."""
     return packing.packed(documents(spark, sf_dir))
@@ -20,14 +25,26 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir)).drop("row")
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint against its edited text's and the next document's."""
+    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return fingerprints.neighbour_likeness(documents(spark, sf_dir), parts)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the number of its words in the mix."""
     rows = stored(mixing.sampling_rows(documents(spark, sf_dir)).drop("kept"), "sampling")
     return mixing.mixed(rows).selectExpr("doc_id", "size", "source_size", "target", "size * copies AS taken")
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token count before and after three edits."""
+    return token_counts.edited_counts(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_packing, op4_exact_dedup, op9_mixing)
+    f.__name__: f
+    for f in (op2_licenses, op3_packing, op4_exact_dedup, op6_fingerprints, op9_mixing, op10_token_counts)
 }
 
 EXACT_SQL = r"""
