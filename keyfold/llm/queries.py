@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keyfold.llm import exact_dedup, fingerprints, licenses, mixing, packing, token_counts
+from keyfold.llm import exact_dedup, fingerprints, licenses, mixing, packing, quality, token_counts
 from keyfold.llm.common import documents, stored
 
 
@@ -25,6 +25,13 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir)).drop("row")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score."""
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality.fit(*quality.labelled_sample(docs, labels))
+    return quality.scored(docs, model).drop("kept")
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint against its edited text's and the next document's."""
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -44,7 +51,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_licenses, op3_packing, op4_exact_dedup, op6_fingerprints, op9_mixing, op10_token_counts)
+    for f in (op2_licenses, op3_packing, op4_exact_dedup, op5_quality, op6_fingerprints, op9_mixing, op10_token_counts)
 }
 
 EXACT_SQL = r"""
