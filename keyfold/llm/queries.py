@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keyfold.llm import exact_dedup, fingerprints, licenses, mixing, packing, quality, token_counts
+from keyfold.llm import exact_dedup, fingerprints, licenses, mixing, packing, quality, substrings, suffix_buckets, token_counts
 from keyfold.llm.common import documents, stored
 
 
@@ -38,6 +38,16 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.neighbour_likeness(documents(spark, sf_dir), parts)
 
 
+def op7_suffix_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of strings that stand in two places."""
+    return suffix_buckets.without_repeats(documents(spark, sf_dir)).drop("kept")
+
+
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages of earlier ones."""
+    return substrings.without_repeats(documents(spark, sf_dir)).drop("kept")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the number of its words in the mix."""
     rows = stored(mixing.sampling_rows(documents(spark, sf_dir)).drop("kept"), "sampling")
@@ -51,7 +61,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_licenses, op3_packing, op4_exact_dedup, op5_quality, op6_fingerprints, op9_mixing, op10_token_counts)
+    for f in (op2_licenses, op3_packing, op4_exact_dedup, op5_quality, op6_fingerprints, op7_suffix_buckets, op8_substrings, op9_mixing, op10_token_counts)
 }
 
 EXACT_SQL = r"""
