@@ -59,8 +59,8 @@ def packed(
         seen: Counter[int] = Counter()
         for batch in batches:
             rows, values = [], []
-            for row, text in enumerate(encoded(batch.column("text"))):
-                ids = np.append(tokenizer.encode(text), np.uint32(end_id)).astype("<u4")
+            for row, found in enumerate(tokenizer.encode(encoded(batch.column("text")))):
+                ids = np.append(found, np.uint32(end_id)).astype("<u4")
                 start = 0
                 for length in piece_lengths(len(ids), longest):
                     bucket = length.bit_length() - 1

@@ -40,13 +40,9 @@ class TokenTree:
         self.pieces = _cut(text)
         self.base = 1 << max(0, (len(self.pieces) - 1).bit_length())
         self.sums = np.zeros((2 * self.base, 2), dtype=np.int64)
-        words = [p.split() for p in self.pieces]
-        counts = tokenizer.counts([w for p in words for w in p])
-        ends = np.cumsum([len(p) for p in words])
-        totals = np.concatenate(([0], np.cumsum(counts)))
         leaves = self.sums[self.base : self.base + len(self.pieces)]
         leaves[:, 0] = [len(p) for p in self.pieces]
-        leaves[:, 1] = np.diff(np.concatenate(([0], totals[ends]))) if len(ends) else 0
+        leaves[:, 1] = tokenizer.counts(self.pieces)
         level = self.base
         while level > 1:
             half = level // 2
@@ -88,7 +84,7 @@ class TokenTree:
             last += 1
             changed += self.pieces[last]
         self.pieces[first] = changed
-        self._set(first, len(changed), int(self.tokenizer.counts(changed.split()).sum()))
+        self._set(first, len(changed), int(self.tokenizer.counts([changed])[0]))
         self.encoded_bytes += len(changed)
         for emptied in range(first + 1, last + 1):
             self.pieces[emptied] = b""

@@ -7,12 +7,17 @@ a row. Words repeat, so their ids are kept: a dictionary lookup a word instead o
 from __future__ import annotations
 
 import os
+from collections import defaultdict
+from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, count, islice
 
 import numpy as np
 
+from keyfold.llm.common import slices
+
 PART_BYTES = 1 << 20
-KEPT_WORDS, KEPT_IDS = 1 << 18, 1 << 22
+KEPT_WORDS, KEPT_IDS = 1 << 20, 1 << 23
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -34,47 +39,89 @@ class WordTokenizer:
         self._forget()
 
     def _forget(self) -> None:
-        self.slots: dict[bytes, int] = {}
-        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.pool = np.zeros(0, np.uint32)
-
-    def _learn(self, words: set[bytes]) -> None:
-        new = sorted(words.difference(self.slots))
-        if not new:
-            return
-        if len(self.slots) + len(new) > KEPT_WORDS or len(self.pool) > KEPT_IDS:
+        # a word not met before gets the next number, inside the dictionary's own lookup
+        self.slots: defaultdict[bytes, int] = defaultdict(count().__next__)
+        self.known = 0
+        self.starts, self.lengths = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self.pool, self.used = np.zeros(4096, np.uint32), 0
+
+    def _numbers(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of all words of some texts, and where each text's words end."""
+        if len(self.slots) > KEPT_WORDS or self.used > KEPT_IDS:
             self._forget()
-            new = sorted(words)
+        words = separated(texts)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        slots = np.fromiter(map(self.slots.__getitem__, chain.from_iterable(words)), np.int64, int(sizes.sum()))
+        self._learn()
+        return slots, np.cumsum(sizes)
+
+    def _learn(self) -> None:
+        """Encodes the words that have a number but no ids yet."""
+        first, last = self.known, len(self.slots)
+        if first == last:
+            return
+        new = list(islice(reversed(self.slots), last - first))[::-1]
         found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
         ids = [x.ids for x in found]
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.slots.update(zip(new, range(len(self.lengths), len(self.lengths) + len(new))))
-        self.starts = np.concatenate((self.starts, len(self.pool) + np.cumsum(lengths) - lengths))
-        self.lengths = np.concatenate((self.lengths, lengths))
-        flat = np.fromiter((i for x in ids for i in x), np.uint32, int(lengths.sum()))
-        self.pool = np.concatenate((self.pool, flat))
-
-    def _slots(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.slots.__getitem__, words), np.int64, len(words))
-
-    def encode(self, text: bytes) -> np.ndarray:
-        """Ids of a text in UTF-8."""
-        parts = []
-        for part in split_parts(text):
-            words = part.split()
-            self._learn(set(words))
-            slots = self._slots(words)
-            lengths = self.lengths[slots]
-            ends = np.cumsum(lengths)
-            total = int(ends[-1]) if len(ends) else 0
-            places = np.arange(total) + np.repeat(self.starts[slots] - (ends - lengths), lengths)
-            parts.append(self.pool[places])
-        return np.concatenate(parts) if len(parts) != 1 else parts[0]
-
-    def counts(self, words: list[bytes]) -> np.ndarray:
-        """Number of ids of each word."""
-        self._learn(set(words))
-        return self.lengths[self._slots(words)]
+        end = self.used + int(lengths.sum())
+        self.starts, self.lengths = _room(self.starts, last), _room(self.lengths, last)
+        self.pool = _room(self.pool, end)
+        self.starts[first:last] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[first:last] = lengths
+        self.pool[self.used : end] = np.fromiter(chain.from_iterable(ids), np.uint32, end - self.used)
+        self.known, self.used = last, end
+
+    def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        """Ids of each text in UTF-8."""
+        for start, end in slices(np.array([len(t) for t in texts]), PART_BYTES):
+            if end - start > 1:
+                yield from self._ids(texts[start:end])
+            else:
+                yield np.concatenate([x for part in split_parts(texts[start]) for x in self._ids([part])])
+
+    def _ids(self, texts: list[bytes]) -> list[np.ndarray]:
+        slots, tops = self._numbers(texts)
+        lengths = self.lengths[slots]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        places = np.arange(total) + np.repeat(self.starts[slots] - (ends - lengths), lengths)
+        cuts = np.concatenate(([0], ends))[tops[:-1]]
+        return np.split(self.pool[places], cuts)
+
+    def counts(self, texts: list[bytes]) -> np.ndarray:
+        """Number of ids of each text."""
+        slots, tops = self._numbers(texts)
+        return np.diff(np.concatenate(([0], np.cumsum(self.lengths[slots])))[np.concatenate(([0], tops))])
+
+
+def separated(texts: list[bytes]) -> list[list[bytes]]:
+    """The white-space words of each text with ASCII letters in lower case and ASCII signs cut off behind
+    an ASCII letter or digit. The vocabulary lower-cases and cuts there too, so the ids stay the same while far
+    fewer words differ."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    buffer = np.frombuffer(b"".join(texts).lower(), np.uint8)
+    if not len(buffer):
+        return [[] for _ in texts]
+    cuts = np.flatnonzero(_LETTER[buffer[:-1]] & _SIGN[buffer[1:]]) + 1
+    ends = np.cumsum(sizes)
+    # a cut at a text's end goes to the text before or after; it is white space either way
+    moved = (ends + np.searchsorted(cuts, ends, side="right")).tolist()
+    spaced = np.insert(buffer, cuts, 32).tobytes()
+    return [spaced[a:b].split() for a, b in zip([0, *moved], moved)]
+
+
+_LETTER = np.array([48 <= b <= 57 or 97 <= b <= 122 for b in range(256)])
+_SIGN = np.array([33 <= b < 127 and not chr(b).isalnum() for b in range(256)])
+
+
+def _room(a: np.ndarray, size: int) -> np.ndarray:
+    """``a`` with room for ``size`` entries, doubled when it has to grow."""
+    if size <= len(a):
+        return a
+    out = np.zeros(max(size, 2 * len(a)), a.dtype)
+    out[: len(a)] = a
+    return out
 
 
 def split_parts(text: bytes, size: int = PART_BYTES) -> list[bytes]:
