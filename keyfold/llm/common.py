@@ -42,10 +42,16 @@ def schema_with(rows: DataFrame, columns: list[str], more: str) -> StructType:
 
 
 def row_number() -> F.Column:
-    """A number for each row, stable where it is taken right above a scan of files or a stored table."""
+    """A number for each row; it holds once it is stored, for another scan may number otherwise."""
     return F.monotonically_increasing_id()
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``row``, ``doc_id``, ``text`` and the whole row as ``kept``, stored, so that a row keeps its number
+    however often it is read."""
+    return stored(docs.select(row_number().alias("row"), "doc_id", "text", F.struct(*docs.columns).alias("kept")), "numbered")
+
+
 def slices(sizes: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive rows with about ``limit`` bytes each; a larger row stands alone."""
     start, total = 0, 0

@@ -36,13 +36,13 @@ PLACES = StructType(
 )
 
 
-def identified(docs: DataFrame) -> DataFrame:
-    """``doc, part, doc_id, text``. A row is known by its integral ``doc_id`` (null stands behind all
+def identified(docs: DataFrame, number: F.Column | None = None) -> DataFrame:
+    """``doc, part, doc_id, text``, and ``number`` as ``row``. A row is known by its integral ``doc_id`` (null stands behind all
     others) and a hash of its text, so it keeps its name whatever reads it again."""
     text = F.coalesce("text", F.lit(""))
-    return docs.select(
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)).alias("doc"), F.hash(text).alias("part"), "doc_id", text.alias("text")
-    )
+    doc = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST))
+    more = [] if number is None else [number.alias("row")]
+    return docs.select(doc.alias("doc"), F.hash(text).alias("part"), "doc_id", text.alias("text"), *more)
 
 
 def packed(rows: DataFrame) -> DataFrame:

@@ -110,10 +110,10 @@ def mixed(
 def mixed_documents(
     docs: DataFrame, weights: tuple[float, ...] = SOURCE_WEIGHTS, max_epochs: int = MAX_EPOCHS
 ) -> DataFrame:
-    """The mix itself: every document as often as it is taken, all columns as they are. The texts are
-    read twice and never shuffled; what joins them is one row per source."""
-    plan = selection_plan(stored(sampling_rows(docs), "sampling"), weights, max_epochs)
-    rows = sampling_rows(docs, keep=F.struct(*docs.columns))
+    """The mix itself: every document as often as it is taken, all columns as they are. What joins the
+    documents is one row per source."""
+    rows = stored(sampling_rows(docs, keep=F.struct(*docs.columns)), "sampling")
+    plan = selection_plan(rows, weights, max_epochs)
     taken = rows.join(plan, rows["source"].eqNullSafe(plan["plan_source"])).withColumn("copies", _copies())
     return taken.filter("copies > 0").select("kept", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("kept.*")
 

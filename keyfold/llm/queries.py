@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keyfold.llm import exact_dedup, fingerprints, licenses, mixing, packing, quality, substrings, suffix_buckets, token_counts
+from keyfold.llm import exact_dedup, fingerprints, licenses, mixing, near_dedup, packing, quality, substrings, suffix_buckets, token_counts
 from keyfold.llm.common import documents, stored
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its group of near copies."""
+    return near_dedup.near_groups(documents(spark, sf_dir)).drop("row")
+
+
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the licenses it names."""
     return licenses.license_scan(documents(spark, sf_dir))
@@ -61,7 +66,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_licenses, op3_packing, op4_exact_dedup, op5_quality, op6_fingerprints, op7_suffix_buckets, op8_substrings, op9_mixing, op10_token_counts)
+    for f in (op1_near_dedup, op2_licenses, op3_packing, op4_exact_dedup, op5_quality, op6_fingerprints, op7_suffix_buckets, op8_substrings, op9_mixing, op10_token_counts)
 }
 
 EXACT_SQL = r"""
