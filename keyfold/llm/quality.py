@@ -133,7 +133,8 @@ def _holds(rule: Rule, x: np.ndarray) -> np.ndarray:
 
 
 def fit(x: np.ndarray, y: np.ndarray, seed: int = 11) -> RuleEnsemble:
-    """Fits rules and weights. Without rows of both classes the score is the share of ones, 0.5 without any."""
+    """Fits rules and weights. Without rows of both classes, or too few to split, the score is the share
+    of ones, 0.5 without any."""
     order = np.lexsort((*x.T, y))  # the same model whatever the order in which rows arrive
     x, y = x[order], y[order]
     base = float(np.clip(y.mean(), 1e-3, 1 - 1e-3)) if len(y) else 0.5
@@ -141,6 +142,8 @@ def fit(x: np.ndarray, y: np.ndarray, seed: int = 11) -> RuleEnsemble:
     if len(set(y.tolist())) < 2:
         return RuleEnsemble(prior, ())
     rules = _tree_rules(x, y, np.random.default_rng(seed))
+    if not rules:
+        return RuleEnsemble(prior, ())
     holds = np.array([_holds(r, x) for r in rules])
     _, first = np.unique(np.packbits(holds, axis=1), axis=0, return_index=True)
     used = [i for i in sorted(first) if 0 < holds[i].sum() < len(y)]

@@ -1,0 +1,163 @@
+from __future__ import annotations
+
+import hashlib
+import os
+
+import duckdb
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from keyfold.llm import exact_dedup, mixing
+from keyfold.llm.common import stored
+from keyfold.llm.cuckoo import CuckooIndex
+from keyfold.llm.queries import EXACT_SQL, MIXING_SQL, op9_mixing
+from tests.llm.tables import SCHEMA, counted, messy, messy_rows, normal, split, written
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.booleans(), st.integers(0, 300)), max_size=600), st.sampled_from([1, 2, 64]))
+def test_cuckoo_index_is_a_dictionary(steps, buckets):
+    index, plain = CuckooIndex(buckets), {}
+    for insert, n in steps:
+        key = hashlib.sha256(str(n).encode()).digest()
+        if insert:
+            index.put(key, n)
+            plain[key] = n
+        else:
+            assert index.delete(key) == (plain.pop(key, None) is not None)
+        assert len(index) == len(plain)
+    assert dict(index.items()) == plain
+    assert all(index.get(k) == v for k, v in plain.items()) and index.get(b"\0" * 32) is None
+
+
+def test_cuckoo_index_grows_from_its_keys():
+    index = CuckooIndex(1)
+    keys = [hashlib.sha256(str(n).encode()).digest() for n in range(3000)]
+    for n, key in enumerate(keys):
+        index.put(key, n)
+    assert index.resizes > 5 and [index.get(k) for k in keys] == list(range(3000)) and len(index) == 3000
+
+
+def test_fingerprints_alone_never_match():
+    index = CuckooIndex(1)
+    key = hashlib.sha256(b"a").digest()
+    index.put(key, 1)
+    assert index.get(key[:20] + b"\0" * 12) is None
+
+
+def plain_groups(rows):
+    groups = {}
+    for at, (doc_id, text, *_) in enumerate(rows):
+        rank = (-len(text or ""), doc_id is None, doc_id or 0, at)
+        groups.setdefault(normal(text), []).append((rank, doc_id))
+    out = []
+    for text, members in groups.items():
+        members.sort()
+        sha = hashlib.sha256(text.encode()).hexdigest()
+        out += [(d, members[0][1], len(members), k == 0, sha) for k, (_, d) in enumerate(members)]
+    return counted(out)
+
+
+def test_exact_groups(spark):
+    found = exact_dedup.exact_groups(messy(spark)).drop("row").collect()
+    assert counted(found) == plain_groups(messy_rows())
+
+
+def test_deleted_digests_leave(spark):
+    docs = messy(spark)
+    gone = exact_dedup.exact_groups(docs).filter("doc_id = 0").select("text_sha256").distinct()
+    gone = gone.unionByName(gone)
+    found = exact_dedup.exact_groups(docs, gone).collect()
+    sha = gone.first()[0]
+    assert all((r.keep_id is None and not r.kept and r.group_size is None) for r in found if r.text_sha256 == sha)
+    assert sum(r.text_sha256 == sha for r in found) >= 5
+    assert len(found) == len(messy_rows())
+
+
+def test_one_row_of_each_text_stays(spark, tmp_path):
+    docs = written(messy(spark), tmp_path / "docs")
+    found = exact_dedup.without_copies(docs)
+    assert found.columns == docs.columns
+    texts = [normal(r.text) for r in found.collect()]
+    assert len(texts) == len(set(texts)) and set(texts) == {normal(r[1]) for r in messy_rows()}
+
+
+def test_empty_tables(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert exact_dedup.exact_groups(empty).count() == 0
+    assert mixing.mixed(stored(mixing.sampling_rows(empty), "empty")).count() == 0
+    assert mixing.mixed_documents(empty).count() == 0 and exact_dedup.without_copies(empty).count() == 0
+
+
+def plain_targets(sizes, weights=(5, 2, 1), most=3):
+    """Targets by sharing again and again."""
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    total, full = sum(sizes.values()), {}
+    while True:
+        rest = total - sum(full.values())
+        free = [s for s in order if s not in full]
+        share = {s: rest * weight[s] / sum(weight[x] for x in free) for s in free}
+        over = [s for s in free if share[s] > most * sizes[s]]
+        if not over:
+            return {**full, **share}
+        full |= {s: most * sizes[s] for s in over}
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.dictionaries(st.one_of(st.none(), st.text("abcÄ漢", max_size=2)), st.integers(0, 500), min_size=1, max_size=9))
+def test_targets(spark, sizes):
+    if sum(sizes.values()) == 0:
+        return
+    table = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, source_size bigint").coalesce(1)
+    found = {r.source: r.target for r in mixing.source_targets(table).collect()}
+    expected = plain_targets(sizes)
+    assert found.keys() == expected.keys()
+    assert all(found[s] == pytest.approx(expected[s], rel=1e-9, abs=1e-9) for s in expected)
+
+
+@pytest.mark.parametrize("bucket_rows", [20_000, 3])
+def test_mix(spark, tmp_path, monkeypatch, bucket_rows):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", bucket_rows)
+    written(messy(spark), tmp_path / "documents.parquet")
+    found = op9_mixing(spark, str(tmp_path)).collect()
+    assert counted((r.doc_id, r.size) for r in found) == counted((d, len(split(t))) for d, t, *_ in messy_rows())
+    assert all(r.taken <= 3 * r["size"] and r.taken % max(1, r["size"]) == 0 for r in found)
+    assert counted(found) == counted(op9_mixing(spark, str(tmp_path)).collect())
+    sizes, taken, largest = {}, {}, {}
+    for (d, t, _, source, _), _ in zip(messy_rows(), found):
+        sizes[source] = sizes.get(source, 0) + len(split(t))
+        largest[source] = max(largest.get(source, 0), len(split(t)))
+    expected = plain_targets(sizes)
+    by_size = {n: s for s, n in sizes.items()}
+    assert len(by_size) == len(sizes)
+    for r in found:
+        source = by_size[r.source_size]
+        assert r.target == pytest.approx(expected[source])
+        taken[source] = taken.get(source, 0) + r.taken
+    # each repeated row takes what its twin takes, so a source may miss by a document more
+    assert all(abs(taken[s] - expected[s]) <= 1.5 * largest[s] for s in expected)
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert counted(con.sql(EXACT_SQL).fetchall()) == plain_groups(messy_rows())
+    reference = con.sql(MIXING_SQL).fetchall()
+    assert counted(r[:3] for r in reference) == counted((r.doc_id, r["size"], r.source_size) for r in found)
+
+
+def test_mixed_documents_repeat_whole_rows(spark, tmp_path):
+    docs = written(messy(spark), tmp_path / "documents.parquet")
+    rows = stored(mixing.sampling_rows(docs), "sampling")
+    times = counted((r.doc_id, r["size"]) for r in mixing.mixed(rows).collect() for _ in range(r.copies))
+    out = mixing.mixed_documents(docs)
+    assert out.columns == docs.columns
+    assert counted((r.doc_id, len(split(r.text))) for r in out.collect()) == times
+
+
+def test_oracle_on_a_given_table(spark):
+    path = "/root/testdata/sf0.001"
+    if not os.path.isdir(path):
+        pytest.skip("no given tables")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{path}/documents.parquet'")
+    assert counted(con.sql(MIXING_SQL).fetchall()) == counted(op9_mixing(spark, path).collect())

@@ -1,0 +1,129 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from keyfold.llm import substrings, suffix_buckets
+from keyfold.llm.common import Words, run_ids
+from tests.llm.tables import SCHEMA, counted, kept_words, messy, messy_rows, prose, removed_bytes, split
+
+
+@pytest.fixture
+def small_batches(spark):
+    """Batches of three rows, so groups go on from batch to batch."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "3")
+    yield
+    spark.conf.set(name, before)
+
+
+def expected_words(rows):
+    out = []
+    for (doc_id, text, *_), kept in zip(rows, kept_words(rows)):
+        n = len(split(text))
+        out.append((doc_id, n, n - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))
+    return counted(out)
+
+
+def expected_bytes(rows):
+    texts = [(r[1] or "").encode() for r in rows]
+    out = []
+    for (doc_id, *_), text, gone in zip(rows, texts, removed_bytes(texts)):
+        kept = bytes(b for b, g in zip(text, gone.tolist()) if not g)
+        spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
+        out.append((doc_id, len(text), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
+    return counted(out)
+
+
+def tangled_rows() -> list[tuple]:
+    """Texts put together from a few passages at random alignments, cut anywhere: many partial matches."""
+    rng = random.Random(5)
+    passages = [prose(300 + i, 130) for i in range(3)] + ["ab " * 120, "z" * 260]
+    rows = []
+    for i in range(60):
+        parts = []
+        for _ in range(rng.randrange(1, 4)):
+            passage = rng.choice(passages)
+            start = rng.randrange(len(passage) // 2)
+            parts += [prose(1000 + rng.randrange(10**6), rng.randrange(4)), passage[start : start + rng.randrange(100, 700)]]
+        rows.append((i, rng.choice((" ", "", "\n")).join(parts), "en", "s", 0))
+    return rows
+
+
+def test_cover_has_every_difference():
+    assert {(a - b) % substrings.PERIOD for a in substrings.COVER for b in substrings.COVER} == set(range(substrings.PERIOD))
+
+
+def test_words_and_runs():
+    texts = [b"a bb  ccc\n", b"", b" bb ccc a bb ccc", b"\t"]
+    words = Words(texts)
+    plain = [t.split() for t in texts]
+    flat = [w for own in plain for w in own]
+    assert np.diff(words.bounds).tolist() == [len(w) for w in plain]
+    assert [words.buffer[a:b].tobytes() for a, b in zip(words.starts, words.ends)] == flat
+    assert len(set(words.hashes.tolist())) == len(set(flat))
+    ids = run_ids(words.hashes, [2, 3])
+    assert ids[2][1] == ids[2][3] == ids[2][6] != ids[2][0] and ids[3][3] != ids[3][0]
+
+
+def test_substrings(spark):
+    found = substrings.without_repeats(messy(spark))
+    assert counted(found.drop("kept").collect()) == expected_words(messy_rows())
+    assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in found.collect())
+
+
+def test_substrings_of_tangled_texts(spark, small_batches):
+    found = substrings.without_repeats(messy(spark, rows=tangled_rows(), parts=5)).drop("kept").collect()
+    assert counted(found) == expected_words(tangled_rows())
+    assert sum(r.n_removed for r in found) > 1000
+
+
+def test_suffix_buckets(spark):
+    found = suffix_buckets.without_repeats(messy(spark))
+    assert counted(found.drop("kept").collect()) == expected_bytes(messy_rows())
+    assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in found.collect())
+
+
+@pytest.mark.parametrize("parts", [1, 6])
+def test_suffix_buckets_of_tangled_texts(spark, small_batches, parts):
+    found = suffix_buckets.without_repeats(messy(spark, rows=tangled_rows(), parts=parts)).drop("kept").collect()
+    assert counted(found) == expected_bytes(tangled_rows())
+    assert len({r.n_removed for r in found}) > 20
+
+
+def test_long_texts_are_cut_into_overlapping_segments(monkeypatch):
+    texts = [t.encode() for t in (prose(1, 900), "short", "", "q" * 900)]
+    monkeypatch.setattr(suffix_buckets, "SEGMENT", 256)
+    starts = set()
+    for buffer, names, bounds in suffix_buckets.segments(texts):
+        for (row, at), (begin, end) in zip(names.tolist(), bounds.tolist()):
+            assert buffer[begin:end].tobytes() == texts[row][at : at + 256 + 199]
+            starts |= {(row, s) for s in range(at, at + end - begin - 199)}
+    assert starts == {(row, s) for row, t in enumerate(texts) for s in range(len(t) - 199)}
+
+
+def test_cut_texts_choose_the_same_grams(monkeypatch):
+    text = prose(1, 900).encode()
+    whole = chosen(suffix_buckets, [text])
+    monkeypatch.setattr(suffix_buckets, "SEGMENT", 256)
+    assert chosen(suffix_buckets, [text]) == whole
+
+
+def chosen(module, texts):
+    out = {}
+    for buffer, names, bounds in module.segments(texts):
+        runs = module.gram_runs(buffer, names, bounds, module.refined(module.BYTE_HASH[buffer], 64))
+        for row, gram, first, last in zip(runs.row, runs.gram, runs.first, runs.last):
+            out |= {(int(row), s): int(gram) for s in range(first, last + 1)}
+    return out
+
+
+def test_empty_table(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert substrings.without_repeats(empty).count() == 0 and suffix_buckets.without_repeats(empty).count() == 0
+    with pytest.raises(ValueError):
+        substrings.without_repeats(empty, window=31)
