@@ -8,10 +8,12 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from keyfold.operators import progress, signals
+from keyfold.operators.merge import LOG_ORDER, TIME_ORDER
 from keyfold.session import SESSION_CONF
 from keyfold.sources import message_log
-from keyfold.streaming import jobs
+from keyfold.streaming import bulk, jobs
 
+ORDERS = {"time": TIME_ORDER, "log": LOG_ORDER}
 JOBS = {"documents": jobs.document_job, "keep-last": jobs.keep_last_job, "profiles": jobs.profile_job}
 
 
@@ -23,29 +25,67 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--messages", help="folder of Parquet message files, in place of Kafka")
     parser.add_argument("--servers", help="Kafka bootstrap servers")
     parser.add_argument("--topic")
-    parser.add_argument("--partitions", type=int, default=1, help="partitions of the topic")
+    parser.add_argument("--partitions", type=int, help="partitions of the topic; needed once the ledger has positions")
     parser.add_argument("--start", choices=progress.START_POLICIES, default="latest", help="where no position is stored")
-    parser.add_argument("--rate", type=int, help="messages per partition and second at most")
+    parser.add_argument("--rate", type=int, help="messages per Kafka partition and second at most")
+    parser.add_argument("--max-files", type=int, help="files of --messages per batch at most")
     parser.add_argument("--interval", type=float, help="seconds between batches; without it the backlog is worked off once")
     parser.add_argument("--prefix", default="app")
     parser.add_argument("--group", default="g1")
     parser.add_argument("--queue", default=signals.TASK_QUEUE)
     parser.add_argument("--null-policy", choices=["overwrite", "ignore"], default="overwrite")
+    parser.add_argument("--order", choices=ORDERS, default="time", help="what makes a message the newer one")
+    parser.add_argument("--flat", action="store_true", help="replace nested objects as a whole")
+    parser.add_argument("--unquoted-names", action="store_true", help="accept {id:1}")
+    parser.add_argument("--compact-every", type=int, default=0, help="batches between snapshots of the store")
+    parser.add_argument("--buckets", type=int, default=16, help="buckets of the first snapshot")
+    parser.add_argument("--sink", help="module:factory of a transport that gets the documents in bulks")
+    parser.add_argument("--sink-option", action="append", default=[], metavar="NAME=VALUE")
     parsed = parser.parse_args(argv)
     if bool(parsed.messages) == bool(parsed.servers and parsed.topic):
         parser.error("give either --messages, or --servers and --topic")
+    if parsed.messages and parsed.rate:
+        parser.error("--rate caps Kafka partitions; use --max-files with --messages")
+    if parsed.rate and not parsed.partitions:
+        parser.error("--rate is per partition; give --partitions too")
+    if [option for option in parsed.sink_option if "=" not in option]:
+        parser.error("--sink-option takes NAME=VALUE")
     return parsed
 
 
 def kafka_source_options(tables: jobs.JobTables, args: argparse.Namespace) -> dict[str, str]:
-    """Start positions from the ledger, else by policy (S2), and the rate cap (S3)."""
+    """Start positions from the ledger, else by policy (S2), and the rate cap (S3).
+
+    The topic's partitions are whatever the source finds, until there are stored positions: then it
+    wants one for each, and a ledger that knows more partitions than were given is an error.
+    """
     spark = tables.ledger.spark
     stored = progress.load_ledger(tables.ledger.read(), args.prefix, args.group, args.topic)
-    partitions = spark.range(args.partitions).select(F.col("id").cast("int").alias("part"))
-    positions = progress.start_positions(partitions, stored, args.start)
+    count = progress.checked_partitions(stored, args.partitions)
+    start = args.start
+    if count is not None:
+        partitions = spark.range(count).select(F.col("id").cast("int").alias("part"))
+        start = progress.starting_offsets(args.topic, progress.start_positions(partitions, stored, args.start))
     cap = args.rate and message_log.offsets_per_trigger(args.rate, args.partitions, args.interval or 1)
-    return message_log.kafka_options(
-        args.servers, args.topic, args.group, progress.starting_offsets(args.topic, positions), cap
+    return message_log.kafka_options(args.servers, args.topic, args.group, start, cap)
+
+
+def job_config(args: argparse.Namespace) -> jobs.JobConfig:
+    sinks = ()
+    if args.sink:
+        sinks = (bulk.bulk_sink({"transport": args.sink, **dict(o.split("=", 1) for o in args.sink_option)}),)
+    return jobs.JobConfig(
+        args.root,
+        args.prefix,
+        args.group,
+        args.queue,
+        ORDERS[args.order],
+        args.null_policy,
+        not args.flat,
+        sinks,
+        args.compact_every,
+        args.buckets,
+        args.unquoted_names,
     )
 
 
@@ -55,11 +95,13 @@ def main(argv: list[str] | None = None) -> None:
     for key, value in SESSION_CONF.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    config = jobs.JobConfig(args.root, args.prefix, args.group, args.queue, null_policy=args.null_policy)
+    config = job_config(args)
     if args.messages:
-        stream = message_log.stream_log(spark, args.messages)
+        stream = message_log.stream_log(spark, args.messages, args.max_files)
     else:
         stream = message_log.stream_kafka(spark, kafka_source_options(jobs.JobTables(spark, config), args))
+    if config.sinks:
+        bulk.register(spark)
     jobs.start(stream, JOBS[args.job](config), args.checkpoint, args.interval, f"keyfold-{args.job}").awaitTermination()
 
 

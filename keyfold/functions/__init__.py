@@ -1,7 +1,13 @@
 from keyfold.functions.globs import glob_prefix, glob_to_regex
 from keyfold.functions.values import (
+    INEXACT_NUMBER,
+    entries_of,
+    entry,
+    entry_text,
     int_of,
+    is_null,
     is_object,
+    joined_object,
     json_token,
     let,
     long_of,
@@ -12,10 +18,16 @@ from keyfold.functions.values import (
 )
 
 __all__ = [
+    "INEXACT_NUMBER",
+    "entries_of",
+    "entry",
+    "entry_text",
     "glob_prefix",
     "glob_to_regex",
     "int_of",
+    "is_null",
     "is_object",
+    "joined_object",
     "json_token",
     "let",
     "long_of",

@@ -1,5 +1,7 @@
-"""Typed reads from a message's ``fields map<string,variant>``, and JSON text out of it.
+"""Typed reads from a message's ``fields``, and JSON text out of it.
 
+``fields`` is a ``map<string, struct<value variant, text string>>``. ``value`` tells the type and holds what
+fits a variant; ``text`` is the text as it came, where a number in the message might not fit one, else null.
 All of it is built-in column functions, so it stays in the JVM.
 """
 
@@ -10,29 +12,38 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Numbers whose digits a variant may change: fractions, exponents, and more than 18 digits.
+INEXACT_NUMBER = r"\d[.eE]|\d{19}"
+
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with the value computed once, however often the body names it."""
     return F.transform(F.array(value), body)[0]
 
 
-def _text(value: Column) -> Column:
-    """A variant as text: strings unquoted, JSON null as SQL null, objects and arrays as JSON.
+def entry(value: Column, text: Column | None = None) -> Column:
+    """An entry of ``fields``."""
+    return F.struct(value.alias("value"), (F.lit(None).cast("string") if text is None else text).alias("text"))
+
+
+def entries_of(variants: Column) -> Column:
+    """``fields`` from a map of variants whose numbers are all exact."""
+    return F.transform_values(variants, lambda _, v: entry(v))
 
-    Variants drop the zero fraction of ``5.0``. Parsed from JSON, a whole number of up to 18 digits
-    is stored as a decimal only when it had a fraction, so the fraction can be put back. Text that
-    starts after the digits cannot be a number, which spares most values the closer look.
-    """
-    text = value.cast("string")
-    had_fraction = (
-        (text < ":") & text.rlike(r"^-?\d{1,18}$") & F.schema_of_variant(value).startswith("DECIMAL")
-    )
-    return F.when(had_fraction, F.concat(text, F.lit(".0"))).otherwise(text)
+
+def entry_text(one: Column) -> Column:
+    """An entry as text: strings unquoted, numbers digit for digit, JSON null as SQL null, objects and
+    arrays as JSON."""
+    return F.coalesce(one["text"], one["value"].cast("string"))
 
 
 def text_of(fields: Column, name: str) -> Column:
     """String read: the value's text, null when the field is absent or JSON null."""
-    return _text(fields[name])
+    return entry_text(fields[name])
+
+
+def is_null(one: Column) -> Column:
+    return F.is_variant_null(one["value"])
 
 
 def _whole_number(value: Column, sql_type: str, otherwise: Callable[[Column], Column] | None = None) -> Column:
@@ -53,7 +64,7 @@ def _whole_number(value: Column, sql_type: str, otherwise: Callable[[Column], Co
 
 def int_of(fields: Column, name: str) -> Column:
     """Integer read, see :func:`_whole_number`."""
-    return _whole_number(fields[name], "int")
+    return _whole_number(fields[name]["value"], "int")
 
 
 def long_of(fields: Column, name: str) -> Column:
@@ -62,22 +73,35 @@ def long_of(fields: Column, name: str) -> Column:
     def from_date(text: Column) -> Column:
         return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), F.unix_millis(text.try_cast("timestamp")))
 
-    return _whole_number(fields[name], "bigint", from_date)
+    return _whole_number(fields[name]["value"], "bigint", from_date)
 
 
-def is_object(value: Column) -> Column:
-    """True for a variant that holds a JSON object (not for text that looks like one)."""
-    return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
+def is_object(one: Column) -> Column:
+    """True for an entry that holds a JSON object (not for text that looks like one)."""
+    return F.try_variant_get(one["value"], "$", "map<string,variant>").isNotNull()
 
 
-def json_token(value: Column) -> Column:
-    """A variant as the JSON text that stands for it, ``"a"`` or ``5`` or ``null``."""
-    return F.to_json(value)
+def json_token(one: Column) -> Column:
+    """An entry as the JSON text that stands for it, ``"a"`` or ``5.0`` or ``null``."""
+    text, known = one["text"], F.to_json(one["value"])
+    # a number beyond doubles is written as the string "Infinity"
+    beyond = known.isin('"Infinity"', '"-Infinity"') & ~text.isin("Infinity", "-Infinity")
+    return F.when(text.isNull(), known).when(known.startswith('"') & ~beyond, known).otherwise(text)
 
 
 def object_json(fields: Column) -> Column:
     """A message as JSON text without its null fields, in message order."""
-    return F.to_json(F.map_filter(fields, lambda _, v: ~F.is_variant_null(v)))
+    kept = F.filter(F.map_entries(fields), lambda e: ~is_null(e["value"]))
+    return joined_object(F.transform(kept, lambda e: F.struct(e["key"].alias("k"), json_token(e["value"]).alias("v"))))
+
+
+def joined_object(pairs: Column) -> Column:
+    """JSON object text from an array of structs ``k`` (a name) and ``v`` (a finished JSON token)."""
+
+    def member(pair: Column) -> Column:
+        return F.concat(quoted(pair["k"]), F.lit(":"), pair["v"])
+
+    return F.concat(F.lit("{"), F.array_join(F.transform(pairs, member), ","), F.lit("}"))
 
 
 def quoted(text: Column) -> Column:
@@ -90,9 +114,4 @@ def render_object(entries: Column, name: str, token: str) -> Column:
 
     Keys come out sorted, so equal documents have equal text.
     """
-    pairs = F.array_sort(F.transform(entries, lambda e: F.struct(e[name].alias("k"), e[token].alias("v"))))
-
-    def member(pair: Column) -> Column:
-        return F.concat(quoted(pair["k"]), F.lit(":"), pair["v"])
-
-    return F.concat(F.lit("{"), F.array_join(F.transform(pairs, member), ","), F.lit("}"))
+    return joined_object(F.array_sort(F.transform(entries, lambda e: F.struct(e[name].alias("k"), e[token].alias("v")))))

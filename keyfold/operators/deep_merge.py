@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keyfold.functions import is_object, json_token, quoted, render_object
+from keyfold.functions import is_object, joined_object, json_token, let, quoted, render_object
 from keyfold.operators.merge import TIME_ORDER, drop_null_fields, field_names, latest_per_shape, order_key
 
 # Null ``token`` or ``object_pos``: no leaf or no object was ever written at the path.
@@ -29,6 +29,7 @@ STATE_SCHEMA = (
     "id string, path array<string>, token string, ts timestamp, part int, pos bigint, "
     "object_ts timestamp, object_part int, object_pos bigint"
 )
+STATE_SCHEMA_NAMES = [column.split(" ")[0] for column in STATE_SCHEMA.split(", ")]
 STATE_KEY = ["id", "path"]
 OBJECT_ORDER = [f"object_{name}" for name in TIME_ORDER]
 
@@ -115,8 +116,9 @@ def state_rows(
         ),
     )
     if nested:
-        objects = F.map_filter("fields", lambda _, v: is_object(v))
-        text = F.when(F.size(objects) > 0, F.to_json(objects))
+        objects = F.map_entries(F.map_filter("fields", lambda _, v: is_object(v)))
+        pairs = F.transform(objects, lambda e: F.struct(e["key"].alias("k"), json_token(e["value"]).alias("v")))
+        text = F.when(F.size(objects) > 0, joined_object(pairs))
         nodes = F.concat(nodes, F.coalesce(_flatten_objects(text), F.array().cast(_NODES)))
     # the outer form, since Catalyst would add a filter that runs the Python function once more
     rows = docs.select("id", *TIME_ORDER, F.inline_outer(nodes)).filter(F.col("path").isNotNull())
@@ -127,6 +129,14 @@ def state_rows(
     return merge_rows(rows.select(*STATE_KEY, "token", *leaf_at, *object_at), order)
 
 
+def leaf_rows(rows: DataFrame) -> DataFrame:
+    """State rows from leaves that need no parsing: ``id, path, token, ts, part, pos``."""
+    never = {"object_ts": "timestamp", "object_part": "int", "object_pos": "bigint"}
+    return rows.select(
+        *STATE_KEY, "token", *TIME_ORDER, *[F.lit(None).cast(kind).alias(name) for name, kind in never.items()]
+    )
+
+
 def _path_shape(fields: Column) -> Column:
     """The field names of a message, and for nested objects the names and types below them."""
     entries = F.map_entries(fields)
@@ -134,7 +144,8 @@ def _path_shape(fields: Column) -> Column:
         F.transform(
             entries,
             lambda e: F.struct(
-                e["key"].alias("name"), F.when(is_object(e["value"]), F.schema_of_variant(e["value"])).alias("below")
+                e["key"].alias("name"),
+                F.when(is_object(e["value"]), F.schema_of_variant(e["value"]["value"])).alias("below"),
             ),
         )
     )
@@ -157,89 +168,88 @@ def merge_rows(rows: DataFrame, order: tuple[str, ...] = TIME_ORDER) -> DataFram
     return merged.select(*STATE_KEY, "_leaf.*", "_object.*")
 
 
+def _written(node: Column) -> Column:
+    return F.greatest(node["_leaf"], node["_object"])
+
+
+def _live(nodes: Column) -> Column:
+    """The nodes of one field without those that a newer leaf above them has replaced.
+
+    Only a path that held both a leaf and an object can replace anything; there are few of them, and every
+    node is held against those alone.
+    """
+
+    def without_replaced(resets: Column) -> Column:
+        def replaced(node: Column) -> Column:
+            def above(reset: Column) -> Column:
+                return (
+                    (F.size(reset["path"]) < F.size(node["path"]))
+                    & (F.slice(node["path"], F.lit(1), F.size(reset["path"])) == reset["path"])
+                    & (_written(node) < reset["_leaf"])
+                )
+
+            return F.exists(resets, above)
+
+        return F.filter(nodes, lambda node: ~replaced(node))
+
+    resets = F.filter(nodes, lambda n: n["_leaf"].isNotNull() & n["_object"].isNotNull())
+    return F.when(F.size(nodes) == 1, nodes).otherwise(let(resets, without_replaced))
+
+
+def _by_field(state: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """``id, field, _nodes``: merged state rows brought together by top-level field, the replaced ones
+    dropped. A group is as large as the field has paths, not as its history; where the rows are already
+    partitioned by ``id``, nothing is shuffled."""
+    node = F.struct(
+        *STATE_SCHEMA_NAMES[1:], _leaf_at(order).alias("_leaf"), _object_at(order).alias("_object")
+    )
+    grouped = state.groupBy("id", F.col("path")[0].alias("field")).agg(F.collect_list(node).alias("_nodes"))
+    return grouped.withColumn("_nodes", _live(F.col("_nodes")))
+
+
 def drop_overwritten(state: DataFrame, order: tuple[str, ...] = TIME_ORDER) -> DataFrame:
-    """Merged state rows without those that a newer leaf above them has replaced.
+    """Merged state rows without those that a newer leaf above them has replaced, in one pass.
 
     Keeps the state of a document as small as the document: without it, an object that is reset
-    again and again would leave all its former members behind. Only paths that held both a leaf
-    and an object can replace anything, and only nested paths can be replaced, so for flat
-    documents both sides of the join are empty.
+    again and again would leave all its former members behind.
     """
-    resets = state.filter(F.col("token").isNotNull() & F.col("object_pos").isNotNull()).select(
-        "id", F.col("path").alias("_above"), _leaf_at(order).alias("_reset_at")
-    )
-    above = F.transform(F.sequence(F.lit(1), F.size("path") - 1), lambda depth: F.slice("path", F.lit(1), depth))
-    nested = state.filter(F.size("path") > 1).select(
-        *STATE_KEY, F.greatest(_leaf_at(order), _object_at(order)).alias("_at"), F.explode(above).alias("_above")
-    )
-    replaced = nested.join(resets, ["id", "_above"]).filter(F.col("_at") < F.col("_reset_at")).select(*STATE_KEY)
-    return state.join(replaced, STATE_KEY, "left_anti")
-
-
-def _rebuild(nodes: list[dict]) -> str | None:
-    """The JSON token of one top-level field from its state rows; None when nothing of it is left."""
-    never = ()
-    rows = {
-        tuple(node["path"]): (
-            tuple(node["leaf_at"]) if node["leaf_at"] is not None else never,
-            tuple(node["object_at"]) if node["object_at"] is not None else never,
-            node["token"],
-        )
-        for node in nodes
-    }
-    tree: dict = {}
-    for path in sorted(rows, key=len):
-        leaf_at, object_at, token = rows[path]
-        written = max(leaf_at, object_at)
-        if any(rows[path[:depth]][0] > written for depth in range(1, len(path)) if path[:depth] in rows):
-            continue
-        parent = tree
-        for name in path[:-1]:
-            parent = parent[name]
-        parent[path[-1]] = {} if object_at > leaf_at else _Token(token)
-    return _render(next(iter(tree.values()))) if tree else None
+    return _by_field(state, order).select("id", F.inline("_nodes")).select(*STATE_SCHEMA_NAMES)
+
 
+def _rebuilt(nodes: Column) -> Column:
+    """The JSON token of one top-level field from its live nodes.
 
-class _Token(str):
-    """Finished JSON text."""
+    In the order of their paths an object comes right before its members, so each node adds its own text,
+    after as many closing braces as it stands higher than the node before.
+    """
 
+    def from_sorted(sorted_: Column) -> Column:
+        def token(node: Column) -> Column:
+            return F.when(node["is_object"], "{").otherwise(node["token"])
 
-def _render(value) -> str:
-    if isinstance(value, _Token):
-        return str(value)
-    return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{_render(value[k])}" for k in sorted(value)) + "}"
+        def closed(node: Column, depth: Column) -> Column:
+            return F.repeat(F.lit("}"), F.size(node["path"]) - depth + node["is_object"].cast("int"))
 
+        def text(node: Column, at: Column) -> Column:
+            depth, before = F.size(node["path"]), F.get(sorted_, at - 1)
+            separator = F.when(depth > F.size(before["path"]), "").otherwise(F.concat(closed(before, depth), F.lit(",")))
+            named = F.concat(separator, quoted(F.get(node["path"], depth - 1)), F.lit(":"), token(node))
+            return F.when(at == 0, token(node)).otherwise(named)
 
-@F.pandas_udf(T.StringType())
-def _rebuild_fields(groups: pd.Series) -> pd.Series:
-    return groups.map(_rebuild, na_action="ignore")
+        last = F.get(sorted_, F.size(sorted_) - 1)
+        return F.concat(F.array_join(F.transform(sorted_, text), ""), closed(last, F.lit(1)))
 
+    def seen(node: Column) -> Column:
+        is_object = F.coalesce(node["_object"] > node["_leaf"], node["_leaf"].isNull())
+        return F.struct(node["path"].alias("path"), is_object.alias("is_object"), node["token"].alias("token"))
 
-def _numbers(names: list[str]) -> Column:
-    """Order columns as an array of longs, which compares in Python as the struct does in Spark,
-    nulls first."""
-    longs = [F.unix_micros(name) if name.endswith("ts") else F.col(name).cast("bigint") for name in names]
-    return F.array(*[F.coalesce(number, F.lit(-(2**63))) for number in longs])
+    return let(F.array_sort(F.transform(nodes, seen)), from_sorted)
 
 
 def state_fields(state: DataFrame, order: tuple[str, ...] = TIME_ORDER) -> DataFrame:
-    """``id, field, token`` of the live top-level fields of merged state rows.
-
-    Looks at the rows three times; give it stored or cached ones.
-    """
-    node = F.struct(
-        "path",
-        "token",
-        F.when(F.col("token").isNotNull(), _numbers(list(order))).alias("leaf_at"),
-        F.when(F.col("object_pos").isNotNull(), _numbers([f"object_{n}" for n in order])).alias("object_at"),
-    )
-    # a group is one field of one document, whatever the length of its history
-    live = drop_overwritten(state, order)
-    grouped = live.groupBy("id", F.col("path")[0].alias("field")).agg(F.collect_list(node).alias("_nodes"))
-    first = F.col("_nodes")[0]
-    plain = (F.size("_nodes") == 1) & first["object_at"].isNull()
-    token = F.coalesce(_rebuild_fields(F.when(~plain, F.col("_nodes"))), F.when(plain, first["token"]))
-    return grouped.select("id", "field", token.alias("token"))
+    """``id, field, token`` of the live top-level fields of merged state rows, which are read once."""
+    grouped = _by_field(state, order).filter(F.size("_nodes") > 0)
+    return grouped.select("id", "field", _rebuilt(F.col("_nodes")).alias("token"))
 
 
 def state_documents(state: DataFrame, order: tuple[str, ...] = TIME_ORDER) -> DataFrame:
@@ -253,11 +263,12 @@ def update_documents(state: DataFrame, order: tuple[str, ...] = TIME_ORDER) -> D
     ``id, step, source``, to be applied in ``step`` order per id.
 
     Where the batch wrote a leaf and later an object at the same path, the store must forget what
-    lies below that path first, so a null is sent ahead of the document.
+    lies below that path first, so a null is sent ahead of the document, outer paths before inner ones.
     """
+    live = drop_overwritten(state, order)
     opened = F.array_join(F.transform("path", lambda name: F.concat(F.lit("{"), quoted(name), F.lit(":"))), "")
     reset = F.concat(opened, F.lit("null"), F.repeat(F.lit("}"), F.size("path")))
-    replaced = state.filter(_leaf_at(order) < _object_at(order))
-    resets = replaced.select("id", F.lit(0).alias("step"), reset.alias("source"))
-    documents = state_documents(state, order).select("id", F.lit(1).alias("step"), "source")
-    return resets.unionByName(documents)
+    replaced = live.filter(_leaf_at(order) < _object_at(order))
+    resets = replaced.select("id", F.size("path").alias("step"), reset.alias("source"))
+    last = F.lit(2**31 - 1).alias("step")
+    return resets.unionByName(state_documents(state, order).select("id", last, "source"))

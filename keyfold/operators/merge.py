@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyfold.functions import json_token, render_object, text_of
+from keyfold.functions import entry_text, is_null, json_token, render_object, text_of
 
 # Message time first: broker-assigned times increase within a partition, and they stay comparable
 # when an id moves to another partition. With producer clocks that run backwards, use
@@ -33,7 +33,7 @@ def keep_last(docs: DataFrame, order: tuple[str, ...] = TIME_ORDER, key: str = "
 
 
 def drop_null_fields(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("fields", F.map_filter("fields", lambda _, v: ~F.is_variant_null(v)))
+    return docs.withColumn("fields", F.map_filter("fields", lambda _, v: ~is_null(v)))
 
 
 def field_names(fields: Column) -> Column:
@@ -77,8 +77,7 @@ def field_merge(
 
 def field_text(merged: DataFrame) -> DataFrame:
     """``id, field, val`` with the value as text and JSON null as null."""
-    value = F.create_map(F.lit("v"), F.col("val"))
-    return merged.select("id", "field", text_of(value, "v").alias("val"))
+    return merged.select("id", "field", entry_text(F.col("val")).alias("val"))
 
 
 def merged_documents(merged: DataFrame) -> DataFrame:

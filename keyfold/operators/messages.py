@@ -10,24 +10,26 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyfold.functions import let, text_of
+from keyfold.functions import INEXACT_NUMBER, entry, let, text_of
 
 POSITION = ["topic", "part", "pos", "ts"]
 
 
-def parse_messages(messages: DataFrame) -> DataFrame:
-    """Adds ``fields map<string,variant>``, null unless ``value`` is exactly one JSON object (F1).
+def parse_messages(messages: DataFrame, unquoted_names: bool = False) -> DataFrame:
+    """Adds ``fields``, null unless ``value`` is exactly one JSON object (F1); see
+    :mod:`keyfold.functions.values` for its entries. ``unquoted_names`` accepts ``{id:"a"}`` too.
 
     ``from_json`` ignores text after the first value. So the message is parsed inside a wrapper,
     ``{"r": <value>, "e": {"h": <hash of value>}}``: text that closes the wrapper early hides the
     hash, text that adds members changes the size. One parse answers both questions. Only a value
-    holding its own hash could pass for clean, and that one is parsed again in an array.
-
+    holding its own hash could pass for clean, and that one is parsed again in an array. Where a number might
+    not survive as a variant, a second parse keeps the texts of the fields.
     """
     value = F.col("value")
+    options = {"allowUnquotedFieldNames": str(unquoted_names).lower()}
     seal = F.xxhash64(value)
     wrapped = F.concat(F.lit('{"r":'), value, F.lit(',"e":{"h":'), seal.cast("string"), F.lit("}}"))
-    listed = F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<map<string,variant>>")
+    listed = F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<map<string,variant>>", options)
 
     def unwrap(parsed: Column) -> Column:
         clean = (
@@ -35,9 +37,43 @@ def parse_messages(messages: DataFrame) -> DataFrame:
             & F.try_variant_get(parsed["e"]["h"], "$", "bigint").eqNullSafe(seal)
             & (~F.contains(value, seal.cast("string")) | (F.size(listed) == 1))
         )
-        return F.when(clean, let(parsed["r"], _last_key_wins))
+        return F.when(clean, parsed["r"])
+
+    variants = let(F.from_json(wrapped, "map<string,map<string,variant>>", options), unwrap)
+    texts = F.when(value.rlike(INEXACT_NUMBER), _texts(value, seal, options))
+    parsed = bind(messages, _variants=variants, _texts=texts)
+    return bind(parsed, fields=_last_key_wins(F.col("_variants"), F.col("_texts"))).drop("_variants", "_texts")
+
+
+# Signs that no JSON text holds as they are; they stand in for others while numbers are marked.
+_OPEN, _CLOSE, _BACKSLASH, _QUOTE, _APOSTROPHE = "\x01\x02\x03\x04\x05"
+# Strings and bare words, or a number.
+_TOKENS = r"""("[^"]*+"|'[^']*+'|[A-Za-z_$][\w$]*+)|(-?\d[\d.eE+-]*+)"""
+
 
-    return bind(messages, fields=let(F.from_json(wrapped, "map<string,map<string,variant>>"), unwrap))
+def _texts(value: Column, seal: Column, options: dict) -> Column:
+    """The texts of a message's fields in order, numbers digit for digit.
+
+    A JSON reader hands numbers on as it understands them. So every number is made a string that holds the
+    message's hash, and when the strings are back, what holds the hash is a number again.
+    """
+    mark = F.concat(F.lit("#"), seal.cast("string"), F.lit("#"))
+    escapes = (("\\\\", _BACKSLASH), ('\\"', _QUOTE), ("\\'", _APOSTROPHE))
+    text = value
+    for escape, sign in escapes:
+        text = F.replace(text, F.lit(escape), F.lit(sign))
+    text = F.regexp_replace(text, _TOKENS, f"$1{_OPEN}$2{_CLOSE}")
+    text = F.replace(text, F.lit(_OPEN + _CLOSE), F.lit(""))
+    text = F.replace(F.replace(text, F.lit(_OPEN), F.concat(F.lit('"'), mark)), F.lit(_CLOSE), F.lit('"'))
+    for escape, sign in escapes:
+        text = F.replace(text, F.lit(sign), F.lit(escape))
+    parsed = F.from_json(F.concat(F.lit('{"r":'), text, F.lit("}")), "map<string,map<string,string>>", options)
+
+    def unmarked(one: Column) -> Column:
+        inside = F.replace(one, F.concat(F.lit('"'), mark), F.lit(_OPEN))
+        return F.replace(F.regexp_replace(inside, f'{_OPEN}([^"]*)"', "$1"), mark, F.lit(""))
+
+    return F.transform(F.map_values(parsed["r"]), unmarked)
 
 
 def bind(rows: DataFrame, **columns: Column) -> DataFrame:
@@ -51,18 +87,24 @@ def bind(rows: DataFrame, **columns: Column) -> DataFrame:
     return rows.withColumn("_bound", one).select(*rows.columns, F.inline(F.array("_bound")))
 
 
-def _last_key_wins(fields: Column) -> Column:
-    """A parsed map keeps repeated keys; rebuild only the maps that have any."""
+def _last_key_wins(variants: Column, texts: Column) -> Column:
+    """``fields`` from a parsed map, which keeps repeated keys, and its values' texts in the same order. Only
+    a message that repeats a key is sorted for the last place of each."""
+    keys, values = F.map_keys(variants), F.map_values(variants)
+
+    def at(place: Column) -> Column:
+        return F.struct(F.get(keys, place).alias("key"), entry(F.get(values, place), F.get(texts, place)).alias("value"))
 
-    def without_repeats(entries: Column) -> Column:
-        def is_last(entry: Column, at: Column) -> Column:
-            later = F.slice(entries, at + 2, F.size(entries))
-            return ~F.exists(later, lambda other: other["key"] == entry["key"])
+    def last_places(sorted_: Column) -> Column:
+        def is_last(one: Column, i: Column) -> Column:
+            return ~F.coalesce(F.get(sorted_, i + 1)["key"] == one["key"], F.lit(False))
 
-        return F.map_from_entries(F.filter(entries, is_last))
+        return F.array_sort(F.transform(F.filter(sorted_, is_last), lambda one: one["place"]))
 
-    repeated = F.size(F.array_distinct(F.map_keys(fields))) < F.size(fields)
-    return F.when(repeated, let(F.map_entries(fields), without_repeats)).otherwise(fields)
+    by_key = F.array_sort(F.transform(keys, lambda key, i: F.struct(key.alias("key"), i.alias("place"))))
+    repeated = F.size(F.array_distinct(keys)) < F.size(keys)
+    places = F.when(repeated, let(by_key, last_places)).otherwise(F.transform(keys, lambda _, i: i))
+    return F.when(variants.isNotNull(), F.map_from_entries(F.transform(places, at)))
 
 
 def unreadable_reason() -> Column:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyfold.functions import int_of, long_of, text_of
+from keyfold.functions import int_of, long_of, quoted, text_of
+from keyfold.operators.deep_merge import leaf_rows, merge_rows
 from keyfold.operators.merge import TIME_ORDER, newest_columns
 from keyfold.operators.messages import POSITION, bind, unreadable_reason
 
@@ -60,10 +61,21 @@ def profile_json(rows: DataFrame) -> DataFrame:
     return rows.select("id", F.to_json(F.struct(*PROFILE_COLUMNS)).alias("source"), *POSITION)
 
 
-def profile_documents(rows: DataFrame) -> DataFrame:
-    """Profiles as documents for the store, in the shape :func:`messages.documents` gives."""
-    as_json = profile_json(rows).withColumnRenamed("source", "value")
-    return bind(as_json, fields=F.from_json("value", "map<string,variant>"))
+def profile_state(rows: DataFrame, order: tuple[str, ...] = TIME_ORDER) -> DataFrame:
+    """Profiles as state rows of the store, written from their typed columns; null columns write
+    nothing."""
+    numbers = ("user_created_at", "user_from")
+    leaves = F.array(
+        *[
+            F.struct(
+                F.array(F.lit(name)).alias("path"),
+                (F.when(F.col(name).isNotNull(), F.col(name).cast("string") if name in numbers else quoted(F.col(name)))).alias("token"),
+            )
+            for name in PROFILE_COLUMNS
+        ]
+    )
+    written = rows.select("id", *TIME_ORDER, F.inline(F.filter(leaves, lambda leaf: leaf["token"].isNotNull())))
+    return merge_rows(leaf_rows(written), order)
 
 
 def profile_upsert(rows: DataFrame, order: tuple[str, ...] = TIME_ORDER) -> DataFrame:

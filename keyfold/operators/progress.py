@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # The ledger's lifetime, and the numbers Kafka uses for "newest" and "oldest".
@@ -44,10 +44,10 @@ def ledger_entries(ranges: DataFrame, prefix: str, group_id: str, updated_at: Co
 def carry_forward(current: DataFrame, entries: DataFrame) -> DataFrame:
     """Adds the partitions that were idle in this batch, refreshed to its time: expiry counts from
     the last write, busy or not. A ledger has one row per partition."""
-    stamp = entries.agg(F.max("updated_at").alias("updated_at"), F.max("batch_id").alias("batch_id"))
-    idle = current.join(entries, LEDGER_KEY, "left_anti").drop("updated_at", "batch_id")
-    # one row on the right side by construction
-    return entries.unionByName(idle.join(F.broadcast(stamp)).select(*entries.columns))
+    idle = current.join(entries, LEDGER_KEY, "left_anti").select(*LEDGER_KEY, "until_pos")
+    both = entries.unionByName(idle, allowMissingColumns=True)
+    latest = Window.partitionBy()
+    return both.withColumns({name: F.max(name).over(latest) for name in ("updated_at", "batch_id")})
 
 
 def current_ledger(log: DataFrame) -> DataFrame:
@@ -94,6 +94,23 @@ def start_positions(partitions: DataFrame, ledger: DataFrame, policy: str = "lat
     return joined.select("part", F.coalesce("until_pos", F.lit(START_POLICIES[policy]).cast("bigint")).alias("start_pos"))
 
 
+class UnknownPartitions(ValueError):
+    """The ledger holds positions of partitions that are not among those to read."""
+
+
+def checked_partitions(ledger: DataFrame, partitions: int | None) -> int | None:
+    """The number of partitions to start at stored positions: every one the ledger knows has to be among
+    them, or its messages would be left out. None when the ledger is empty, and no number is needed."""
+    known = ledger.agg(F.max("part")).first()[0]
+    if known is None:
+        return None
+    if partitions is None:
+        raise UnknownPartitions(f"the ledger holds positions up to partition {known}: say how many partitions there are")
+    if known >= partitions:
+        raise UnknownPartitions(f"the ledger holds a position of partition {known}, beyond the {partitions} given")
+    return partitions
+
+
 def starting_offsets(topic: str, positions: DataFrame) -> str:
     """The Kafka source's ``startingOffsets`` text. Collects one number per topic partition."""
     return json.dumps({topic: {str(row.part): row.start_pos for row in positions.orderBy("part").collect()}})

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keyfold.functions import int_of, object_json, text_of
+from keyfold.functions import entries_of, int_of, object_json, text_of
 from keyfold.operators.messages import POSITION, bind, unreadable_reason
+from keyfold.session import scratch_path
 
 # Fixed values of the signal contract.
 SIGNAL_SOURCE = "tag_operate_queue"
@@ -54,7 +55,7 @@ def signals(parsed: DataFrame) -> DataFrame:
     )
     # the added entries become variants by way of JSON, where a null text is a missing field
     added = F.from_json(F.to_json(F.struct(*enriched)), "map<string,variant>")
-    return bind(found, fields=F.map_concat("_untouched", added)).drop("_untouched")
+    return bind(found, fields=F.map_concat("_untouched", entries_of(added))).drop("_untouched")
 
 
 def queue_rows(found: DataFrame, queue: str = TASK_QUEUE) -> DataFrame:
@@ -62,26 +63,45 @@ def queue_rows(found: DataFrame, queue: str = TASK_QUEUE) -> DataFrame:
     return found.select(F.lit(queue).alias("queue_name"), object_json(F.col("fields")).alias("payload"), *POSITION)
 
 
+QUEUE_ORDER = ("ts", "part", "pos")
+
+
+def _head_first() -> list[Column]:
+    return [F.col(name).desc_nulls_last() for name in QUEUE_ORDER]
+
+
+def distinct_pushes(queue: DataFrame) -> DataFrame:
+    """Each signal once, however often its message was read."""
+    return queue.dropDuplicates(["queue_name", "topic", "part", "pos"])
+
+
 def newest_first(queue: DataFrame) -> DataFrame:
-    """Queue rows in list order, the head first. A global sort, for the reading side only."""
-    return queue.orderBy(F.col("ts").desc(), F.col("part").desc(), F.col("pos").desc())
+    """Queue rows in list order, the head first, rows without a time last. A global sort, for the
+    reading side only."""
+    return queue.orderBy(*_head_first())
 
 
 def with_place(queue: DataFrame) -> DataFrame:
     """Adds ``place``, each row's position in its list, 1 = head.
 
-    Rows are numbered inside one minute of one queue, then shifted by the count of the later
-    minutes. So no task holds a whole queue; only the counts per minute are added up in one.
+    Rows are cut into ranges of their order, whatever their times, and numbered inside a range; the ranges' sizes,
+    one row each, shift them. So a burst of one minute is spread as well as a quiet day. The ranges are
+    written first, since they are read twice.
     """
-    minute = F.date_trunc("minute", "ts").alias("_minute")
-    keyed = queue.select("*", minute)
-    inside = Window.partitionBy("queue_name", "_minute").orderBy(
-        F.col("ts").desc(), F.col("part").desc(), F.col("pos").desc()
+    ranged = queue.repartitionByRange(F.col("queue_name"), *_head_first()).sortWithinPartitions("queue_name", *_head_first())
+    spark, path = queue.sparkSession, scratch_path(queue.sparkSession, "ranges")
+    # the number of a row's partition, and its place in it, make up this id
+    numbered = ranged.withColumn("_id", F.monotonically_increasing_id())
+    numbered.write.parquet(path)
+    rows = (
+        spark.read.schema(numbered.schema)
+        .parquet(path)
+        .withColumn("_range", F.shiftright("_id", 33))
+        .withColumn("_row", F.col("_id").bitwiseAND(2**33 - 1))
     )
-    later = Window.partitionBy("queue_name").orderBy(F.col("_minute").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    counts = keyed.groupBy("queue_name", "_minute").agg(F.count(F.lit(1)).alias("_n"))
-    shifts = counts.select("queue_name", "_minute", F.coalesce(F.sum("_n").over(later), F.lit(0)).alias("_shift"))
-    numbered = keyed.withColumn("_row", F.row_number().over(inside))
-    return numbered.join(shifts, ["queue_name", "_minute"]).select(
-        *queue.columns, (F.col("_row") + F.col("_shift")).alias("place")
+    sizes = rows.groupBy("_range", "queue_name").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    before = Window.partitionBy("queue_name").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = sizes.select(
+        "_range", "queue_name", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift")
     )
+    return rows.join(shifts, ["_range", "queue_name"]).select(*queue.columns, (F.col("_row") + F.col("_shift")).alias("place"))

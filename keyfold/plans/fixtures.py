@@ -49,18 +49,29 @@ NESTED_VALUE = """CASE WHEN event_id % 5 = 0
 END"""
 
 
-def _columns(value: str) -> list[str]:
+# Numbers that neither a double nor a decimal of 38 digits holds as they are written.
+NUMBER_VALUE = """'{"id":"u' || cast(user_id as string) || '","amount":' || cast(event_id as string) || '.500,"big":'
+  || cast(event_id as string) || '123456789012345678901234567890123456789,"far":' || cast(event_id as string)
+  || 'e400,"w":{"v":[' || cast(event_id as string) || '.0]}}'"""
+
+
+def _columns(value: str, ts: str = "cast(ts as timestamp)") -> list[str]:
     return [
         f"'{TOPIC}' AS topic",
         "cast(user_id % 4 as int) AS part",
         "event_id AS pos",
-        "cast(ts as timestamp) AS ts",
+        f"{ts} AS ts",
         f"{value} AS value",
     ]
 
 
 BEHAVIOR_COLUMNS = _columns(BEHAVIOR_VALUE)
 NESTED_COLUMNS = _columns(NESTED_VALUE)
+NUMBER_COLUMNS = _columns(NUMBER_VALUE)
+# A burst: all in one minute, a third without a time.
+BURST_COLUMNS = _columns(
+    BEHAVIOR_VALUE, "CASE WHEN event_id % 3 <> 0 THEN cast('2024-01-01 00:00:00' as timestamp) END"
+)
 
 
 def log_sql(columns: list[str]) -> str:
@@ -74,4 +85,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def message_log(spark: SparkSession, sf_dir: str, columns: list[str] = BEHAVIOR_COLUMNS) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
-    return spread(events, "event_id").selectExpr(*columns)
+    return spread(events, spark.sparkContext.defaultParallelism, "event_id").selectExpr(*columns)

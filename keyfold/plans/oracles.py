@@ -110,6 +110,8 @@ SELECT topic, coalesce({_DOCUMENT_REASON}, 'document') AS reason, count(*) AS n
   task_status FROM signals""",
     "queue_newest_first": f"""{_SIGNALS} SELECT 'tags:task:queue' AS queue_name,
   row_number() OVER (ORDER BY pos DESC) AS place, {_PAYLOAD} AS payload, part, pos FROM signals""",
+    "queue_burst": f"""{_SIGNALS} SELECT 'tags:task:queue' AS queue_name,
+  row_number() OVER (ORDER BY pos % 3 = 0, part DESC, pos DESC) AS place, {_PAYLOAD} AS payload, part, pos FROM signals""",
     "user_profiles": f"{_PROFILES} SELECT {_PROFILE_COLUMNS}, pos FROM profiles",
     "profile_sources": f"""{_PROFILES} SELECT id,
   '{{"id":"' || id || '","app_id":"' || app_id || '","user_id":"' || user_id || '"'
@@ -131,6 +133,14 @@ SELECT topic, coalesce({_DOCUMENT_REASON}, 'document') AS reason, count(*) AS n
 FROM ({_newest('id, field, token')}) GROUP BY id""",
     "bulk_written": f"""{_FIELDS} SELECT id, '{{' || {_SOURCES} || '}}' AS source
 FROM ({_newest('id, field, token')}) GROUP BY id""",
+    "exact_numbers": f"""WITH newest AS (
+  SELECT 'u' || cast(user_id AS varchar) AS id, cast(max(event_id) AS varchar) AS e FROM events GROUP BY 1
+), told AS (
+  SELECT id, e || '.500' AS amount, e || '123456789012345678901234567890123456789' AS big, e || 'e400' AS far, e FROM newest
+)
+SELECT id, field, CASE field WHEN 'amount' THEN amount WHEN 'big' THEN big WHEN 'far' THEN far ELSE id END AS val,
+  '{{"amount":' || amount || ',"big":' || big || ',"far":' || far || ',"id":"' || id || '","w":{{"v":[' || e || '.0]}}}}' AS source
+FROM told, (SELECT unnest(['id', 'amount', 'big', 'far']) AS field)""",
     "document_state": f"""{_FIELDS}, merged AS ({_newest('id, field, val')})
 SELECT id, {', '.join(f"max(CASE WHEN field = '{name}' THEN val END) AS {name}" for name in _WIDE)}
 FROM merged GROUP BY id""",
@@ -160,8 +170,8 @@ FROM log GROUP BY topic, part""",
     "ledger_live": f"""{_LEDGER} SELECT topic, part, until_pos, batch_id FROM ledger
 WHERE updated_at > timestamp '2024-01-23 12:00:00'""",
     "start_positions": f"""{_LEDGER} SELECT cast(p.part AS integer) AS part, coalesce(l.until_pos, -1) AS start_pos
-FROM (SELECT unnest(range(6)) AS part) p LEFT JOIN latest l ON l.part = p.part""",
-    "point_get": f"""{_FIELDS} SELECT * FROM ({_newest('id, field, val')})
+FROM (SELECT unnest(range((SELECT max(part) + 3 FROM log))) AS part) p LEFT JOIN latest l ON l.part = p.part""",
+    "point_get": f"""{_FIELDS} SELECT * FROM ({_newest('id, field, token::varchar AS token')})
 WHERE id = 'u5' AND field IN ('nick_name', 'phone')""",
     "multi_get": f"""{_FIELDS} SELECT id, '{{' || {_SOURCES} || '}}' AS source
 FROM ({_newest('id, field, token')})
@@ -187,3 +197,6 @@ SELECT id, '{{"app_id":"' || app_id || '","id":"' || id || '"' || coalesce(',"ni
   || coalesce(',"phone":"' || phone || '"', '') || ',"user_created_at":' || user_created_at
   || ',"user_from":' || user_from || ',"user_id":"' || user_id || '"}}' AS source FROM newest""",
 }
+ORACLES["store_snapshot"] = ORACLES["document_sources"]
+ORACLES["bulk_nested"] = ORACLES["nested_merge"]
+ORACLES["stream_new_checkpoint"] = ORACLES["stream_field_merge"]

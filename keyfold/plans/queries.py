@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from keyfold.functions import text_of
 from keyfold.operators import lookup, merge, messages, profiles, progress, signals
-from keyfold.plans.fixtures import NESTED_COLUMNS, TOPIC, message_log, table
+from keyfold.plans.fixtures import BURST_COLUMNS, NESTED_COLUMNS, NUMBER_COLUMNS, TOPIC, message_log, table
 from keyfold.session import scratch_path
 from keyfold.sources.message_log import spread, stream_log
 from keyfold.streaming import bulk, jobs
-from keyfold.streaming.tables import DocumentStore
+from keyfold.streaming.tables import DIRECT, DocumentStore
 
 PREFIX, GROUP = "app", "g1"
 
@@ -26,6 +26,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.documents(_parsed(spark, sf_dir))
 
 
+def _slots(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
 def documents_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _documents(spark, sf_dir).select("id", "part", "pos", "value")
 
@@ -77,12 +81,15 @@ def _queue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queue_newest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # numbering reads the queue twice, so it is stored first, as the job stores it
-    path = scratch_path(spark, "queue")
-    queue = _queue(spark, sf_dir)
-    queue.write.parquet(path)
-    stored = spark.read.schema(queue.schema).parquet(path)
-    return signals.with_place(stored).select("queue_name", "place", "payload", "part", "pos")
+    return signals.with_place(_queue(spark, sf_dir)).select("queue_name", "place", "payload", "part", "pos")
+
+
+def queue_burst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The queue's order when all signals come in one minute, some have no time, and all were read twice."""
+    found = signals.signals(messages.parse_messages(message_log(spark, sf_dir, BURST_COLUMNS)))
+    queue = signals.queue_rows(found)
+    once = signals.distinct_pushes(queue.unionByName(queue))
+    return signals.with_place(once).select("queue_name", "place", "payload", "part", "pos")
 
 
 def user_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,7 +119,7 @@ def conversation_last_turn(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("timestamp").alias("ts"),
         F.to_json(F.struct(F.col("conv_id").alias("id"), "role", "text")).alias("value"),
     )
-    docs = messages.documents(messages.parse_messages(spread(log, "pos")))
+    docs = messages.documents(messages.parse_messages(spread(log, _slots(spark), "pos")))
     last = merge.keep_last(docs.select("id", "pos", "part", "ts", "fields"), merge.LOG_ORDER)
     return last.select(
         "id",
@@ -134,15 +141,56 @@ def document_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.merged_documents(merge.field_merge(_documents(spark, sf_dir)))
 
 
+def exact_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose numbers have more digits than any number type."""
+    docs = messages.documents(messages.parse_messages(message_log(spark, sf_dir, NUMBER_COLUMNS)))
+    store = DocumentStore(spark, scratch_path(spark, "numbers"))
+    store.write_batch(docs, 0)
+    fields = merge.field_text(merge.field_merge(docs)).filter("field <> 'w'")
+    return fields.join(store.documents(), "id").select("id", "field", "val", "source")
+
+
 def bulk_written(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents as the batched writer hands them to an external store, read back from there."""
+    """The documents as a job's bulk sink hands them to an external store, read back from there."""
     bulk.register(spark)
     path = scratch_path(spark, "bulk")
-    bulk.bulk_sink({"transport": "keyfold.streaming.bulk:FileTransport", "path": path})(_documents(spark, sf_dir), 0)
+    sink = bulk.bulk_sink({"transport": "keyfold.streaming.bulk:FileTransport", "path": path})
+    tables = jobs.JobTables(spark, jobs.JobConfig(scratch_path(spark, "tables")))
+    tables.store.write_batch(_documents(spark, sf_dir), 0)
+    sink(jobs.Written(tables, DIRECT, 0))
     written = spark.read.schema("id string, doc string").json(f"{path}/bulk-*.jsonl")
     return written.withColumnRenamed("doc", "source")
 
 
+def bulk_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last update of every nested document that a bulk sink hands over: what follows its resets."""
+    bulk.register(spark)
+    path = scratch_path(spark, "bulk")
+    sink = bulk.bulk_sink({"transport": "keyfold.streaming.bulk:FileTransport", "path": path})
+    tables = jobs.JobTables(spark, jobs.JobConfig(scratch_path(spark, "tables")))
+    tables.store.write_batch(messages.documents(messages.parse_messages(message_log(spark, sf_dir, NESTED_COLUMNS))), 0)
+    sink(jobs.Written(tables, DIRECT, 0))
+    lines = spark.read.schema("id string, doc string").json(f"{path}/bulk-*.jsonl").withColumnRenamed("doc", "source")
+    # a reset holds nothing but nulls, and no id
+    return lines.filter(F.get_json_object("source", "$.id").isNotNull())
+
+
+def store_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of a store with batches, a snapshot, more batches, another snapshot and some more."""
+    return _store(spark, sf_dir).documents()
+
+
+def _store(spark: SparkSession, sf_dir: str) -> DocumentStore:
+    store = DocumentStore(spark, scratch_path(spark, "store"))
+    docs = _documents(spark, sf_dir)
+    for batch_id in range(5):
+        store.write_batch(docs.filter(F.pmod("pos", F.lit(5)) == batch_id), batch_id)
+        if batch_id in (1, 3):
+            store.compact(buckets=8)
+            store.clean()
+    return store
+
+
 def document_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ["nick_name", "phone", "user_from", "tag_id", "batch_id"]
     return merge.wide_state(_documents(spark, sf_dir), names)
@@ -163,7 +211,7 @@ def corpus_state(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     both = messages.union_logs(log(0, "lang", "text"), log(1, "source", "n_chars"))
-    parsed = messages.parse_messages(spread(both, "pos"))
+    parsed = messages.parse_messages(spread(both, _slots(spark), "pos"))
     names = ["text", "lang", "source", "n_chars"]
     return merge.wide_state(messages.documents(parsed), names, order=merge.LOG_ORDER)
 
@@ -207,14 +255,16 @@ def ledger_live(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def start_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All partitions of the log and two that are new."""
     ledger = progress.load_ledger(_ledger(spark, sf_dir), PREFIX, GROUP, TOPIC)
-    partitions = spark.range(6).select(F.col("id").cast("int").alias("part"))
+    top = message_log(spark, sf_dir).agg(F.max("part").alias("top"))
+    partitions = top.select(F.explode(F.sequence(F.lit(0), F.col("top") + 2)).alias("part"))
     return progress.start_positions(partitions, ledger)
 
 
 def point_get(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wanted = _documents(spark, sf_dir).filter(F.col("id") == "u5")
-    return lookup.point_get(merge.field_text(merge.field_merge(wanted)), "u5", ("nick_name", "phone"))
+    """One document read from the store: a bucket of its snapshot and the changes since."""
+    return _store(spark, sf_dir).get("u5", ("nick_name", "phone"))
 
 
 def multi_get(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,17 +291,22 @@ def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.batch_metrics(_parsed(spark, sf_dir), reasons, [batch])
 
 
-def _streamed(spark: SparkSession, sf_dir: str, job) -> jobs.JobTables:
-    """Writes the log in five pieces and restarts the job after each of them."""
+def _streamed(
+    spark: SparkSession, sf_dir: str, job, checkpoints: int = 1, compact_every: int = 0
+) -> jobs.JobTables:
+    """Writes the log in five pieces and restarts the job after each of them, some time with a new
+    checkpoint if there are to be several; each checkpoint reads a log of its own."""
     root = scratch_path(spark, "stream")
     log = message_log(spark, sf_dir)
-    last = table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0]
-    config = jobs.JobConfig(f"{root}/tables", PREFIX, GROUP)
-    for piece in range(5):
-        bounds = F.col("pos").between(last * piece // 5 + (piece > 0), last * (piece + 1) // 5)
-        log.filter(bounds).write.mode("append").parquet(f"{root}/log")
-        stream = stream_log(spark, f"{root}/log")
-        jobs.start(stream, job(config), f"{root}/checkpoint").awaitTermination()
+    last = table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] or 0
+    config = jobs.JobConfig(f"{root}/tables", PREFIX, GROUP, compact_every=compact_every, buckets=8)
+    pieces = 5
+    piece = F.coalesce(F.least(F.greatest(F.floor(F.col("pos") * pieces / (last + 1)), F.lit(0)), F.lit(pieces - 1)), F.lit(0))
+    for number in range(pieces):
+        life = number * checkpoints // pieces
+        log.filter(piece == number).write.mode("append").parquet(f"{root}/log{life}")
+        stream = stream_log(spark, f"{root}/log{life}")
+        jobs.start(stream, job(config), f"{root}/checkpoint{life}").awaitTermination()
     return jobs.JobTables(spark, config)
 
 
@@ -260,6 +315,12 @@ def stream_field_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, sf_dir, jobs.document_job).store.fields()
 
 
+def stream_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The document job that loses its checkpoint halfway and goes on with a new one, on the same tables, with
+    snapshots taken in between."""
+    return _streamed(spark, sf_dir, jobs.document_job, checkpoints=2, compact_every=2).store.fields()
+
+
 def stream_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The keep-last job over a streamed log: its signal queue."""
     return _streamed(spark, sf_dir, jobs.keep_last_job).queue.read().select("queue_name", "payload", "part", "pos")
@@ -276,6 +337,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "text_audit": text_audit,
     "signals": signal_rows,
     "queue_newest_first": queue_newest_first,
+    "queue_burst": queue_burst,
     "user_profiles": user_profiles,
     "profile_sources": profile_sources,
     "profile_upsert": profile_upsert,
@@ -284,7 +346,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "field_merge": field_merge,
     "field_merge_ignore_null": field_merge_ignore_null,
     "document_sources": document_sources,
+    "exact_numbers": exact_numbers,
     "bulk_written": bulk_written,
+    "bulk_nested": bulk_nested,
+    "store_snapshot": store_snapshot,
     "document_state": document_state,
     "corpus_state": corpus_state,
     "nested_merge": nested_merge,
@@ -297,6 +362,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "key_glob": key_glob,
     "batch_metrics": batch_metrics,
     "stream_field_merge": stream_field_merge,
+    "stream_new_checkpoint": stream_new_checkpoint,
     "stream_queue": stream_queue,
     "stream_profiles": stream_profiles,
 }

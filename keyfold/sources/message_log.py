@@ -68,12 +68,7 @@ def trigger(interval_seconds: float | None) -> dict:
     return {"processingTime": f"{interval_seconds} seconds"}
 
 
-def spread(rows: DataFrame, *keys: str) -> DataFrame:
-    """Spreads a scan of fewer splits than the cluster has slots, for parsing is CPU-bound.
-
-    A large input has more splits than slots already and is left alone, without a shuffle.
-    """
-    slots = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() >= slots:
-        return rows
-    return rows.repartition(slots, *keys)
+def spread(rows: DataFrame, slots: int | None, *keys: str) -> DataFrame:
+    """Spreads a scan of fewer splits than the cluster has ``slots``, for parsing is CPU-bound. None leaves it
+    alone, without a shuffle, as is right for an input of many splits."""
+    return rows if slots is None else rows.repartition(slots, *keys)

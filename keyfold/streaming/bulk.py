@@ -3,8 +3,8 @@
 ``df.select("id", "source").write.format("keyfold_bulk").option("transport", "pkg.module:factory")``
 
 The factory is called in each task with the options and returns an object with
-``send(rows) -> list[str]``, where ``rows`` is a list of ``(id, source)`` and the result names the
-items the store refused; ``close()``; and, if it wants the outcome on the driver, ``report(outcome)``.
+``send(rows) -> list``, where ``rows`` is a list of ``(id, source)`` and the result names the items the
+store refused, as ids or ``(id, reason)``; ``close()``; and, if it wants the outcome on the driver, ``report(outcome)``.
 ``send`` raises :class:`Busy` to be called again later; any other error fails the task, and Spark
 repeats it. Upserts by id make a repeated bulk harmless. :func:`register` sends this package to the
 executors; a transport of your own goes there with ``--py-files``.
@@ -12,18 +12,21 @@ executors; a transport of your own goes there with ``--py-files``.
 
 from __future__ import annotations
 
+import atexit
 import importlib
 import json
-import os
 import shutil
 import tempfile
 import time
-import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyarrow import fs
+from pyspark import TaskContext
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceStreamWriter,
@@ -31,7 +34,8 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
-from keyfold.operators.deep_merge import state_rows, update_documents
+from keyfold.operators.deep_merge import update_documents
+from keyfold.streaming.jobs import OUTCOME_SCHEMA, Written
 
 # The default flush and retry policy.
 MAX_ROWS = 1_000
@@ -70,9 +74,11 @@ class _Bulks:
         self.retries = int(options.get("retries", RETRIES))
         self.backoff_ms = int(options.get("backoff_ms", BACKOFF_MS))
 
-    def write(self, iterator: Iterator) -> BulkOutcome:
+    def write(self, iterator: Iterator, refusals: list | None = None) -> BulkOutcome:
+        """Sends the rows; ``refusals`` collects ``(id, reason)`` of the items the store did not take."""
         transport = _transport(self.options)
         outcome = BulkOutcome()
+        self.refusals = refusals
         bulk, size = [], 0
         try:
             for row in iterator:
@@ -101,6 +107,8 @@ class _Bulks:
         outcome.bytes += size
         outcome.bulks += 1
         outcome.failed += len(refused)
+        if self.refusals is not None:
+            self.refusals += [(r, None) if isinstance(r, str) else tuple(r) for r in refused]
         outcome.ms += int((time.monotonic() - started) * 1000)
 
     def report(self, messages: list[BulkOutcome | None], batch_id: int | None) -> None:
@@ -157,22 +165,39 @@ class BulkDataSource(DataSource):
         return BulkStreamWriter(self.options)
 
 
+_SHIPPED: set[str] = set()
+
+
 def register(spark: SparkSession) -> None:
     """Makes the writer known to a session, and this package to its executors."""
-    sources = Path(__file__).resolve().parents[2]
-    archive = shutil.make_archive(f"{tempfile.mkdtemp()}/keyfold", "zip", sources, "keyfold")
-    spark.sparkContext.addPyFile(archive)
+    application = spark.sparkContext.applicationId
+    if application not in _SHIPPED:
+        _SHIPPED.add(application)
+        folder = tempfile.mkdtemp()  # executors may fetch the archive as long as the driver lives
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        sources = Path(__file__).resolve().parents[2]
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/keyfold", "zip", sources, "keyfold"))
     spark.dataSource.register(BulkDataSource)
 
 
 class FileTransport:
-    """Bulks as JSON-lines files below ``path``, a mounted folder all executors share."""
+    """Bulks as JSON-lines files below ``path``, a folder or URI that all executors reach.
 
-    def __init__(self, options: dict):
-        self.path = options["path"].removeprefix("file://").removeprefix("file:")
-        os.makedirs(self.path, exist_ok=True)
+    Files are named by batch, task and bulk, so a task or batch that is repeated writes the same files again.
+    """
 
-    def send(self, rows: list[tuple[str, str]]) -> list[str]:
+    def __init__(self, options: dict):
+        uri = options["path"]
+        if uri.startswith("file:"):
+            uri = "/" + uri.removeprefix("file:").lstrip("/")
+        self.files, self.path = fs.FileSystem.from_uri(uri)
+        self.files.create_dir(self.path)
+        task = TaskContext.get()
+        batch = options.get("batch") or (task and task.getLocalProperty("streaming.sql.batchId")) or "0"
+        self.name = f"{batch}-{task.partitionId() if task else 'driver'}"
+        self.bulks = 0
+
+    def send(self, rows: list[tuple[str, str]]) -> list:
         self._put("bulk", [f'{{"id":{json.dumps(doc_id)},"doc":{source}}}' for doc_id, source in rows])
         return []
 
@@ -183,25 +208,42 @@ class FileTransport:
         pass
 
     def _put(self, kind: str, lines: list[str]) -> None:
-        target = f"{self.path}/{kind}-{uuid.uuid4().hex}.jsonl"
-        with open(target + ".part", "w", encoding="utf-8") as out:
-            out.writelines(line + "\n" for line in lines)
-        os.replace(target + ".part", target)
+        target = f"{self.path}/{kind}-{self.name}-{self.bulks}.jsonl"
+        self.bulks += 1
+        with self.files.open_output_stream(target + ".part") as out:
+            out.write("".join(line + "\n" for line in lines).encode())
+        self.files.move(target + ".part", target)
 
 
-def bulk_sink(options: dict[str, str], nested: bool = True, null_policy: str = "overwrite") -> Callable:
+class bulk_sink:  # noqa: N801 - used like a function
     """A document sink for :class:`jobs.JobConfig`: each batch as partial updates of its documents.
 
-    All updates of an id go through one task, in order; there are few, since the batch is merged.
+    The updates come from the change rows the store has written. All updates of an id go through one task, in
+    order. Refused items stand in the outcome table with their reasons, beside one row of totals a task;
+    a repeated batch replaces them.
     """
-    def sink(docs: DataFrame, batch_id: int) -> None:
-        # a stream runs its batches in a session of its own
-        docs.sparkSession.dataSource.register(BulkDataSource)
-        state = state_rows(docs, null_policy, nested=nested).persist()
-        try:
-            updates = update_documents(state).repartition("id").sortWithinPartitions("id", "step")
-            updates.select("id", "source").write.format("keyfold_bulk").options(**options).mode("append").save()
-        finally:
-            state.unpersist()
 
-    return sink
+    def __init__(self, options: dict[str, str], name: str = "bulk"):
+        self.options = dict(options)
+        self.name = name
+
+    def __call__(self, written: Written) -> int:
+        options = {**self.options, "batch": f"{written.run}-{written.batch_id}"}
+        name = self.name
+
+        def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            refusals: list = []
+            rows = (row for frame in frames for row in frame.to_dict("records"))
+            done = _Bulks(options).write(rows, refusals)
+            task = TaskContext.get().partitionId()
+            out = [(name, task, None, None, done.rows, done.bytes, done.bulks, done.ms)]
+            out += [(name, task, doc_id, reason, 0, 0, 0, 0) for doc_id, reason in refusals]
+            yield pd.DataFrame(out, columns=[c.split(" ")[0] for c in OUTCOME_SCHEMA.split(", ")])
+
+        updates = update_documents(written.changes(), written.tables.store.order)
+        ordered = updates.repartition("id").sortWithinPartitions("id", "step").select("id", "source")
+        outcome = written.tables.outcome
+        # a folder for each sink of the batch
+        run = f"{written.run}-{name}"
+        outcome.write(ordered.mapInPandas(send, OUTCOME_SCHEMA), written.batch_id, run)
+        return outcome.read_batch(written.batch_id, run).filter(F.col("id").isNotNull()).count()

@@ -10,15 +10,18 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from keyfold.operators import messages, profiles, progress, signals
+from keyfold.operators.deep_merge import state_rows
 from keyfold.operators.merge import TIME_ORDER, keep_last
 from keyfold.sources.message_log import trigger
 from keyfold.streaming.tables import (
+    DIRECT,
     METRICS_SCHEMA,
     QUARANTINE_SCHEMA,
     QUEUE_SCHEMA,
@@ -26,7 +29,11 @@ from keyfold.streaming.tables import (
     DocumentStore,
 )
 
-BatchFunction = Callable[[DataFrame, int], None]
+OUTCOME_SCHEMA = (
+    "sink string, task int, id string, reason string, rows bigint, bytes bigint, bulks bigint, ms bigint"
+)
+# Set by Spark for the jobs of a stream: a query keeps its id as long as its checkpoint lives.
+_QUERY_ID = "sql.streaming.queryId"
 
 
 @dataclass(frozen=True)
@@ -40,8 +47,12 @@ class JobConfig:
     order: tuple[str, ...] = TIME_ORDER
     null_policy: str = "overwrite"
     nested: bool = True
-    # extra document sinks, called with the batch's documents and the batch id
-    sinks: tuple[BatchFunction, ...] = ()
+    # extra document sinks, each called with a :class:`Written` batch; what they return counts as failed
+    sinks: tuple[Callable[[Written], int | None], ...] = ()
+    # fold the changes into a snapshot every so many batches; 0 leaves that to someone else
+    compact_every: int = 0
+    buckets: int = 16
+    unquoted_names: bool = False
 
 
 class JobTables:
@@ -53,6 +64,7 @@ class JobTables:
         self.queue = BatchTable(spark, f"{root}/queue", QUEUE_SCHEMA)
         self.quarantine = BatchTable(spark, f"{root}/quarantine", QUARANTINE_SCHEMA)
         self.metrics = BatchTable(spark, f"{root}/metrics", METRICS_SCHEMA)
+        self.outcome = BatchTable(spark, f"{root}/outcome", OUTCOME_SCHEMA)
         self.ledger = BatchTable(
             spark,
             f"{root}/ledger",
@@ -60,65 +72,96 @@ class JobTables:
         )
 
 
+@dataclass(frozen=True)
+class Written:
+    """A batch whose change rows are in the store."""
+
+    tables: JobTables
+    run: str
+    batch_id: int
+
+    def changes(self) -> DataFrame:
+        """The merged state rows of the batch, as they were written."""
+        return self.tables.store.changes.read_batch(self.batch_id, self.run).drop("run", "batch_id")
+
+
+BatchFunction = Callable[[DataFrame, int], None]
+
+
 def document_job(config: JobConfig) -> BatchFunction:
     """Documents upserted field by field, signals queued."""
-    return _batch_function(config, lambda parsed: messages.documents(parsed), with_signals=True)
+    return _batch_function(config, lambda parsed: _states(messages.documents(parsed), config), with_signals=True)
 
 
 def keep_last_job(config: JobConfig) -> BatchFunction:
     """As :func:`document_job`, but within a batch the newest message of an id stands alone."""
-    return _batch_function(
-        config,
-        lambda parsed: keep_last(messages.documents(parsed).select("id", "fields", "ts", "part", "pos"), config.order),
-        with_signals=True,
-    )
+
+    def newest(parsed: DataFrame) -> DataFrame:
+        docs = messages.documents(parsed).select("id", "fields", "ts", "part", "pos")
+        return _states(keep_last(docs, config.order), config)
+
+    return _batch_function(config, newest, with_signals=True)
 
 
 def profile_job(config: JobConfig) -> BatchFunction:
     """User profiles upserted by ``app_id|user_id``; no signals."""
     return _batch_function(
-        config, lambda parsed: profiles.profile_documents(profiles.profiles(parsed)), with_signals=False
+        config, lambda parsed: profiles.profile_state(profiles.profiles(parsed), config.order), with_signals=False
     )
 
 
+def _states(docs: DataFrame, config: JobConfig) -> DataFrame:
+    return state_rows(docs, config.null_policy, config.order, config.nested)
+
+
 def _batch_function(
-    config: JobConfig, to_documents: Callable[[DataFrame], DataFrame], with_signals: bool
+    config: JobConfig, to_states: Callable[[DataFrame], DataFrame], with_signals: bool
 ) -> BatchFunction:
     def run(batch: DataFrame, batch_id: int) -> None:
         started = time.monotonic()
+        spark = batch.sparkSession
         # whatever the session: of a nested object's repeated keys the last one wins
-        batch.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-        tables = JobTables(batch.sparkSession, config)
-        parsed = messages.parse_messages(batch).persist()
+        spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+        own_run = spark.sparkContext.getLocalProperty(_QUERY_ID) or DIRECT
+        tables = JobTables(spark, config)
+        parsed = messages.parse_messages(batch, config.unquoted_names).persist()
         try:
             if with_signals:
                 reasons = {"document": messages.document_reason(), "signal": signals.signal_reason()}
             else:
                 reasons = {"profile": profiles.profile_reason()}
-            # one row; computing it fills the cache in parallel
-            metrics = batch_metrics(parsed, reasons).first()
-            if not metrics.messages:
+            # one row per topic partition: counts and positions; computing it fills the cache in parallel
+            counted = batch_metrics(parsed, reasons, ["topic", "part"], F.max("pos").alias("last_pos")).collect()
+            if not counted:
                 return
-            tables.quarantine.write(messages.rejects(parsed, **reasons), batch_id)
-
-            docs = to_documents(parsed)
-            tables.store.write_batch(docs, batch_id)
-            for sink in config.sinks:
-                sink(docs, batch_id)
-            if with_signals:
+            totals = [sum(row[name] for row in counted) for name in COUNTS]
+            found = dict(zip(COUNTS, totals))
+            if found["rejected"]:
+                tables.quarantine.write(messages.rejects(parsed, **reasons), batch_id, own_run)
+            tables.store.write_rows(to_states(parsed), batch_id, own_run)
+            written = Written(tables, own_run, batch_id)
+            failed = sum(sink(written) or 0 for sink in config.sinks)
+            if with_signals and found["signals"]:
                 queued = signals.queue_rows(signals.signals(parsed), config.queue)
-                tables.queue.write(queued, batch_id)
+                tables.queue.write(queued, batch_id, own_run)
 
             elapsed = int((time.monotonic() - started) * 1000)
-            tables.metrics.write(batch.sparkSession.createDataFrame([(*metrics, elapsed)], METRICS_SCHEMA), batch_id)
-            _save_ledger(tables.ledger, parsed, config, batch_id)
+            names = [getattr(sink, "name", getattr(sink, "__name__", "sink")) for sink in config.sinks]
+            row = spark.createDataFrame([(*totals, failed, names, elapsed)], METRICS_SCHEMA)
+            tables.metrics.write(row, batch_id, own_run)
+            _save_ledger(tables, counted, config, batch_id, own_run)
+            if config.compact_every and (batch_id + 1) % config.compact_every == 0 and tables.store.compact(config.buckets):
+                tables.store.clean()
         finally:
             parsed.unpersist()
 
     return run
 
 
-def batch_metrics(parsed: DataFrame, reasons: dict, by: list | None = None) -> DataFrame:
+COUNTS = ("messages", "bytes", "documents", "signals", "rejected")
+
+
+def batch_metrics(parsed: DataFrame, reasons: dict, by: list | None = None, *more) -> DataFrame:
     """Counts of a batch (K4) in one pass: messages, bytes, documents, signals, rejected. A message
     counts as rejected when any branch turned it down."""
     is_signal = signals.signal_flag()
@@ -129,18 +172,27 @@ def batch_metrics(parsed: DataFrame, reasons: dict, by: list | None = None) -> D
         F.count_if(next(iter(reasons.values())).isNull()).alias("documents"),
         F.count_if(is_signal).alias("signals"),
         F.count_if(rejected).alias("rejected"),
+        *more,
     )
 
 
-def _save_ledger(table: BatchTable, parsed: DataFrame, config: JobConfig, batch_id: int) -> None:
-    entries = progress.ledger_entries(
-        progress.offset_ranges(parsed), config.prefix, config.group_id, F.current_timestamp(), batch_id
-    )
-    # every entry set is complete, so the batch before is enough; gaps come from empty batches
-    previous = table.read_batch(batch_id - 1)
-    if previous is None:
-        previous = progress.current_ledger(table.read(upto=batch_id - 1))
-    table.write(progress.carry_forward(previous, entries).coalesce(1), batch_id)
+def _save_ledger(tables: JobTables, counted: list, config: JobConfig, batch_id: int, run: str) -> None:
+    """Every set of entries is complete: partitions that were idle are carried forward, so expiry counts from
+    the last write, busy or not. A ledger has one row per topic partition."""
+    stored = tables.ledger.read() if batch_id == 0 else tables.ledger.read(_newest(tables.ledger, run, batch_id))
+    known = {
+        (row.prefix, row.group_id, row.topic, row.part): row.until_pos for row in progress.current_ledger(stored).collect()
+    }
+    known |= {(config.prefix, config.group_id, row.topic, row.part): row.last_pos + 1 for row in counted}
+    now = datetime.now(timezone.utc)
+    entries = tables.ledger.spark.createDataFrame([(*key, pos, now) for key, pos in known.items()], tables.ledger.schema)
+    tables.ledger.write(entries.coalesce(1), batch_id, run)
+
+
+def _newest(ledger: BatchTable, run: str, batch_id: int) -> list[tuple[str, int]]:
+    """The last folder of this run before the batch: empty batches leave none. Of a run without any, all."""
+    folders = ledger.folders().batches()
+    return [b for b in folders if b[0] == run and b[1] < batch_id][-1:] or folders
 
 
 def start(

@@ -1,12 +1,17 @@
-"""Output tables of the jobs: one folder per micro-batch, so a repeated batch replaces itself."""
+"""Output tables of the jobs: one folder per run and micro-batch, so a repeated batch replaces itself.
+
+A run is the life of one checkpoint. Batch numbers begin at 0 again in a new one, so folders of two runs never
+have the same name, and nothing compares the numbers of two runs.
+"""
 
 from __future__ import annotations
 
 import hashlib
 import uuid
+from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyfold.operators.deep_merge import (
@@ -17,59 +22,96 @@ from keyfold.operators.deep_merge import (
     state_fields,
     state_rows,
 )
+from keyfold.operators.lookup import DEFAULT_FIELDS, point_get
 from keyfold.operators.merge import TIME_ORDER
 
 QUEUE_SCHEMA = "queue_name string, payload string, topic string, part int, pos bigint, ts timestamp"
 QUARANTINE_SCHEMA = "topic string, part int, pos bigint, ts timestamp, value string, branch string, reason string"
 METRICS_SCHEMA = (
-    "messages bigint, bytes bigint, documents bigint, signals bigint, rejected bigint, ms bigint"
+    "messages bigint, bytes bigint, documents bigint, signals bigint, rejected bigint, failed bigint, "
+    "sinks array<string>, ms bigint"
 )
+# Writes outside of any stream belong to this run.
+DIRECT = "direct"
+
+
+class Folders:
+    """The folders of a path, through Spark's file systems."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self.path = path
+        self._files = self._path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def batches(self) -> list[tuple[str, int]]:
+        """``(run, batch_id)`` of every folder."""
+        found = self._files.globStatus(self._path(f"{self.path}/run=*/batch_id=*")) or []
+        names = [(s.getPath().getParent().getName(), s.getPath().getName()) for s in found]
+        return sorted((run.removeprefix("run="), int(batch.removeprefix("batch_id="))) for run, batch in names)
+
+    def delete(self, name: str) -> None:
+        self._files.delete(self._path(f"{self.path}/{name}"), True)
 
 
 class BatchTable:
-    """Parquet folder partitioned by ``batch_id``."""
+    """Parquet folder partitioned by ``run`` and ``batch_id``."""
 
     def __init__(self, spark: SparkSession, path: str, schema: str):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
 
-    def write(self, rows: DataFrame, batch_id: int) -> None:
-        rows.drop("batch_id").write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
-
-    def read(self, after: int | None = None, upto: int | None = None) -> DataFrame:
-        """Rows of the batches in ``(after, upto]``; the bounds prune folders."""
-        rows = self._load(self.path, f"{self.schema}, batch_id bigint")
-        if after is not None:
-            rows = rows.filter(F.col("batch_id") > after)
-        if upto is not None:
-            rows = rows.filter(F.col("batch_id") <= upto)
-        return rows
-
-    def read_batch(self, batch_id: int) -> DataFrame | None:
-        """One batch without listing the others; None when it was never written."""
-        try:
-            one = self.spark.read.schema(self.schema).parquet(f"{self.path}/batch_id={batch_id}")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
-        return one.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-
-    def _load(self, path: str, schema: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+    def folder(self, batch_id: int, run: str = DIRECT) -> str:
+        return f"run={run}/batch_id={batch_id}"
+
+    def write(self, rows: DataFrame, batch_id: int, run: str = DIRECT) -> None:
+        rows.drop("run", "batch_id").write.mode("overwrite").parquet(f"{self.path}/{self.folder(batch_id, run)}")
+
+    def read(self, batches: list[tuple[str, int]] | None = None) -> DataFrame:
+        """All rows, or those of some batches, of which alone the files are listed."""
+        schema = f"{self.schema}, run string, batch_id bigint"
+        if batches is None:
+            return _read(self.spark, schema, self.path)
+        if not batches:
             return self.spark.createDataFrame([], schema)
+        folders = [f"{self.path}/{self.folder(batch, run)}" for run, batch in batches]
+        return self.spark.read.schema(schema).option("basePath", self.path).parquet(*folders)
+
+    def read_batch(self, batch_id: int, run: str = DIRECT) -> DataFrame:
+        """The rows of one batch that was written."""
+        return self.read([(run, batch_id)])
+
+    def folders(self) -> Folders:
+        return Folders(self.spark, self.path)
+
+
+def _read(spark: SparkSession, schema: str, path: str) -> DataFrame:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+class Snapshot:
+    """An entry of the manifest: a folder of merged rows, and of each run the last batch folded into it."""
+
+    def __init__(self, rows: list):
+        self.seq, self.name, self.buckets = rows[0].seq, rows[0].name, rows[0].buckets
+        self.folded = {r.run: r.upto for r in rows if r.run is not None}
+
+    def holds(self, run: str, batch_id: int) -> bool:
+        return batch_id <= self.folded.get(run, -1)
 
 
 class DocumentStore:
     """Keyed document table (K1): change rows per batch, folded into a snapshot now and then.
 
     The snapshot is bucketed by ``id``. Folding new changes in shuffles the changes only: the union
-    of both sides keeps the bucketing, and the merge needs nothing else.
+    of both sides keeps the bucketing, and merging, pruning and rendering need nothing else. Rows are
+    merged by the order their messages have, never by batch numbers, so it does not matter which run wrote
+    them or how often.
     """
 
     def __init__(
@@ -86,44 +128,60 @@ class DocumentStore:
         self.null_policy = null_policy
         self.nested = nested
         self.changes = BatchTable(spark, f"{self.root}/changes", STATE_SCHEMA)
-        self.snapshots = BatchTable(spark, f"{self.root}/snapshots", "name string, buckets int")
 
-    def write_batch(self, docs: DataFrame, batch_id: int) -> None:
-        self.changes.write(state_rows(docs, self.null_policy, self.order, self.nested), batch_id)
+    def write_batch(self, docs: DataFrame, batch_id: int, run: str = DIRECT) -> None:
+        self.write_rows(state_rows(docs, self.null_policy, self.order, self.nested), batch_id, run)
+
+    def write_rows(self, rows: DataFrame, batch_id: int, run: str = DIRECT) -> None:
+        """Stores the merged state rows of one batch."""
+        self.changes.write(rows, batch_id, run)
+
+    def state(self, upto: Mapping[str, int] | None = None, where: Column | None = None) -> DataFrame:
+        """Merged state rows of everything written, or of each run as of a batch. ``where`` is a condition on
+        ``id``; it reaches both scans, and on the snapshot picks the bucket."""
+        batches = self._written(upto)
+        newest = next((s for s in self._snapshots() if _within(s.folded, upto)), None)
+
+        def chosen(rows: DataFrame) -> DataFrame:
+            return rows if where is None else rows.filter(where)
 
-    def state(self, upto: int | None = None) -> DataFrame:
-        """Merged state rows as of batch ``upto``, or of everything written."""
-        newest = self._newest_snapshot(upto)
         if newest is None:
-            return merge_rows(self.changes.read(upto=upto).drop("batch_id"), self.order)
-        changes = self.changes.read(after=newest.batch_id, upto=upto).drop("batch_id")
-        snapshot = self._snapshot_table(newest)
-        return merge_rows(snapshot.unionByName(changes.repartition(newest.buckets, "id")), self.order)
+            return merge_rows(chosen(self.changes.read(batches).drop("run", "batch_id")), self.order)
+        live = self.changes.read([b for b in batches if not newest.holds(*b)]).drop("run", "batch_id")
+        snapshot = chosen(self._snapshot_table(newest))
+        return merge_rows(snapshot.unionByName(chosen(live).repartition(newest.buckets, "id")), self.order)
 
-    def fields(self, upto: int | None = None) -> DataFrame:
+    def fields(self, upto: Mapping[str, int] | None = None) -> DataFrame:
         """``id, field, token`` of all documents."""
         return state_fields(self.state(upto), self.order)
 
-    def documents(self, upto: int | None = None) -> DataFrame:
+    def documents(self, upto: Mapping[str, int] | None = None) -> DataFrame:
         """``id, source`` of all documents."""
         return state_documents(self.state(upto), self.order)
 
-    def compact(self, upto: int, buckets: int) -> None:
-        """Folds the batches up to ``upto`` into a new snapshot, visible once its entry is written.
+    def get(self, doc_id: str, names: tuple[str, ...] = DEFAULT_FIELDS) -> DataFrame:
+        """``id, field, token`` of the named fields of one document (L1); one bucket of the snapshot is
+        read."""
+        return point_get(state_fields(self.state(where=F.col("id") == doc_id), self.order), doc_id, names)
+
+    def compact(self, buckets: int = 1) -> bool:
+        """Folds all batches into a new snapshot, visible once its entry is written; False when there is
+        nothing to fold.
 
         ``buckets`` counts for the first snapshot; later ones keep its number, which is what saves
         the shuffle. Choose it so that a bucket of the final size fits a task.
         """
-        newest = self._newest_snapshot(upto)
-        if newest is not None and newest.batch_id == upto:
-            return
+        snapshots, batches = self._snapshots(), self._written(None)
+        newest = snapshots[0] if snapshots else None
+        if not [b for b in batches if newest is None or not newest.holds(*b)]:
+            return False
         if newest is None:
-            changes = self.changes.read(upto=upto).drop("batch_id")
-            merged = merge_rows(changes.repartition(buckets, "id"), self.order)
+            merged = merge_rows(self.changes.read(batches).drop("run", "batch_id").repartition(buckets, "id"), self.order)
         else:
             buckets = newest.buckets
-            merged = self.state(upto)
-        name = f"upto-{upto}-{uuid.uuid4().hex[:8]}"
+            merged = self.state()
+        seq = newest.seq + 1 if newest else 0
+        name = f"{seq}-{uuid.uuid4().hex[:8]}"
         (
             drop_overwritten(merged, self.order)
             .write.mode("overwrite")
@@ -132,18 +190,46 @@ class DocumentStore:
             .option("path", f"{self.root}/snapshot/{name}")
             .saveAsTable(self._table_name(name))
         )
-        entry = self.spark.range(1).select(F.lit(name).alias("name"), F.lit(buckets).alias("buckets"))
-        self.snapshots.write(entry, upto)
-
-    def _newest_snapshot(self, upto: int | None):
-        known = self.snapshots.read(upto=upto)
-        return known.orderBy(F.col("batch_id").desc()).first()
+        folded = dict(newest.folded) if newest else {}
+        for run, batch_id in batches:
+            folded[run] = max(batch_id, folded.get(run, -1))
+        entry = self.spark.createDataFrame(
+            [(name, buckets, run, upto) for run, upto in folded.items()], "name string, buckets int, run string, upto bigint"
+        )
+        entry.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/manifest/seq={seq}")
+        return True
+
+    def clean(self, keep: int = 2) -> None:
+        """Removes all snapshots but the newest ``keep``, and the changes folded into the oldest of them. Who
+        still reads an older snapshot has to begin anew, so keep as many as a read may last."""
+        snapshots = self._snapshots()
+        if len(snapshots) < keep:
+            return
+        manifest, tables, changes = (Folders(self.spark, f"{self.root}/{n}") for n in ("manifest", "snapshot", "changes"))
+        for old in snapshots[keep:]:
+            manifest.delete(f"seq={old.seq}")
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._table_name(old.name)}")
+            tables.delete(old.name)
+        for run, batch_id in changes.batches():
+            if snapshots[keep - 1].holds(run, batch_id):
+                changes.delete(self.changes.folder(batch_id, run))
+
+    def _written(self, upto: Mapping[str, int] | None) -> list[tuple[str, int]]:
+        return [b for b in self.changes.folders().batches() if upto is None or b[1] <= upto.get(b[0], -1)]
+
+    def _snapshots(self) -> list[Snapshot]:
+        """Newest first; the manifest has a row per snapshot and run."""
+        schema = "name string, buckets int, run string, upto bigint, seq bigint"
+        rows: dict[int, list] = {}
+        for row in _read(self.spark, schema, f"{self.root}/manifest").collect():
+            rows.setdefault(row.seq, []).append(row)
+        return [Snapshot(rows[seq]) for seq in sorted(rows, reverse=True)]
 
     def _table_name(self, name: str) -> str:
         store = hashlib.md5(self.root.encode()).hexdigest()[:12]
         return f"keyfold_{store}_{name.replace('-', '_')}"
 
-    def _snapshot_table(self, snapshot) -> DataFrame:
+    def _snapshot_table(self, snapshot: Snapshot) -> DataFrame:
         table = self._table_name(snapshot.name)
         # a session without a shared catalog has to be told about the files again
         self.spark.sql(
@@ -152,3 +238,7 @@ class DocumentStore:
             f"LOCATION '{self.root}/snapshot/{snapshot.name}'"
         )
         return self.spark.table(table)
+
+
+def _within(folded: Mapping[str, int], upto: Mapping[str, int] | None) -> bool:
+    return upto is None or all(batch <= upto.get(run, -1) for run, batch in folded.items())

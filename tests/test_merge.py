@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -144,6 +145,58 @@ def test_numbers_in_nested_objects_keep_their_digits(log):
     assert rows[0].source == '{"id":"a","o":{"big":12345678901234567890123,"dec":0.12345678901234567891,"s":"é\\n"}}'
 
 
+DIGITS = {
+    "a": "5.0",
+    "b": "100.00",
+    "c": "123456789012345678901234567890123456789012",
+    "d": "0.1234567890123456789012345678901234567890123",
+    "e": "1e400",
+    "f": "-12345678901234567890.0",
+    "g": '{"w":5.0,"x":{"y":[1.50,"2.50",-0.0]}}',
+    "h": '[1.0,{"k":"a\\"1.0\\\\"},1E5]',
+    "i": "7",
+}
+
+
+@pytest.mark.parametrize("nested", [True, False])
+def test_numbers_come_back_digit_for_digit(log, nested):
+    message = '{"id":"1","s":"Infinity","t":"1.50",' + ",".join(f'"{k}":{v}' for k, v in DIGITS.items()) + "}"
+    docs = documents(log, message)
+    whole = "{" + ",".join(f'"{k}":{v}' for k, v in [*DIGITS.items(), ("id", '"1"'), ("s", '"Infinity"'), ("t", '"1.50"')]) + "}"
+    assert merge.merged_documents(merge.field_merge(docs)).first().source == whole
+    state = deep_merge.state_rows(docs, nested=nested)
+    assert deep_merge.state_documents(state).first().source == whole
+    assert deep_merge.update_documents(state).first().source == whole
+    texts = flat(merge.field_merge(docs))
+    assert {k: texts["1", k] for k in "abcdefi"} == {k: DIGITS[k] for k in "abcdefi"}
+    assert (texts["1", "s"], texts["1", "t"]) == ("Infinity", "1.50")
+    wide = merge.wide_state(docs, list("abcdefi")).first()
+    assert [wide[k] for k in "abcdefi"] == [DIGITS[k] for k in "abcdefi"]
+
+
+def test_texts_that_are_read_leniently_are_stored_strictly(log):
+    docs = documents(log, """{'id':'1','o':{'p':[1.0,'it"s']},"q":"it's 1.0"}""")
+    assert merge.merged_documents(merge.field_merge(docs)).first().source == (
+        """{"id":"1","o":{"p":[1.0,"it\\"s"]},"q":"it's 1.0"}"""
+    )
+
+
+def test_unquoted_names_are_an_option(log):
+    frame = log('{id:"1",a1:2.50}')
+    assert messages.documents(messages.parse_messages(frame)).count() == 0
+    docs = messages.documents(messages.parse_messages(frame, unquoted_names=True))
+    assert merge.merged_documents(merge.field_merge(docs)).first().source == '{"a1":2.50,"id":"1"}'
+
+
+def test_a_message_with_a_repeated_key_and_many_others_is_read_in_time(log):
+    many = 20_000
+    message = "{" + ",".join(f'"k{i}":{i}.0' for i in range(many)) + ',"id":"1","k0":1.0}'
+    started = time.monotonic()
+    fields = flat(merge.field_merge(documents(log, message)))
+    assert len(fields) == many + 1 and (fields["1", "k0"], fields["1", "k7"]) == ("1.0", "7.0")
+    assert time.monotonic() - started < 20
+
+
 def test_hot_id_is_reduced_before_the_shuffle(spark, log):
     docs = documents(log, *[json.dumps({"id": "a", "n": i}) for i in range(50)])
     plan = merge.field_merge(docs)._jdf.queryExecution().executedPlan().toString()

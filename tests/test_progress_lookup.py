@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from keyfold.__main__ import arguments, kafka_source_options
+from keyfold.__main__ import arguments, job_config, kafka_source_options
 from keyfold.operators import lookup, merge, messages, progress
 from keyfold.sources import message_log
 from keyfold.streaming import jobs
@@ -81,8 +81,38 @@ def test_kafka_options_from_the_ledger(spark, tmp_path):
         "kafka.group.id": "g1",
         "maxOffsetsPerTrigger": "1000",
     }
+    with pytest.raises(progress.UnknownPartitions, match="partition 1, beyond the 1 given"):
+        kafka_source_options(tables, arguments([*KAFKA, "--partitions", "1"]))
+    with pytest.raises(progress.UnknownPartitions, match="say how many"):
+        kafka_source_options(tables, arguments(KAFKA))
+    # a ledger without positions needs no number: the source takes whatever partitions there are
+    nothing = jobs.JobTables(spark, jobs.JobConfig(f"{tmp_path}/nothing"))
+    assert kafka_source_options(nothing, arguments([*KAFKA, "--start", "earliest"]))["startingOffsets"] == "earliest"
+
+
+KAFKA = ["documents", "--root", "r", "--checkpoint", "c", "--servers", "h:1", "--topic", "t"]
+
+
+@pytest.mark.parametrize(
+    "wrong",
+    [
+        ["documents", "--root", "r", "--checkpoint", "c"],
+        [*KAFKA, "--messages", "m"],
+        [*KAFKA, "--rate", "5"],
+        ["documents", "--root", "r", "--checkpoint", "c", "--messages", "m", "--rate", "5"],
+        [*KAFKA, "--sink", "m:f", "--sink-option", "path"],
+    ],
+)
+def test_arguments_that_would_be_ignored_are_errors(wrong):
     with pytest.raises(SystemExit):
-        arguments(["documents", "--root", "r", "--checkpoint", "c"])
+        arguments(wrong)
+
+
+def test_runner_options():
+    args = arguments([*KAFKA, "--order", "log", "--flat", "--unquoted-names", "--compact-every", "5", "--sink", "m:f", "--sink-option", "path=/x=y"])
+    config = job_config(args)
+    assert (config.order, config.nested, config.unquoted_names, config.compact_every) == (merge.LOG_ORDER, False, True, 5)
+    assert config.sinks[0].options == {"transport": "m:f", "path": "/x=y"}
 
 
 def test_kafka_records_become_messages(spark):

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import json
 
+from pyspark.sql import functions as F
+
 from keyfold.operators import messages, profiles, signals
 
 
@@ -69,6 +71,22 @@ def test_place_counts_from_the_newest(log):
     assert [r.pos for r in signals.newest_first(queue).collect()] == list(range(149, -1, -1))
 
 
+def test_a_burst_is_spread_and_rows_without_a_time_come_last(spark, log):
+    values = [signal(1, n=i) for i in range(60)]
+    queue = signals.queue_rows(signals.signals(parsed(log, *values)))
+    at = F.when(F.col("pos") % 3 != 0, F.lit("2024-01-01").cast("timestamp"))
+    queue = queue.withColumn("ts", at).withColumn("part", F.col("pos").cast("int") % 2)
+    other = queue.filter("pos < 7").withColumn("queue_name", F.lit("other"))
+    twice = signals.distinct_pushes(queue.unionByName(queue).unionByName(other))
+    placed = {(r.queue_name, r.pos): r.place for r in signals.with_place(twice).collect()}
+    for name, n in ((signals.TASK_QUEUE, 60), ("other", 7)):
+        order = sorted(range(n), key=lambda p: (p % 3 == 0, -(p % 2), -p))
+        assert {p: placed[name, p] for p in range(n)} == {p: i + 1 for i, p in enumerate(order)}
+    assert len(placed) == 67
+    plan = signals.with_place(queue)._jdf.queryExecution().optimizedPlan().toString()
+    assert "date_trunc" not in plan
+
+
 def user(**more):
     return json.dumps({"data_source": "s", "app_id": "a", "user_id": "1", **more})
 

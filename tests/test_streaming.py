@@ -10,7 +10,7 @@ from keyfold.__main__ import main
 from keyfold.operators import deep_merge, lookup, merge, messages, progress, signals
 from keyfold.sources.message_log import read_log, stream_log
 from keyfold.streaming import jobs
-from keyfold.streaming.tables import DocumentStore
+from keyfold.streaming.tables import DIRECT, DocumentStore
 from tests.test_merge import brute_force, random_messages
 
 
@@ -71,7 +71,7 @@ def test_streamed_equals_batch_over_restarts_and_replays(spark, log, tmp_path):
     assert ("document", "malformed", 23) in {tuple(r) for r in quarantined}
 
     queue = tables.queue.read()
-    assert queue.select("part", "pos").distinct().count() == signals.signals(parsed).count()
+    assert signals.distinct_pushes(queue).count() == signals.signals(parsed).count() < queue.count()
     ledger = progress.load_ledger(tables.ledger.read(), "app", "g1", "t").collect()
     assert {r.part: r.until_pos for r in ledger} == {0: 67, 1: 67, 2: 66}
 
@@ -126,8 +126,9 @@ def test_a_failing_sink_leaves_no_ledger_entry_and_the_batch_is_repeated(spark,
     pieces(numbered(log('{"id":"a"}', '{"id":"b"}')), path, [(0, 2)])
     calls = []
 
-    def failing_once(docs, batch_id):
-        calls.append(batch_id)
+    def failing_once(written):
+        assert written.changes().count() == 2
+        calls.append(written.batch_id)
         if len(calls) == 1:
             raise RuntimeError("store is down")
 
@@ -150,27 +151,76 @@ def test_compaction_changes_nothing_but_the_files(spark, log, tmp_path):
     for batch_id, (low, high) in enumerate(cuts):
         store.write_batch(docs.filter(F.col("pos").between(low, high - 1)), batch_id)
         if batch_id in (1, 3):
-            store.compact(batch_id, buckets=4)
+            assert store.compact(buckets=4)
     assert documents_of(store.documents()) == brute_force(sent, nested=True)
-    assert documents_of(store.documents(upto=0)) == brute_force(sent[:80], nested=True)
-    assert documents_of(store.documents(upto=3)) == brute_force(sent[:200], nested=True)
-    store.compact(3, buckets=4)
-    assert store.snapshots.read().count() == 2
+    assert documents_of(store.documents({DIRECT: 0})) == brute_force(sent[:80], nested=True)
+    assert documents_of(store.documents({DIRECT: 3})) == brute_force(sent[:200], nested=True)
+    assert len(store._snapshots()) == 2
     # a session that does not know the table finds it by its folder
-    newest = store._newest_snapshot(None)
+    newest = store._snapshots()[0]
     spark.sql(f"DROP TABLE {store._table_name(newest.name)}")
     assert documents_of(DocumentStore(spark, f"{tmp_path}/documents").documents()) == brute_force(sent, nested=True)
 
-    # the snapshot is not shuffled: the only exchange is that of the changes
-    plan = store.state()._jdf.queryExecution().executedPlan().toString()
-    assert "Bucketed: true" in plan
-    assert plan.count("Exchange") == 1
-    one = lookup.point_get(store.fields(), "a", ("id",))
+    # the snapshot is read once and not shuffled, in all that is made of it: the only exchange is that of the changes
+    for frame in (store.state(), store.documents(), store.fields(), deep_merge.drop_overwritten(store.state())):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Bucketed: true") == 1 and plan.count("Exchange") == 1 and "BroadcastExchange" not in plan
+        assert plan.count("FileScan") == 2
+    one = store.get("a", ("id",))
+    plan = one._jdf.queryExecution().executedPlan().toString()
     assert [r.token for r in one.collect()] == ['"a"']
-    assert "EqualTo(id,a)" in one._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("EqualTo(id,a)") == plan.count("FileScan") == 2 and "SelectedBucketsCount: 1 out of 4" in plan
+    assert lookup.point_get(store.fields(), "a", ("id",)).collect() == one.collect()
     docs.unpersist()
 
 
+def test_a_new_checkpoint_goes_on_with_the_same_tables(spark, log, tmp_path):
+    config = jobs.JobConfig(f"{tmp_path}/tables")
+    tables = jobs.JobTables(spark, config)
+    frame = numbered(log((0, 0, '{"id":"a"}'), (1, 0, '{"id":"b"}'), (0, 1, '{"id":"c"}'), (0, 2, '{"id":"a","x":1}')))
+    for life, (low, high) in enumerate([(0, 2), (2, 3), (3, 4)]):
+        pieces(frame, f"{tmp_path}/log{life}", [(low, high)])
+        stream = stream_log(spark, f"{tmp_path}/log{life}")
+        jobs.start(stream, jobs.document_job(config), f"{tmp_path}/checkpoint{life}").awaitTermination()
+        if life == 1:
+            assert sorted(documents_of(tables.store.documents())) == ["a", "b", "c"]
+            assert tables.store.compact(buckets=2) and not tables.store.compact()
+            tables.store.clean(keep=1)
+            assert sorted(documents_of(tables.store.documents())) == ["a", "b", "c"]
+    assert documents_of(tables.store.documents()) == {"a": {"id": "a", "x": 1}, "b": {"id": "b"}, "c": {"id": "c"}}
+    ledger = progress.load_ledger(tables.ledger.read(), "app", "g1", "t").collect()
+    assert {r.part: r.until_pos for r in ledger} == {0: 3, 1: 1}
+    assert tables.metrics.read().count() == 3
+
+
+def test_upkeep_leaves_the_snapshot_and_what_came_since(spark, log, tmp_path):
+    store = DocumentStore(spark, f"{tmp_path}/documents")
+    sent = random_messages(random.Random(4), 60, nested=True)
+    docs = messages.documents(messages.parse_messages(log(*map(json.dumps, sent)))).cache()
+    for batch_id in range(12):
+        store.write_batch(docs.filter(F.col("pos").between(5 * batch_id, 5 * batch_id + 4)), batch_id)
+        if batch_id % 3 == 2 and batch_id < 11:
+            assert store.compact(buckets=2)
+            store.clean(keep=2)
+    # three snapshots were taken: the two newest are there, and the changes since the older of them
+    assert [s.seq for s in store._snapshots()] == [2, 1]
+    assert store.changes.folders().batches() == [(DIRECT, b) for b in range(6, 12)]
+    files = store.state().inputFiles()
+    assert not [f for f in files if "batch_id=8" in f] and [f for f in files if "batch_id=9" in f]
+    assert documents_of(store.documents()) == brute_force(sent, nested=True)
+    docs.unpersist()
+
+
+def test_a_job_keeps_up_its_store(spark, log, tmp_path):
+    path = f"{tmp_path}/log"
+    pieces(numbered(log(*[json.dumps({"id": "a", f"f{i}": i}) for i in range(6)])), path, [(i, i + 1) for i in range(6)])
+    config = jobs.JobConfig(f"{tmp_path}/tables", compact_every=2, buckets=2)
+    jobs.start(stream_log(spark, path, 1), jobs.document_job(config), f"{tmp_path}/cp").awaitTermination()
+    store = jobs.JobTables(spark, config).store
+    assert [s.seq for s in store._snapshots()] == [2, 1]
+    assert documents_of(store.documents()) == {"a": {"id": "a", **{f"f{i}": i for i in range(6)}}}
+
+
 def test_writing_a_batch_twice_replaces_it(spark, log, tmp_path):
     store = DocumentStore(spark, f"{tmp_path}/documents")
     docs = messages.documents(messages.parse_messages(log('{"id":"a","x":1}')))
