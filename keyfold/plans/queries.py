@@ -153,12 +153,12 @@ def exact_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bulk_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents as a job's bulk sink hands them to an external store, read back from there."""
     bulk.register(spark)
-    path = scratch_path(spark, "bulk")
-    sink = bulk.bulk_sink({"transport": "keyfold.streaming.bulk:FileTransport", "path": path})
-    tables = jobs.JobTables(spark, jobs.JobConfig(scratch_path(spark, "tables")))
-    tables.store.write_batch(_documents(spark, sf_dir), 0)
-    sink(jobs.Written(tables, DIRECT, 0))
-    written = spark.read.schema("id string, doc string").json(f"{path}/bulk-*.jsonl")
+    root = scratch_path(spark, "bulk")
+    sink = bulk.bulk_sink({"transport": "keyfold.streaming.bulk:FileTransport", "path": f"{root}/sent"})
+    message_log(spark, sf_dir).write.parquet(f"{root}/log")
+    job = jobs.document_job(jobs.JobConfig(f"{root}/tables", PREFIX, GROUP, sinks=(sink,)))
+    jobs.start(stream_log(spark, f"{root}/log"), job, f"{root}/checkpoint").awaitTermination()
+    written = spark.read.schema("id string, doc string").json(f"{root}/sent/bulk-*.jsonl")
     return written.withColumnRenamed("doc", "source")
 
 
@@ -291,20 +291,28 @@ def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.batch_metrics(_parsed(spark, sf_dir), reasons, [batch])
 
 
+PIECES = 5
+
+
+def _piece(spark: SparkSession, sf_dir: str):
+    """Which of five pieces a message is in, by position; one without goes to the first."""
+    last = table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] or 0
+    at = F.floor(F.col("pos") * PIECES / (last + 1))
+    return F.coalesce(F.least(F.greatest(at, F.lit(0)), F.lit(PIECES - 1)), F.lit(0))
+
+
 def _streamed(
-    spark: SparkSession, sf_dir: str, job, checkpoints: int = 1, compact_every: int = 0
+    spark: SparkSession, sf_dir: str, job, checkpoints: int = 1, compact_every: int = 0, replays: bool = False
 ) -> jobs.JobTables:
-    """Writes the log in five pieces and restarts the job after each of them, some time with a new
-    checkpoint if there are to be several; each checkpoint reads a log of its own."""
+    """Writes the log in pieces and restarts the job after each of them, some time with a new checkpoint and a
+    new log if there are to be several. With ``replays`` a piece brings the one before along again."""
     root = scratch_path(spark, "stream")
-    log = message_log(spark, sf_dir)
-    last = table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] or 0
+    log, piece = message_log(spark, sf_dir), _piece(spark, sf_dir)
     config = jobs.JobConfig(f"{root}/tables", PREFIX, GROUP, compact_every=compact_every, buckets=8)
-    pieces = 5
-    piece = F.coalesce(F.least(F.greatest(F.floor(F.col("pos") * pieces / (last + 1)), F.lit(0)), F.lit(pieces - 1)), F.lit(0))
-    for number in range(pieces):
-        life = number * checkpoints // pieces
-        log.filter(piece == number).write.mode("append").parquet(f"{root}/log{life}")
+    for number in range(PIECES):
+        life = number * checkpoints // PIECES
+        wanted = piece.between(number - 1, number) if replays else piece == number
+        log.filter(wanted).write.mode("append").parquet(f"{root}/log{life}")
         stream = stream_log(spark, f"{root}/log{life}")
         jobs.start(stream, job(config), f"{root}/checkpoint{life}").awaitTermination()
     return jobs.JobTables(spark, config)
@@ -322,13 +330,21 @@ def stream_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The keep-last job over a streamed log: its signal queue."""
-    return _streamed(spark, sf_dir, jobs.keep_last_job).queue.read().select("queue_name", "payload", "part", "pos")
+    """The keep-last job over a streamed log that brings most messages twice: its signal queue."""
+    queue = _streamed(spark, sf_dir, jobs.keep_last_job, replays=True).queue.read()
+    return signals.distinct_pushes(queue).select("queue_name", "payload", "part", "pos")
 
 
 def stream_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The profile job over a streamed log: its documents."""
-    return _streamed(spark, sf_dir, jobs.profile_job).store.documents()
+    """The profile job over a streamed log, capped at one file a batch: its documents."""
+    root = scratch_path(spark, "stream")
+    log, piece = message_log(spark, sf_dir), _piece(spark, sf_dir)
+    for number in range(PIECES):
+        log.filter(piece == number).coalesce(1).write.mode("append").parquet(f"{root}/log")
+    config = jobs.JobConfig(f"{root}/tables", PREFIX, GROUP)
+    stream = stream_log(spark, f"{root}/log", max_files_per_trigger=1)
+    jobs.start(stream, jobs.profile_job(config), f"{root}/checkpoint").awaitTermination()
+    return jobs.JobTables(spark, config).store.documents()
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -117,6 +117,8 @@ def _states(docs: DataFrame, config: JobConfig) -> DataFrame:
 def _batch_function(
     config: JobConfig, to_states: Callable[[DataFrame], DataFrame], with_signals: bool
 ) -> BatchFunction:
+    ledger = _Ledger(config)
+
     def run(batch: DataFrame, batch_id: int) -> None:
         started = time.monotonic()
         spark = batch.sparkSession
@@ -149,7 +151,7 @@ def _batch_function(
             names = [getattr(sink, "name", getattr(sink, "__name__", "sink")) for sink in config.sinks]
             row = spark.createDataFrame([(*totals, failed, names, elapsed)], METRICS_SCHEMA)
             tables.metrics.write(row, batch_id, own_run)
-            _save_ledger(tables, counted, config, batch_id, own_run)
+            ledger.save(tables.ledger, counted, batch_id, own_run)
             if config.compact_every and (batch_id + 1) % config.compact_every == 0 and tables.store.compact(config.buckets):
                 tables.store.clean()
         finally:
@@ -176,23 +178,34 @@ def batch_metrics(parsed: DataFrame, reasons: dict, by: list | None = None, *mor
     )
 
 
-def _save_ledger(tables: JobTables, counted: list, config: JobConfig, batch_id: int, run: str) -> None:
-    """Every set of entries is complete: partitions that were idle are carried forward, so expiry counts from
-    the last write, busy or not. A ledger has one row per topic partition."""
-    stored = tables.ledger.read() if batch_id == 0 else tables.ledger.read(_newest(tables.ledger, run, batch_id))
-    known = {
-        (row.prefix, row.group_id, row.topic, row.part): row.until_pos for row in progress.current_ledger(stored).collect()
-    }
-    known |= {(config.prefix, config.group_id, row.topic, row.part): row.last_pos + 1 for row in counted}
-    now = datetime.now(timezone.utc)
-    entries = tables.ledger.spark.createDataFrame([(*key, pos, now) for key, pos in known.items()], tables.ledger.schema)
-    tables.ledger.write(entries.coalesce(1), batch_id, run)
+class _Ledger:
+    """Writes the ledger (T2). Every set of entries is complete: partitions that were idle are carried forward, so
+    expiry counts from the last write, busy or not. A ledger has one row per topic partition, and what was
+    written last is remembered; a job that starts reads it from the table."""
+
+    def __init__(self, config: JobConfig):
+        self.config = config
+        self.last: tuple[str, int] | None = None
+        self.known: dict[tuple, int] = {}
+
+    def save(self, table: BatchTable, counted: list, batch_id: int, run: str) -> None:
+        if self.last is None or self.last[0] != run or self.last[1] >= batch_id:
+            current = progress.current_ledger(table.read(_before(table, run, batch_id)))
+            self.known = {(r.prefix, r.group_id, r.topic, r.part): r.until_pos for r in current.collect()}
+        own = self.config.prefix, self.config.group_id
+        self.known |= {(*own, row.topic, row.part): row.last_pos + 1 for row in counted}
+        now = datetime.now(timezone.utc)
+        entries = table.spark.createDataFrame([(*key, pos, now) for key, pos in self.known.items()], table.schema)
+        table.write(entries.coalesce(1), batch_id, run)
+        self.last = run, batch_id
 
 
-def _newest(ledger: BatchTable, run: str, batch_id: int) -> list[tuple[str, int]]:
-    """The last folder of this run before the batch: empty batches leave none. Of a run without any, all."""
+def _before(ledger: BatchTable, run: str, batch_id: int) -> list[tuple[str, int]]:
+    """The last folder of this run before the batch: empty batches leave none. Of a run without any, all
+    folders of the others."""
     folders = ledger.folders().batches()
-    return [b for b in folders if b[0] == run and b[1] < batch_id][-1:] or folders
+    own = [b for b in folders if b[0] == run and b[1] < batch_id]
+    return own[-1:] or [b for b in folders if b[0] != run]
 
 
 def start(
