@@ -12,8 +12,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Rows partitioned by id may be joined on id and path as they are.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # A nested object may repeat a key; the last one wins, as for top-level keys.
     "spark.sql.variant.allowDuplicateKeys": "true",
     # The call site of every column expression costs more than the expression itself.
