@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyfold.llm.common import WHITESPACE
+from keyfold.operators.messages import bind
 
 # Labelled documents the model is fitted on, at most about this many; statistics and scores cover all.
 MAX_LABELLED = 20_000
@@ -28,9 +29,9 @@ ROUNDS = 400
 Rule = tuple[tuple[str, bool, float], ...]  # statistic, whether it lies above, threshold
 
 
-def statistics(text: Column) -> dict[str, Column]:
-    """Shares and means of a text, none of which depends on its source, language or id. All are 0 for an
-    empty text; the words and lines they need are under ``_words``, ``_lines`` and ``_text``."""
+def statistics() -> dict[str, Column]:
+    """Shares and means of the text ``_text`` with its ``_words`` and ``_lines``; none depends on a document's
+    source, language or id, and all are 0 for an empty text."""
     chars = F.char_length("_text")
 
     def share(part: Column, whole: Column) -> Column:
@@ -78,8 +79,7 @@ def with_statistics(docs: DataFrame) -> DataFrame:
             "_lines": F.array_remove(F.split("_text", "\n"), ""),
         }
     )
-    measured = split.select("doc_id", "kept", *(c.alias(name) for name, c in statistics(F.col("_text")).items()))
-    return measured
+    return split.select("doc_id", "kept", *(c.alias(name) for name, c in statistics().items()))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -218,10 +218,14 @@ def scored(docs: DataFrame, model: RuleEnsemble, threshold: float = THRESHOLD) -
     A null text is scored as the empty text; a null ``doc_id`` stays null and counts as held out; repeated rows
     score alike; other columns stay inside ``kept``; an empty table gives no rows.
     """
-    return (
-        with_statistics(docs)
-        .select("doc_id", "kept", held_out(F.col("doc_id")).alias("held_out"), model.column().alias("score"))
-        .withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    # bound, or a filter on the score would be pushed below it with a copy of every rule and statistic
+    rated = bind(with_statistics(docs), score=model.column())
+    return rated.select(
+        "doc_id",
+        "kept",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
 
 
