@@ -6,7 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -24,7 +25,19 @@ _SPACE[[ord(c) for c in WHITESPACE]] = True
 BYTE_HASH = np.random.default_rng(20240229).integers(1, 2**64, 256, dtype=np.uint64)
 
 
+# What Spark hands to Python at once. Its own limit lets two tasks fill an executor's memory beside the heap.
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = "8m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the size of Arrow batches for the session, unless the cluster names one; it changes no result."""
+    if spark.conf.get(_BATCH_BYTES) == "67108864b":
+        spark.conf.set(_BATCH_BYTES, BATCH_BYTES)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
@@ -46,22 +59,31 @@ def row_number() -> F.Column:
     return F.monotonically_increasing_id()
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """``row``, ``doc_id``, ``text`` and the whole row as ``kept``, stored, so that a row keeps its number
-    however often it is read."""
-    return stored(docs.select(row_number().alias("row"), "doc_id", "text", F.struct(*docs.columns).alias("kept")), "numbered")
+def id_order(doc_id: F.Column) -> F.Column:
+    """An integral ``doc_id`` that is never null; null stands behind all others."""
+    return F.coalesce(doc_id.cast("bigint"), F.lit(2**63 - 1))
+
+
+def first_rows(docs: DataFrame, key: dict[str, F.Column], wanted: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``key`` is among ``wanted``, which has columns of its names and no nulls: one row of each
+    key, the longest text first. All columns stay as they are. The window needs no shuffle of its own."""
+    text = F.char_length(F.coalesce("text", F.lit("")))
+    whole = docs.select(
+        F.struct(*docs.columns).alias("kept"), text.alias("size"), *(c.alias(name) for name, c in key.items())
+    )
+    place = F.row_number().over(Window.partitionBy(*key).orderBy(F.col("size").desc()))
+    found = whole.join(wanted, list(key), "left_semi").withColumn("place", place)
+    return found.filter("place = 1").select("kept.*")
 
 
 def slices(sizes: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive rows with about ``limit`` bytes each; a larger row stands alone."""
-    start, total = 0, 0
-    for at, size in enumerate(sizes):
-        if at > start and total + size > limit:
-            yield start, at
-            start, total = at, 0
-        total += size
-    if len(sizes) > start:
-        yield start, len(sizes)
+    ends = np.cumsum(sizes)
+    start, done = 0, 0
+    while start < len(ends):
+        end = max(start + 1, int(np.searchsorted(ends, done + limit, side="right")))
+        yield start, end
+        start, done = end, int(ends[end - 1])
 
 
 def encoded(column: pa.Array) -> list[bytes]:
@@ -69,6 +91,14 @@ def encoded(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def encoded_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+    """The texts of a column as :func:`encoded`, some rows at a time, and the number of the first: a batch
+    may hold many texts, and Python's copies take more room than the batch."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    for start, end in slices(sizes, limit):
+        yield start, encoded(column.slice(start, end - start))
+
+
 def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """A hash of pairs of hashes; the order within a pair counts."""
     out = a * np.uint64(0xFF51AFD7ED558CCD)
@@ -92,25 +122,61 @@ def ahead(a: np.ndarray, by: int) -> np.ndarray:
     return out
 
 
-def run_ids(ids: np.ndarray, lengths: list[int]) -> dict[int, np.ndarray]:
-    """Identifiers of the runs of each length in ``lengths`` that start at each place. A run's
-    identifier is made of two shorter ones, its later half being looked up at its offset, as in
-    prefix doubling: every doubling reuses what the one before gave."""
-    powers, size = {1: ids}, 1
-    while 2 * size <= max(lengths):
-        powers[2 * size] = mix(powers[size], ahead(powers[size], size))
+def powers(ids: np.ndarray, upto: int) -> dict[int, np.ndarray]:
+    """Identifiers of the runs of 1, 2, 4, ... places from each place on. A run's identifier is made of those of its
+    halves, the later half being looked up at its offset: every level reuses the one below."""
+    levels, size = {1: ids}, 1
+    while 2 * size <= upto:
+        levels[2 * size] = mix(levels[size], ahead(levels[size], size))
         size *= 2
+    return levels
+
+
+def span_ids(levels: dict[int, np.ndarray], start: np.ndarray, length: np.ndarray, power: int) -> np.ndarray:
+    """Identifiers of the runs at ``start``, ``power`` to less than twice as long: two runs of ``power`` that
+    overlap cover one."""
+    wide = levels[power]
+    return mix(wide[start], wide[start + length - power] + length.astype(np.uint64))
+
+
+def run_ids(ids: np.ndarray, lengths: list[int]) -> dict[int, np.ndarray]:
+    """Identifiers of the runs of each length in ``lengths`` that start at each place."""
+    levels = powers(ids, max(lengths))
     out = {}
     for length in lengths:
-        # two overlapping powers cover a run; the length separates runs of one power
         power = 1 << (length.bit_length() - 1)
         if power == length:
-            out[length] = powers[power]
+            out[length] = levels[power]
         else:
-            out[length] = mix(powers[power], ahead(powers[power], length - power) + np.uint64(length))
+            out[length] = mix(levels[power], ahead(levels[power], length - power) + np.uint64(length))
+    return out
+
+
+def least_ahead(ids: np.ndarray, span: int) -> np.ndarray:
+    """For each place, which of the ``span`` places from it on has the smallest identifier, the first of
+    equals. What is decided so depends on these places alone, not on where they stand."""
+    bits = max(1, int(len(ids)).bit_length())
+    low = np.uint64((1 << bits) - 1)
+    least, size = (ids & ~low) | np.arange(len(ids), dtype=np.uint64), 1
+    while 2 * size <= span:
+        least = np.minimum(least, _filled_ahead(least, size))
+        size *= 2
+    return (np.minimum(least, _filled_ahead(least, span - size)) & low).astype(np.int64)
+
+
+def _filled_ahead(a: np.ndarray, by: int) -> np.ndarray:
+    """As :func:`ahead`, filled up with what is larger than all else."""
+    out = np.full_like(a, np.uint64(2**64 - 1))
+    if by < len(a):
+        out[: len(a) - by] = a[by:]
     return out
 
 
+def count_up(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each size, one after another."""
+    return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
 class Words:
     """The words of some texts: ``hashes``, byte ranges ``starts`` to ``ends`` in ``buffer``, and the
     ``text`` each belongs to; ``bounds[i]`` to ``bounds[i+1]`` are the words of text ``i``."""
@@ -129,17 +195,21 @@ class Words:
         self.text = np.repeat(np.arange(len(texts)), np.diff(self.bounds))
 
     def _hashes(self) -> np.ndarray:
-        if not len(self.starts):
-            return np.zeros(0, dtype=np.uint64)
+        out = np.zeros(len(self.starts), dtype=np.uint64)
+        if not len(out):
+            return out
         lengths = self.ends - self.starts
-        # the bytes of all words one after another, each with its place in its word
-        firsts = np.cumsum(lengths) - lengths
-        place = np.arange(int(lengths.sum())) - np.repeat(firsts, lengths)
-        letters = BYTE_HASH[self.buffer[place + np.repeat(self.starts, lengths)]]
-        powers = np.full(int(lengths.max()), _MULTIPLIER, dtype=np.uint64)
-        powers[0] = 1
-        letters *= np.multiply.accumulate(powers)[place]
-        return scramble(np.add.reduceat(letters, firsts) + lengths.astype(np.uint64))
+        powers_ = np.full(int(lengths.max()), _MULTIPLIER, dtype=np.uint64)
+        powers_[0] = 1
+        powers_ = np.multiply.accumulate(powers_)
+        # in steps, for the arrays below take sixteen times the bytes they are made of
+        for first, last in slices(lengths):
+            size = lengths[first:last]
+            place = count_up(size)
+            letters = BYTE_HASH[self.buffer[place + np.repeat(self.starts[first:last], size)]]
+            letters *= powers_[place]
+            out[first:last] = scramble(np.add.reduceat(letters, np.cumsum(size) - size) + size.astype(np.uint64))
+        return out
 
     def to_end(self) -> np.ndarray:
         """Words from each word to the end of its text, itself included."""

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from keyfold.llm.common import WHITESPACE, numbered, row_number, schema_with, stored
+from keyfold.llm.common import WHITESPACE, first_rows, id_order, row_number, schema_with, stored
 from keyfold.llm.cuckoo import CuckooIndex
 
 _ENTRY = "digest binary, copies bigint, n_chars bigint, row bigint"
@@ -26,11 +26,11 @@ def digest(text: F.Column) -> F.Column:
     return F.sha2(F.translate(F.coalesce(text, F.lit("")), WHITESPACE, "").cast("binary"), 256)
 
 
-def digest_rows(docs: DataFrame, number: F.Column | None = None) -> DataFrame:
+def digest_rows(docs: DataFrame) -> DataFrame:
     """``row, doc_id, n_chars, text_sha256`` of every document, stored: the one pass over the texts."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(
-        (row_number() if number is None else number).alias("row"),
+        row_number().alias("row"),
         "doc_id",
         F.char_length(text).cast("bigint").alias("n_chars"),
         digest(F.col("text")).alias("text_sha256"),
@@ -133,7 +133,6 @@ def exact_groups(docs: DataFrame, deleted: DataFrame | None = None) -> DataFrame
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
-    """The documents that stay, all columns as they are."""
-    rows = numbered(docs)
-    keepers = live_groups(digest_rows(rows, F.col("row"))).select("keep_row")
-    return rows.join(keepers, F.col("row") == F.col("keep_row"), "left_semi").select("kept.*")
+    """The documents that stay, all columns as they are; the texts are shuffled once."""
+    keepers = live_groups(digest_rows(docs)).select(id_order(F.col("keep_id")).alias("id"), "digest")
+    return first_rows(docs, {"id": id_order(F.col("doc_id")), "digest": digest(F.col("text"))}, keepers)

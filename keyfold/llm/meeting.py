@@ -17,10 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from keyfold.llm.common import encoded, scramble
+from keyfold.llm.common import encoded_slices, id_order, scramble
 
 PROBE, SETTLED, STAND_IN = 0, 1, 2
-_LAST = 2**63 - 1
 
 ROWS = StructType(
     [
@@ -40,9 +39,8 @@ def identified(docs: DataFrame, number: F.Column | None = None) -> DataFrame:
     """``doc, part, doc_id, text``, and ``number`` as ``row``. A row is known by its integral ``doc_id`` (null stands behind all
     others) and a hash of its text, so it keeps its name whatever reads it again."""
     text = F.coalesce("text", F.lit(""))
-    doc = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST))
     more = [] if number is None else [number.alias("row")]
-    return docs.select(doc.alias("doc"), F.hash(text).alias("part"), "doc_id", text.alias("text"), *more)
+    return docs.select(id_order(F.col("doc_id")).alias("doc"), F.hash(text).alias("part"), "doc_id", text.alias("text"), *more)
 
 
 def packed(rows: DataFrame) -> DataFrame:
@@ -54,7 +52,7 @@ def packed(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         small = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            texts = [small.compress(t) for t in encoded(batch.column("text"))]
+            texts = [small.compress(t) for _, some in encoded_slices(batch.column("text")) for t in some]
             columns = [batch.column(c) for c in ("doc", "part", "doc_id")]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.binary())], names=schema.names)
 

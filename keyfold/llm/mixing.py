@@ -22,6 +22,8 @@ SOURCE_WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 WORD = r"[^\x20\x09-\x0D]+"
 BUCKET_ROWS = 20_000
+# Tables of one row per source are broadcast up to so many rows; beyond, they are joined by shuffle.
+BROADCAST_SOURCES = 10_000
 # Fixed value: 13 hexadecimal digits of a digest make a number below this.
 _DIGEST_RANGE = float(16**13)
 
@@ -101,8 +103,8 @@ def mixed(
     any other value; rows with one ``doc_id`` draw alike and are told apart by quality, then by position;
     an empty table gives no rows.
     """
-    plan = selection_plan(rows, weights, max_epochs)
-    return rows.join(plan, rows["source"].eqNullSafe(plan["plan_source"])).withColumn("copies", _copies()).select(
+    plan = _checked(selection_plan(rows, weights, max_epochs))
+    return rows.join(plan, rows["source"].eqNullSafe(plan["plan_source"])).withColumn("copies", _copies(_order(), F.col("last"))).select(
         "doc_id", "size", "source_size", "target", "copies"
     )
 
@@ -110,22 +112,29 @@ def mixed(
 def mixed_documents(
     docs: DataFrame, weights: tuple[float, ...] = SOURCE_WEIGHTS, max_epochs: int = MAX_EPOCHS
 ) -> DataFrame:
-    """The mix itself: every document as often as it is taken, all columns as they are. What joins the
-    documents is one row per source."""
-    rows = stored(sampling_rows(docs, keep=F.struct(*docs.columns)), "sampling")
-    plan = selection_plan(rows, weights, max_epochs)
-    taken = rows.join(plan, rows["source"].eqNullSafe(plan["plan_source"])).withColumn("copies", _copies())
+    """The mix itself: every document as often as it is taken, all columns as they are. The texts are read twice
+    and never shuffled; what joins them is one row per source. Rows that repeat as a whole are taken alike."""
+    plan = _checked(selection_plan(stored(sampling_rows(docs).drop("kept"), "sampling"), weights, max_epochs))
+    rows = sampling_rows(docs, keep=F.struct(*docs.columns))
+    last = F.struct(F.col("last.key").alias("key"), F.col("last.tie").alias("tie"))
+    taken = rows.join(plan, rows["source"].eqNullSafe(plan["plan_source"])).withColumn(
+        "copies", _copies(F.struct("key", _tie().alias("tie")), last)
+    )
     return taken.filter("copies > 0").select("kept", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("kept.*")
 
 
+def _tie() -> Column:
+    return F.coalesce(F.xxhash64("doc_id"), F.lit(0))
+
+
 def _order() -> Column:
     """The order in which a source's documents are taken."""
-    return F.struct("key", F.coalesce(F.xxhash64("doc_id"), F.lit(0)).alias("tie"), "row")
+    return F.struct("key", _tie().alias("tie"), "row")
 
 
-def _copies() -> Column:
+def _copies(own: Column, last: Column) -> Column:
     """Whole epochs, and one more for documents up to the last that the rest of the budget takes."""
-    return (F.col("epochs") + F.coalesce(_order() <= F.col("last"), F.lit(False)).cast("bigint")).cast("bigint")
+    return (F.col("epochs") + F.coalesce(own <= last, F.lit(False)).cast("bigint")).cast("bigint")
 
 
 def selection_plan(
@@ -148,7 +157,8 @@ def selection_plan(
     )
     # keys are near exponential, so this value spreads over 0 to 1
     spread = 1.0 - F.exp(-F.col("key") * F.col("mean"))
-    bucketed = rows.join(per_source, rows["source"].eqNullSafe(per_source["plan_source"])).select(
+    sources = _checked(per_source)
+    bucketed = rows.join(sources, rows["source"].eqNullSafe(sources["plan_source"])).select(
         "plan_source",
         "budget",
         "size",
@@ -181,6 +191,12 @@ def selection_plan(
         F.max(F.when(F.col("ahead") + F.col("size") / 2.0 <= F.col("budget"), F.col("order"))).alias("inside_last"),
         F.max("before_last").alias("before_last"),
     )
-    return per_source.join(last, F.col("plan_source").eqNullSafe(F.col("end_source")), "left").select(
+    plan = per_source.join(last, F.col("plan_source").eqNullSafe(F.col("end_source")), "left").select(
         "plan_source", "source_size", "target", "epochs", F.coalesce("inside_last", "before_last").alias("last")
     )
+    return stored(plan, "plan")
+
+
+def _checked(sources: DataFrame) -> DataFrame:
+    """A stored table of one row per source, for a join with all documents."""
+    return F.broadcast(sources) if sources.count() <= BROADCAST_SOURCES else sources

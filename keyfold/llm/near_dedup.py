@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyfold.llm.common import encoded, mix, numbered, row_number, schema_with, scramble, slices, stored
+from keyfold.llm.common import encoded_slices, first_rows, id_order, mix, row_number, schema_with, scramble, slices, stored
 from keyfold.llm.components import components
 from keyfold.llm.fingerprints import shingle_hashes
 from keyfold.llm.meeting import identified, packed, unpacked
@@ -117,17 +117,15 @@ def weighted_shingles(texts: list[bytes], words: int = SHINGLE_WORDS) -> tuple[n
     return row[first], shingle[first], np.diff(np.append(first, len(row)))
 
 
-def signed(docs: DataFrame, number: F.Column | None = None) -> DataFrame:
+def signed(docs: DataFrame) -> DataFrame:
     """``row, doc, part, doc_id, digest, sketch, bands`` of every document, stored: the first pass over
     the texts. Texts are compared in lower case by their words."""
-    rows = identified(docs, row_number() if number is None else number).withColumn("text", F.lower("text"))
+    rows = identified(docs, row_number()).withColumn("text", F.lower("text"))
     schema = schema_with(rows, ["row", "doc", "part", "doc_id"], "digest binary, sketch binary, bands array<bigint>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = encoded(batch.column("text"))
-            for start, end in slices(np.array([len(t) for t in texts])):
-                some = texts[start:end]
+            for start, some in encoded_slices(batch.column("text")):
                 row, shingle, count = weighted_shingles(some)
                 found = signatures(row, shingle, count.astype(float), len(some))
                 key = np.zeros((len(some), COORDINATES // BAND_ROWS), np.uint64)
@@ -140,7 +138,7 @@ def signed(docs: DataFrame, number: F.Column | None = None) -> DataFrame:
                 sketches = [s.tobytes() for s in found.astype("<u2")]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(batch.column(c).slice(start, end - start) for c in ("row", "doc", "part", "doc_id")),
+                        *(batch.column(c).slice(start, len(some)) for c in ("row", "doc", "part", "doc_id")),
                         pa.array(digests, pa.binary()),
                         pa.array(sketches, pa.binary()),
                         pa.array(bands, pa.list_(pa.int64())),
@@ -288,8 +286,8 @@ def _confirmed(pairs: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFra
     return stored(_verified(both.filter("from != to").select("a", "b"), texts), "links")
 
 
-def near_groups(docs: DataFrame, number: F.Column | None = None) -> DataFrame:
-    """``row, doc_id, class_id, group_size, kept`` of every document.
+def near_groups(docs: DataFrame) -> DataFrame:
+    """``doc, part`` (see :func:`meeting.identified`), ``doc_id, class_id, group_size, kept`` of every document.
 
     Documents are linked when their multisets of five-word shingles, in lower case, have a weighted Jaccard
     similarity of 0.8 or more, and grouped by chains of links; a shorter text is a single shingle. ``class_id`` is
@@ -300,19 +298,20 @@ def near_groups(docs: DataFrame, number: F.Column | None = None) -> DataFrame:
     Banding finds a pair at 0.8 with probability 1 - 3e-6, sketches keep it with 1 - 5e-5; more similar
     pairs are missed more rarely still. Nothing is capped: buckets go on until a round finds no link.
     """
-    rows = signed(docs, number)
+    rows = signed(docs)
     # copies: one row of each digest takes part, the others follow it
     copies = rows.groupBy("digest").agg(F.min(F.struct("doc", "row"))["row"].alias("leader"))
     copies = stored(copies, "copies")
     nodes = stored(rows.join(copies.select("leader"), F.col("row") == F.col("leader"), "left_semi"), "nodes")
     labels = components(_links(nodes, docs))
-    named = rows.select("row", "doc", "doc_id", "digest").join(copies, "digest")
-    named = stored(_labelled(named, "leader", labels, "label").select("row", "doc", "doc_id", "label"), "labelled")
+    named = _labelled(rows.drop("sketch", "bands").join(copies, "digest"), "leader", labels, "label")
+    named = stored(named.select("row", "doc", "part", "doc_id", "label"), "labelled")
     groups = named.groupBy("label").agg(
         F.min(F.struct("doc", "row", "doc_id")).alias("first"), F.count(F.lit(1)).alias("group_size")
     )
     return named.join(groups, "label").select(
-        "row",
+        "doc",
+        "part",
         "doc_id",
         F.col("first.doc_id").alias("class_id"),
         "group_size",
@@ -322,6 +321,6 @@ def near_groups(docs: DataFrame, number: F.Column | None = None) -> DataFrame:
 
 def without_near_copies(docs: DataFrame) -> DataFrame:
     """One document of each group, all columns as they are."""
-    rows = numbered(docs)
-    kept = near_groups(rows.select("doc_id", "text", "row"), F.col("row")).filter("kept").select(F.col("row").alias("stays"))
-    return rows.join(kept, F.col("row") == F.col("stays"), "left_semi").select("kept.*")
+    kept = near_groups(docs).filter("kept").select("doc", "part")
+    key = {"doc": id_order(F.col("doc_id")), "part": F.hash(F.coalesce("text", F.lit("")))}
+    return first_rows(docs, key, kept)

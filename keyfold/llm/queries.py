@@ -12,7 +12,7 @@ from keyfold.llm.common import documents, stored
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its group of near copies."""
-    return near_dedup.near_groups(documents(spark, sf_dir)).drop("row")
+    return near_dedup.near_groups(documents(spark, sf_dir)).drop("doc", "part")
 
 
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,4 +123,74 @@ SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target,
 FROM o
 """
 
-ORACLES: dict[str, str] = {"op4_exact_dedup": EXACT_SQL, "op9_mixing": MIXING_SQL}
+NEAR_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), k AS (SELECT doc_id, ws, array_to_string(ws, ' ') AS t FROM w),
+u AS (SELECT t, min(doc_id) AS node, any_value(ws) AS ws FROM k GROUP BY t),
+s AS (
+  SELECT node, sh, count(*) AS c FROM (
+    SELECT node, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' '))
+                             WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS sh FROM u)
+  GROUP BY node, sh
+), n AS (SELECT node, sum(c) AS n FROM s GROUP BY node),
+p AS (
+  SELECT a.node AS x, b.node AS y, sum(least(a.c, b.c)) AS m
+  FROM s a JOIN s b ON a.sh = b.sh AND a.node < b.node GROUP BY 1, 2
+), l AS (
+  SELECT x, y FROM p JOIN n nx ON nx.node = x JOIN n ny ON ny.node = y WHERE 5 * m >= 4 * (nx.n + ny.n - m)
+), e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT node, node AS label FROM u UNION SELECT e.y, r.label FROM r JOIN e ON e.x = r.node),
+c AS (SELECT node, min(label) AS class_id FROM r GROUP BY node),
+g AS (SELECT k.doc_id, c.class_id FROM k JOIN u USING (t) JOIN c USING (node))
+SELECT doc_id, class_id, CAST(count(*) OVER (PARTITION BY class_id) AS BIGINT) AS group_size, doc_id = class_id AS kept FROM g
+"""
+
+SUFFIX_SQL = r"""
+WITH w AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+c AS (
+  -- in blocks of 200 bytes and the 199 behind, as cutting far into a text takes long
+  SELECT r, n, j, substr(h, 400 * j + 1, 798) AS h FROM (SELECT r, h, length(h) // 2 AS n, unnest(range(0, (length(h) // 2 + 199) // 200)) AS j FROM w)
+), p AS (
+  SELECT r, 200 * j + o AS i, substr(h, 2 * o - 1, 2) AS b, CASE WHEN 200 * j + o + 199 <= n THEN md5(substr(h, 2 * o - 1, 400)) END AS k
+  FROM (SELECT r, h, n, j, unnest(range(1, least(200, n - 200 * j) + 1)) AS o FROM c)
+), f AS (SELECT k FROM p WHERE k IS NOT NULL GROUP BY k HAVING count(*) > 1),
+m AS (
+  SELECT p.r, p.i, p.b, bool_or(f.k IS NOT NULL) OVER (PARTITION BY p.r ORDER BY p.i ROWS BETWEEN 199 PRECEDING AND CURRENT ROW) AS gone
+  FROM p LEFT JOIN f ON f.k = p.k
+), s AS (
+  SELECT r, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE gone AND NOT before) AS n_spans,
+         string_agg(b, '' ORDER BY i) FILTER (WHERE NOT gone) AS kept
+  FROM (SELECT *, coalesce(lag(gone) OVER (PARTITION BY r ORDER BY i), false) AS before FROM m) GROUP BY r
+)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM w LEFT JOIN s USING (r)
+"""
+
+SUBSTRING_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), p AS (
+  SELECT doc_id, ws[i] AS word, i, CASE WHEN i + 49 <= len(ws) THEN md5(array_to_string(ws[i:i+49], ' ')) END AS k
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM w)
+), f AS (SELECT k, min(doc_id) AS first_id FROM p WHERE k IS NOT NULL GROUP BY k),
+m AS (
+  SELECT p.doc_id, p.i, p.word,
+         bool_or(coalesce(f.first_id < p.doc_id, false)) OVER (PARTITION BY p.doc_id ORDER BY p.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+  FROM p LEFT JOIN f ON f.k = p.k
+), kept AS (
+  SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS t
+  FROM m GROUP BY doc_id
+)
+SELECT w.doc_id, CAST(len(w.ws) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_near_dedup": NEAR_SQL,
+    "op4_exact_dedup": EXACT_SQL,
+    "op7_suffix_buckets": SUFFIX_SQL,
+    "op8_substrings": SUBSTRING_SQL,
+    "op9_mixing": MIXING_SQL,
+}

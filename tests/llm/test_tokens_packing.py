@@ -34,6 +34,9 @@ def test_long_texts_and_a_full_cache(monkeypatch):
     text = " ".join(f"word{i % 97}, " for i in range(500)) + "x" * 300 + " end"
     for _ in range(2):
         assert next(tokenizer.encode([text.encode()])).tolist() == whole_ids(text)
+    monkeypatch.setattr(tokens, "KEPT_IDS", 100)
+    assert next(tokenizer.encode([text.encode()])).tolist() == whole_ids(text)
+    assert len(tokenizer.slots) < 200
     parts = tokens.split_parts(text.encode(), 64)
     assert b"".join(parts) == text.encode() and len(parts) > 20
 
