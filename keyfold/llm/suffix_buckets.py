@@ -23,7 +23,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StructField, StructType
 
-from keyfold.llm.common import BYTE_HASH, ahead, encoded, mix, schema_with, scramble, slices
+from keyfold.llm.common import (
+    BYTE_HASH,
+    count_up,
+    encoded_slices,
+    least_ahead,
+    powers,
+    schema_with,
+    scramble,
+    slices,
+    span_ids,
+)
 from keyfold.llm.meeting import (
     PLACES,
     PROBE,
@@ -61,21 +71,6 @@ class Runs:
     key: np.ndarray
 
 
-def refined(ids: np.ndarray, upto: int) -> dict[int, np.ndarray]:
-    """Identifiers of the runs of 1, 2, 4, ... bytes from each place, each level from the one below."""
-    levels, size = {1: ids}, 1
-    while 2 * size <= upto:
-        levels[2 * size] = mix(levels[size], ahead(levels[size], size))
-        size *= 2
-    return levels
-
-
-def run_id(levels: dict[int, np.ndarray], start: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """Identifiers of the runs at ``start`` of 128 to 255 bytes: two overlapping runs of 128."""
-    wide = levels[128]
-    return mix(wide[start], wide[start + length - 128] + length.astype(np.uint64))
-
-
 def segments(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Texts side by side, long ones cut: ``buffer``, and of each segment the text and where its first byte
     lies in it, as rows of (text, place in text, begin, end in buffer)."""
@@ -96,16 +91,8 @@ def segments(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.nd
 def gram_runs(buffer: np.ndarray, names: np.ndarray, bounds: np.ndarray, levels: dict[int, np.ndarray]) -> Runs:
     """The windows of some segments by the gram each is looked up at."""
     grams = levels[GRAM]
-    bits = max(1, int(len(buffer)).bit_length())
-    # smallest identifier first, of equals the earliest place
-    order = (grams & ~np.uint64((1 << bits) - 1)) | np.arange(len(buffer), dtype=np.uint64)
-    span, least, size = WINDOW - GRAM + 1, order, 1
-    while 2 * size <= span:
-        least = np.minimum(least, _ahead_max(least, size))
-        size *= 2
-    least = np.minimum(least, _ahead_max(least, span - size))
     windows = np.concatenate([np.arange(b, e - WINDOW + 1) for b, e in bounds])
-    chosen = (least[windows] & np.uint64((1 << bits) - 1)).astype(np.int64)
+    chosen = least_ahead(grams, WINDOW - GRAM + 1)[windows]
     new = np.ones(len(windows), dtype=bool)
     new[1:] = chosen[1:] != chosen[:-1]
     first = np.flatnonzero(new)
@@ -115,24 +102,17 @@ def gram_runs(buffer: np.ndarray, names: np.ndarray, bounds: np.ndarray, levels:
     return Runs(names[segment, 0], chosen[first] + shift, windows[first] + shift, windows[last] + shift, grams[chosen[first]])
 
 
-def _ahead_max(a: np.ndarray, by: int) -> np.ndarray:
-    """``a`` moved to the left, what is missing being larger than all else."""
-    out = np.full_like(a, np.uint64(2**64 - 1))
-    if by < len(a):
-        out[: len(a) - by] = a[by:]
-    return out
-
-
 def grams(rows: DataFrame) -> DataFrame:
     """Round 1: the grams at which the windows of every row are looked up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = encoded(batch.column("text"))
             doc, part = (batch.column(c).to_numpy() for c in ("doc", "part"))
             before = (-1, -1)  # a gram chosen on both sides of a cut is one place
-            for buffer, names, bounds in segments(texts):
-                runs = gram_runs(buffer, names, bounds, refined(BYTE_HASH[buffer], GRAM))
+            some = encoded_slices(batch.column("text"))
+            for start, (buffer, names, bounds) in ((start, s) for start, texts in some for s in segments(texts)):
+                runs = gram_runs(buffer, names, bounds, powers(BYTE_HASH[buffer], GRAM))
+                runs.row += start
                 once = np.ones(len(runs.row), dtype=bool)
                 once[1:] = (runs.row[1:] != runs.row[:-1]) | (runs.gram[1:] != runs.gram[:-1])
                 once[0] = before != (runs.row[0], runs.gram[0])
@@ -145,7 +125,7 @@ def grams(rows: DataFrame) -> DataFrame:
 
 def _two_levels(buffer: np.ndarray) -> tuple[dict[int, np.ndarray], dict[int, np.ndarray]]:
     ids = BYTE_HASH[buffer]
-    return refined(ids, 128), refined(scramble(ids), 128)
+    return powers(ids, 128), powers(scramble(ids), 128)
 
 
 def _texts(batch: pa.RecordBatch, *lists: str) -> Iterator[tuple]:
@@ -174,7 +154,7 @@ def cells(rows: DataFrame) -> DataFrame:
                     # cells count from the gram backwards, so equal windows are in equal cells
                     low, high = (gram - last) // CELL, (gram - first) // CELL
                     number = high - low + 1
-                    cell = np.repeat(low, number) + _count_up(number)
+                    cell = np.repeat(low, number) + count_up(number)
                     row, gram, first, last = (np.repeat(a, number) for a in (row, gram, first, last))
                     begin = np.maximum(first, gram - (cell + 1) * CELL + 1)
                     end = np.minimum(last, gram - cell * CELL)
@@ -184,9 +164,9 @@ def cells(rows: DataFrame) -> DataFrame:
                     common = gram - cell * CELL + shift
                     size = np.full(len(row), WINDOW - CELL + 1)
                     yield _cell_probes(
-                        run_id(levels, common, size),
-                        run_id(second, common, size),
-                        run_id(levels, begin + shift, end - begin + WINDOW),
+                        span_ids(levels, common, size, 128),
+                        span_ids(second, common, size, 128),
+                        span_ids(levels, begin + shift, end - begin + WINDOW, 128),
                         doc[row],
                         part[row],
                         begin << 5 | (end - begin),
@@ -286,11 +266,6 @@ def _one(cell: tuple, state: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.array([cell[0]], np.int64), np.array([cell[1]], np.int32), np.array([cell[2] | state], np.int64)
 
 
-def _count_up(sizes: np.ndarray) -> np.ndarray:
-    """0, 1, ... for each size, one after another."""
-    return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-
-
 def _pair(row: np.ndarray, place: np.ndarray) -> np.ndarray:
     return row.astype(np.int64) << 40 | place
 
@@ -305,7 +280,7 @@ def open_windows(row: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.nd
     open_ = places & 1 == OPEN
     row, cell = row[open_], places[open_] >> 1
     number = (cell & 31) + 1
-    pairs = np.unique(_pair(np.repeat(row, number), np.repeat(cell >> 5, number) + _count_up(number)))
+    pairs = np.unique(_pair(np.repeat(row, number), np.repeat(cell >> 5, number) + count_up(number)))
     return pairs >> 40, pairs & ((1 << 40) - 1)
 
 
@@ -328,7 +303,7 @@ def single_windows(rows: DataFrame) -> DataFrame:
                     at = window[here] + bounds[segment[here], 0] - names[segment[here], 1]
                     levels, second = _two_levels(buffer)
                     size = np.full(len(at), WINDOW)
-                    k1, k2 = run_id(levels, at, size), run_id(second, at, size)
+                    k1, k2 = span_ids(levels, at, size, 128), span_ids(second, at, size, 128)
                     yield probes(k1, k2, doc[row[here]], part[row[here]], window[here], later=False)
 
     return rows.select("doc", "part", "doc_id", "packed", "refined").mapInArrow(run, ROWS)
@@ -339,7 +314,7 @@ def removed(size: int, cells_: list[int] | None, singles: list[int] | None) -> n
     places = np.array(cells_ or [], np.int64)
     cell = places[places & 1 == WHOLE] >> 1
     number = (cell & 31) + 1
-    starts = np.repeat(cell >> 5, number) + _count_up(number)
+    starts = np.repeat(cell >> 5, number) + count_up(number)
     return covered(size, [*starts.tolist(), *(singles or [])], WINDOW)
 
 
