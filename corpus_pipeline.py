@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from keyfold.llm import exact_dedup, mixing, near_dedup, packing, quality
-from keyfold.llm.common import documents, stored
+from keyfold.llm.common import documents, small_batches, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -19,11 +19,13 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each text."""
+    small_batches(spark)
     return exact_dedup.without_copies(docs)
 
 
 def unlike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    small_batches(spark)
     return near_dedup.without_near_copies(docs)
 
 
@@ -34,6 +36,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' token ids as sequences."""
+    small_batches(spark)
     return packing.packed(docs)
 
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyfold.llm.common import encoded, schema_with
+from keyfold.llm.common import encoded_slices, schema_with
 
 # The base phrases and their labels.
 BASE_PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -82,10 +82,10 @@ def document_frequencies(docs: DataFrame, known: list[bytes]) -> tuple[int, dict
         vocabulary_ = frozenset(known)
         for batch in batches:
             found: Counter[bytes] = Counter()
-            texts = encoded(batch.column("text"))
-            for text in texts:
-                found.update(vocabulary_.intersection(words(text)))
-            found[b""] = len(texts)
+            for _, texts in encoded_slices(batch.column("text")):
+                for text in texts:
+                    found.update(vocabulary_.intersection(words(text)))
+            found[b""] = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [pa.array([w.decode() for w in found], pa.string()), pa.array(list(found.values()), pa.int64())],
                 names=["word", "n"],
@@ -170,7 +170,7 @@ def license_scan(docs: DataFrame, more: tuple = TEMPLATES) -> DataFrame:
         index = RareWordIndex(templates(more), total, frequencies)
         for batch in batches:
             found = [[] for _ in range(7)]
-            for text in encoded(batch.column("text")):
+            for text in (t for _, some in encoded_slices(batch.column("text")) for t in some):
                 own = words(text)
                 base, scores = index.scan(own)
                 starts = [s for places in base.values() for s in places]

@@ -7,8 +7,8 @@ a coordinate with the probability of their weighted Jaccard similarity.
 
 Texts that agree in all coordinates of a band share a bucket. A bucket sends no pairs of all with all: its
 members are held against one of them, the one that shares most buckets. Sketches rule out most pairs, the
-rest are verified on the texts, and links make components. Buckets that still hold several components go on: small
-ones are compared across components, large ones against a further member, until a round finds no link.
+rest are verified on the texts, and links make components. Buckets that then hold several components go on: small
+ones are compared across components, large ones against a second member.
 """
 
 from __future__ import annotations
@@ -241,7 +241,7 @@ def _buckets(nodes: DataFrame) -> DataFrame:
 
 
 def _links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Verified links enough to connect all that is linked, ``a, b``."""
+    """Verified links that connect what is linked, ``a, b``."""
     crowded = _buckets(nodes)
     places = crowded.select("row").distinct().join(nodes.select("row", "doc", "part"), "row")
     lower = identified(docs).withColumn("text", F.lower("text"))
@@ -260,24 +260,19 @@ def _links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     links = stored(_verified(first, texts), "links")
     tried = tried.select("a", "b")
     more = _confirmed(tried.join(first, ["a", "b"], "left_anti"), components(links), texts)
+    links = links.unionByName(more)
+    # buckets that still hold several components: small ones are compared across them, large ones against a
+    # second hub, their most central member that was none yet
+    inside = _labelled(crowded, "row", components(links), "label")
+    mixed = inside.groupBy("key").agg((F.min("label") != F.max("label")).alias("mixed")).filter("mixed")
+    inside = stored(inside.join(mixed.select("key"), "key"), "mixed")
     used = hubs.select("key", F.col("hub").alias("row"))
-    small = True
-    while small or not more.isEmpty():
-        links = links.unionByName(more)
-        inside = _labelled(crowded, "row", components(links), "label")
-        mixed = inside.groupBy("key").agg((F.min("label") != F.max("label")).alias("mixed")).filter("mixed")
-        inside = stored(inside.join(mixed.select("key"), "key"), "mixed")
-        # a further hub for each large bucket: its most central member that was none yet
-        free = inside.filter(F.col("size") > SMALL_BUCKET).join(used, ["key", "row"], "left_anti")
-        hubs = stored(free.groupBy("key").agg(most, F.max_by("label", F.struct("shares", "row")).alias("hub_label")), "hubs")
-        pairs = _against_hub(inside, hubs)
-        if small:
-            pairs = pairs.unionByName(_across(inside.filter(F.col("size") <= SMALL_BUCKET))).distinct()
-        alike = stored(_alike(pairs.join(tried, ["a", "b"], "left_anti"), nodes).select("a", "b"), "pairs")
-        more = stored(_verified(alike, texts), "links")
-        used = used.unionByName(hubs.select("key", F.col("hub").alias("row")))
-        small = False
-    return links
+    free = inside.filter(F.col("size") > SMALL_BUCKET).join(used, ["key", "row"], "left_anti")
+    second = free.groupBy("key").agg(most, F.max_by("label", F.struct("shares", "row")).alias("hub_label"))
+    across = _across(inside.filter(F.col("size") <= SMALL_BUCKET))
+    pairs = _against_hub(inside, second).unionByName(across).distinct().join(tried, ["a", "b"], "left_anti")
+    alike = stored(_alike(pairs, nodes).select("a", "b"), "pairs")
+    return links.unionByName(stored(_verified(alike, texts), "links"))
 
 
 def _confirmed(pairs: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
@@ -296,7 +291,9 @@ def near_groups(docs: DataFrame) -> DataFrame:
     columns are ignored; an empty table gives no rows. ``number`` gives rows a name of their own.
 
     Banding finds a pair at 0.8 with probability 1 - 3e-6, sketches keep it with 1 - 5e-5; more similar
-    pairs are missed more rarely still. Nothing is capped: buckets go on until a round finds no link.
+    pairs are missed more rarely still. Where neither text of a pair is like one of the hubs of the buckets that they
+    share, it takes one bucket of up to ``SMALL_BUCKET`` members to find them: what the two have in common and
+    the hubs have not fills more than half of the bands of texts that are not like the hubs.
     """
     rows = signed(docs)
     # copies: one row of each digest takes part, the others follow it

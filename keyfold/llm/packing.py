@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyfold.llm.common import encoded, schema_with
+from keyfold.llm.common import encoded_slices, schema_with
 from keyfold.llm.tokens import vocabulary_path, word_tokenizer
 
 MAX_TOKENS = 2048
@@ -59,7 +59,8 @@ def packed(
         seen: Counter[int] = Counter()
         for batch in batches:
             rows, values = [], []
-            for row, found in enumerate(tokenizer.encode(encoded(batch.column("text")))):
+            texts = (t for _, some in encoded_slices(batch.column("text")) for t in tokenizer.encode(some))
+            for row, found in enumerate(texts):
                 ids = np.append(found, np.uint32(end_id)).astype("<u4")
                 start = 0
                 for length in piece_lengths(len(ids), longest):
@@ -80,6 +81,7 @@ def packed(
                 ],
                 names=schema.names,
             )
+        tokenizer.rest()
 
     pieced = docs.select("doc_id", "text").mapInArrow(pieces, schema)
     return pieced.select(

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from keyfold.llm.common import WHITESPACE, encoded, schema_with
+from keyfold.llm.common import WHITESPACE, encoded_slices, schema_with
 from keyfold.llm.tokens import WordTokenizer, vocabulary_path, word_tokenizer
 
 PIECE_BYTES = 256
@@ -147,7 +147,7 @@ def edited_counts(docs: DataFrame, edits=sample_edits, vocabulary: str | None =
         tokenizer = word_tokenizer(path)
         for batch in batches:
             rows = []
-            for text in encoded(batch.column("text")):
+            for text in (t for _, some in encoded_slices(batch.column("text")) for t in some):
                 tree = TokenTree(text, tokenizer)
                 before = tree.size, tree.tokens
                 made = edits(text)
@@ -164,5 +164,6 @@ def edited_counts(docs: DataFrame, edits=sample_edits, vocabulary: str | None =
                 ],
                 names=schema.names,
             )
+        tokenizer.rest()
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)

@@ -17,7 +17,8 @@ import numpy as np
 from keyfold.llm.common import slices
 
 PART_BYTES = 1 << 20
-KEPT_WORDS, KEPT_IDS = 1 << 20, 1 << 23
+KEPT_WORDS, KEPT_IDS = 1 << 19, 1 << 22
+IDLE_WORDS = 1 << 17  # kept from task to task
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -36,19 +37,28 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self._forget()
-
-    def _forget(self) -> None:
         # a word not met before gets the next number, inside the dictionary's own lookup
         self.slots: defaultdict[bytes, int] = defaultdict(count().__next__)
         self.known = 0
         self.starts, self.lengths = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.pool, self.used = np.zeros(4096, np.uint32), 0
 
+    def _keep(self, some: int) -> None:
+        """Forgets all words but those met first, which are the most frequent."""
+        self.slots = defaultdict(count(some).__next__, islice(self.slots.items(), some))
+        self.known, self.used = some, int(self.starts[some]) if some < self.known else self.used
+
+    def rest(self) -> None:
+        """Makes room at the end of a task: the worker lives on and may do other work."""
+        if len(self.slots) > IDLE_WORDS:
+            self._keep(IDLE_WORDS)
+            self.starts, self.lengths = self.starts[:IDLE_WORDS].copy(), self.lengths[:IDLE_WORDS].copy()
+            self.pool = self.pool[: self.used].copy()
+
     def _numbers(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of all words of some texts, and where each text's words end."""
         if len(self.slots) > KEPT_WORDS or self.used > KEPT_IDS:
-            self._forget()
+            self._keep(min(KEPT_WORDS // 2, int(np.searchsorted(self.starts[: self.known], KEPT_IDS // 2))))
         words = separated(texts)
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         slots = np.fromiter(map(self.slots.__getitem__, chain.from_iterable(words)), np.int64, int(sizes.sum()))
