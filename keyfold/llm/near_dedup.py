@@ -8,7 +8,8 @@ a coordinate with the probability of their weighted Jaccard similarity.
 Texts that agree in all coordinates of a band share a bucket. A bucket sends no pairs of all with all: its
 members are held against one of them, the one that shares most buckets. Sketches rule out most pairs, the
 rest are verified on the texts, and links make components. Buckets that then hold several components go on: small
-ones are compared across components, large ones against a second member.
+ones are compared across components, the members of large ones are joined on the rarest of their shingles, one
+of which any two that are similar share.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyfold.llm.common import encoded_slices, first_rows, id_order, mix, row_number, schema_with, scramble, slices, stored
+from keyfold.llm.common import count_up, encoded_slices, first_rows, id_order, mix, row_number, schema_with, scramble, slices, stored
 from keyfold.llm.components import components
 from keyfold.llm.fingerprints import shingle_hashes
 from keyfold.llm.meeting import identified, packed, unpacked
@@ -31,10 +32,14 @@ COORDINATES = 96
 BAND_ROWS = 4
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
-# Sketches that agree in a smaller share are not verified; four standard deviations below SIMILARITY.
+# Sketches that agree in a smaller share are not verified: of pairs at SIMILARITY, 1.4e-4.
 SKETCH_SIMILARITY = 0.64
 # Buckets of up to so many members are compared across all their components.
 SMALL_BUCKET = 64
+# Shingles are counted by their hash modulo this; the counts order them, and any order gives the same pairs.
+SLOTS = 1 << 20
+# A shingle that more texts are found by is joined in pieces of about so many.
+CROWD = 1024
 
 _STEP = 0x9E3779B97F4A7C15
 #: A tile holds at least 1, 2, ... darts if its hash lies above these: the Poisson distribution of mean 1.
@@ -251,28 +256,117 @@ def _links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     most = F.max_by("row", F.struct("shares", "row")).alias("hub")
     hubs = crowded.groupBy("key").agg(most).withColumn("hub_label", F.col("hub"))
     tried = stored(_alike(_against_hub(crowded.withColumn("label", F.col("row")), hubs), nodes), "pairs")
-    # the most similar hub of each first, then only what that leaves apart
-    closest = [
-        tried.groupBy(F.col(of).alias("of")).agg(F.max_by(hub_, F.struct("likeness", hub_)).alias("hub"))
-        for of, hub_ in (("a", "b"), ("b", "a"))
-    ]
-    first = stored(closest[0].unionByName(closest[1]).select(*_pair("of", "hub")).distinct(), "pairs")
-    links = stored(_verified(first, texts), "links")
-    tried = tried.select("a", "b")
-    more = _confirmed(tried.join(first, ["a", "b"], "left_anti"), components(links), texts)
-    links = links.unionByName(more)
-    # buckets that still hold several components: small ones are compared across them, large ones against a
-    # second hub, their most central member that was none yet
+    links = _closest_first(tried, None, texts)
+    # buckets that still hold several components: small ones are compared across them, large ones joined
     inside = _labelled(crowded, "row", components(links), "label")
     mixed = inside.groupBy("key").agg((F.min("label") != F.max("label")).alias("mixed")).filter("mixed")
     inside = stored(inside.join(mixed.select("key"), "key"), "mixed")
-    used = hubs.select("key", F.col("hub").alias("row"))
-    free = inside.filter(F.col("size") > SMALL_BUCKET).join(used, ["key", "row"], "left_anti")
-    second = free.groupBy("key").agg(most, F.max_by("label", F.struct("shares", "row")).alias("hub_label"))
     across = _across(inside.filter(F.col("size") <= SMALL_BUCKET))
-    pairs = _against_hub(inside, second).unionByName(across).distinct().join(tried, ["a", "b"], "left_anti")
-    alike = stored(_alike(pairs, nodes).select("a", "b"), "pairs")
-    return links.unionByName(stored(_verified(alike, texts), "links"))
+    large = inside.filter(F.col("size") > SMALL_BUCKET).select("row", "label").distinct()
+    joined = _sharing_rare(stored(texts.join(large, "row"), "large"))
+    pairs = across.unionByName(joined).distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti")
+    return _closest_first(stored(_alike(pairs, nodes), "pairs"), links, texts)
+
+
+def _closest_first(tried: DataFrame, links: DataFrame | None, texts: DataFrame) -> DataFrame:
+    """``links`` and those among ``tried`` (``a, b, likeness``) that connect what it links: the most similar
+    partner of each first, then only what that leaves apart."""
+    closest = [
+        tried.groupBy(F.col(of).alias("of")).agg(F.max_by(other, F.struct("likeness", other)).alias("other"))
+        for of, other in (("a", "b"), ("b", "a"))
+    ]
+    first = stored(closest[0].unionByName(closest[1]).select(*_pair("of", "other")).distinct(), "pairs")
+    found = stored(_verified(first, texts), "links")
+    links = found if links is None else links.unionByName(found)
+    rest = tried.select("a", "b").join(first, ["a", "b"], "left_anti")
+    return links.unionByName(_confirmed(rest, components(links), texts))
+
+
+def _shingle_counts(texts: DataFrame) -> np.ndarray:
+    """How many of ``texts`` hold a shingle, by the slot of its hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for _, some in _unpacked_slices(batch):
+                counts += np.bincount((weighted_shingles(some)[1] % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
+        slot = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(counts[slot])], names=["slot", "n"])
+
+    found = texts.select("packed").mapInArrow(run, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(SLOTS, np.int64)
+    out[found.column("slot").to_numpy()] = found.column("n").to_numpy()
+    return out
+
+
+def _unpacked_slices(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
+    """The texts of a batch, some rows at a time, and the number of the first."""
+    column = batch.column("packed")
+    # compressed texts; they take three to five times the room
+    for start, end in slices(4 * np.array([len(x) for x in column.to_pylist()], np.int64)):
+        yield start, unpacked(column.slice(start, end - start))
+
+
+def _rare_shingles(texts: DataFrame) -> DataFrame:
+    """``shingle, row, label, n, found`` of the rarest of each text's ``n`` shingles, a repeated shingle being one
+    each time it stands.
+
+    All texts order shingles alike. Of two similar texts the larger has one of its first ``n - 0.8 n + 1`` among the
+    first ``n - 1.6 / 1.8 n + 1`` (``found``) of the other: what they share is no less than 0.8 of the larger and
+    1.6 / 1.8 of the smaller.
+    """
+    counts = _shingle_counts(texts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, some in _unpacked_slices(batch):
+                row, shingle, count = weighted_shingles(some)
+                often = counts[(shingle % np.uint64(SLOTS)).astype(np.int64)]
+                order = np.lexsort((shingle, often, row))
+                times = count[order]
+                row, shingle = np.repeat(row[order], times), np.repeat(shingle[order], times)
+                shingle = mix(shingle, count_up(times).astype(np.uint64))
+                total = np.bincount(row, minlength=len(some))
+                place = count_up(total)
+                n = total[row]
+                kept = place <= n - np.ceil(SIMILARITY * n - 1e-9)
+                found = place <= n - np.ceil(2 * SIMILARITY / (1 + SIMILARITY) * n - 1e-9)
+                at = pa.array(start + row[kept])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(shingle[kept].view(np.int64)),
+                        batch.column("row").take(at),
+                        batch.column("label").take(at),
+                        pa.array(n[kept]),
+                        pa.array(found[kept]),
+                    ],
+                    names=["shingle", "row", "label", "n", "found"],
+                )
+
+    return texts.mapInArrow(run, "shingle bigint, row bigint, label bigint, n bigint, found boolean")
+
+
+def _sharing_rare(texts: DataFrame) -> DataFrame:
+    """Distinct pairs of ``texts`` (``row, label, packed``) in two components that share a rare shingle: all that are similar,
+    and others. A shingle by which many are found is dealt in pieces."""
+    rare = stored(_rare_shingles(texts), "rare")
+    crowds = rare.filter("found").groupBy("shingle").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > CROWD)
+    crowds = stored(crowds.select("shingle", F.ceil(F.col("size") / CROWD).cast("int").alias("pieces")), "crowds")
+    dealt = rare.join(F.broadcast(crowds), "shingle", "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
+    smaller = dealt.filter("found").select(
+        "shingle",
+        F.pmod(F.hash("row"), "pieces").alias("piece"),
+        F.col("row").alias("other"),
+        F.col("label").alias("other_label"),
+        F.col("n").alias("other_n"),
+    )
+    larger = dealt.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    both = larger.join(smaller, ["shingle", "piece"]).filter(
+        (F.col("label") != F.col("other_label"))
+        & (F.struct("other_n", "other") < F.struct("n", "row"))
+        & (F.col("other_n") >= SIMILARITY * F.col("n") - 1e-9)
+    )
+    return both.select(*_pair("row", "other")).distinct()
 
 
 def _confirmed(pairs: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
@@ -290,10 +384,9 @@ def near_groups(docs: DataFrame) -> DataFrame:
     kept. A null text counts as empty; texts without words are copies of each other; repeated rows are copies; other
     columns are ignored; an empty table gives no rows. ``number`` gives rows a name of their own.
 
-    Banding finds a pair at 0.8 with probability 1 - 3e-6, sketches keep it with 1 - 5e-5; more similar
-    pairs are missed more rarely still. Where neither text of a pair is like one of the hubs of the buckets that they
-    share, it takes one bucket of up to ``SMALL_BUCKET`` members to find them: what the two have in common and
-    the hubs have not fills more than half of the bands of texts that are not like the hubs.
+    Banding finds a pair at 0.8 with probability 1 - 3e-6, sketches keep it with 1 - 1.4e-4; more similar
+    pairs are missed more rarely still. Nothing is capped: whatever a bucket's size, its members in several
+    components meet, by their rarest shingles where there are more than ``SMALL_BUCKET``.
     """
     rows = signed(docs)
     # copies: one row of each digest takes part, the others follow it

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+import zstandard
 
 from keyfold.llm import near_dedup
 from keyfold.llm.components import components
@@ -53,6 +54,56 @@ def test_a_large_group_loses_no_link(spark, monkeypatch, small):
     check(near_dedup.near_groups(messy(spark, rows=rows)).collect(), rows)
 
 
+def form_rows(n: int = 260, pairs: int = 60) -> list[tuple]:
+    """One form filled in by many, 0.75 to 0.79 alike, and pairs at 0.80 to 0.85 that have some of the filling
+    in common. Row ``2 i`` and ``2 i + 1`` are a pair, as far as there are pairs."""
+    rng = random.Random(17)
+    form = " ".join(f"form{i}" for i in range(304))
+    texts = []
+    for i in range(n):
+        own = [f"own{i}x{j}" for j in range(rng.randrange(40, 49))]
+        if i < pairs:
+            common = len(own) - 36 + i % 6
+            texts += [form + " " + " ".join(own[:common] + [f"{side}{w}" for w in own[common:]]) for side in "ab"]
+        else:
+            texts.append(form + " " + " ".join(own))
+    return [(i, t, None, "s", 0) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("crowd", [1024, 16])
+def test_a_crowd_hides_no_pair(spark, monkeypatch, crowd):
+    monkeypatch.setattr(near_dedup, "CROWD", crowd)
+    rows = form_rows()
+    own = [shingles(t) for _, t, *_ in rows]
+    alike = {}
+    for i, a in enumerate(own):
+        for j in range(i):
+            common = sum((a & own[j]).values())
+            alike[j, i] = common / (sum(a.values()) + sum(own[j].values()) - common)
+    linked = {p for p, x in alike.items() if x >= 0.8}
+    assert linked == {(i, i + 1) for i in range(0, 120, 2)}
+    assert all(x < 0.86 if p in linked else 0.74 < x < 0.8 for p, x in alike.items())
+    found = near_dedup.near_groups(messy(spark, rows=rows)).collect()
+    assert {(r.doc_id, r.class_id) for r in found if r.doc_id != r.class_id} == {(b, a) for a, b in linked}
+
+
+def test_rare_shingles_bring_all_similar_pairs_together(spark):
+    rows = cluster_rows(60) + [(1000, "x y " * 40, None, "s", 0), (1001, "x y " * 45, None, "s", 0), (1002, "x y " * 60, None, "s", 0)]
+    texts = spark.createDataFrame(
+        [(i, i, zstandard.ZstdCompressor().compress(r[1].lower().encode())) for i, r in enumerate(rows)],
+        "row bigint, label bigint, packed binary",
+    )
+    own = [shingles(r[1]) for r in rows]
+    similar = set()
+    for i, a in enumerate(own):
+        for j in range(i):
+            common = sum((a & own[j]).values())
+            if common >= 0.8 * (sum(a.values()) + sum(own[j].values()) - common):
+                similar.add((j, i))
+    pairs = [tuple(r) for r in near_dedup._sharing_rare(texts).collect()]
+    assert len(similar) > 100 and similar <= set(pairs) and len(pairs) == len(set(pairs))
+
+
 def test_one_document_of_each_group_stays(spark, tmp_path):
     docs = written(messy(spark), tmp_path / "docs")
     found = near_dedup.without_near_copies(docs)
