@@ -7,6 +7,7 @@ a row. Words repeat, so their ids are kept: a dictionary lookup a word instead o
 from __future__ import annotations
 
 import os
+import re
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -28,15 +29,19 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
 
 
 class WordTokenizer:
-    """Equal to ``encode(text, add_special_tokens=False)`` of the vocabulary, special tokens being
-    ordinary text."""
+    """Equal to ``encode(text, add_special_tokens=False)`` of the vocabulary, which takes the literals of its added
+    tokens for these tokens wherever they stand."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # texts are cut at the literals first; words are put in lower case, which must not make one
         self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.added = {token.content.encode(): b" \xff%d " % number for number, token in added.items()}
+        self.literals = re.compile(b"|".join(re.escape(x) for x in sorted(self.added, key=len, reverse=True)) or b"(?!)")
         # a word not met before gets the next number, inside the dictionary's own lookup
         self.slots: defaultdict[bytes, int] = defaultdict(count().__next__)
         self.known = 0
@@ -59,20 +64,27 @@ class WordTokenizer:
         """The numbers of all words of some texts, and where each text's words end."""
         if len(self.slots) > KEPT_WORDS or self.used > KEPT_IDS:
             self._keep(min(KEPT_WORDS // 2, int(np.searchsorted(self.starts[: self.known], KEPT_IDS // 2))))
-        words = separated(texts)
+        words = separated([self._marked(t) for t in texts])
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         slots = np.fromiter(map(self.slots.__getitem__, chain.from_iterable(words)), np.int64, int(sizes.sum()))
         self._learn()
         return slots, np.cumsum(sizes)
 
+    def _marked(self, text: bytes) -> bytes:
+        """The text with a word of its own, which is no UTF-8, for the literal of each added token."""
+        if not any(x in text for x in self.added):
+            return text
+        return self.literals.sub(lambda found: self.added[found[0]], text)
+
     def _learn(self) -> None:
         """Encodes the words that have a number but no ids yet."""
         first, last = self.known, len(self.slots)
         if first == last:
             return
         new = list(islice(reversed(self.slots), last - first))[::-1]
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        ids = [x.ids for x in found]
+        plain = ["" if w.startswith(b"\xff") else w.decode() for w in new]
+        found = self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)
+        ids = [x.ids if text else [int(w[1:])] for w, text, x in zip(new, plain, found)]
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         end = self.used + int(lengths.sum())
         self.starts, self.lengths = _room(self.starts, last), _room(self.lengths, last)

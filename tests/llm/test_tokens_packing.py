@@ -27,6 +27,20 @@ def test_word_ids_are_those_of_the_whole_text(texts):
     assert tokenizer.counts([t.encode() for t in texts]).tolist() == [len(whole_ids(t)) for t in texts]
 
 
+LIBRARY = Tokenizer.from_file(tokens.vocabulary_path())
+LITERALS = ["<|startoftext|>", "<|endoftext|>", "<|EndOfText|>", "<|endof", "text|>", "e", "́", " ", "\n", "A's", "<|", "|>", ".", "<<"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(LITERALS), max_size=8).map("".join), max_size=4))
+def test_literals_of_added_tokens_are_these_tokens(texts):
+    wanted = [LIBRARY.encode(t, add_special_tokens=False).ids for t in [*texts, "a<|endoftext|>b"]]
+    tokenizer = tokens.word_tokenizer(tokens.vocabulary_path())
+    encoded = [t.encode() for t in [*texts, "a<|endoftext|>b"]]
+    assert wanted[-1][1] == 49407 and [x.tolist() for x in tokenizer.encode(encoded)] == wanted
+    assert tokenizer.counts(encoded).tolist() == [len(x) for x in wanted]
+
+
 def test_long_texts_and_a_full_cache(monkeypatch):
     monkeypatch.setattr(tokens, "KEPT_WORDS", 50)
     monkeypatch.setattr(tokens, "PART_BYTES", 64)
