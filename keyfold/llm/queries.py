@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keyfold.llm import exact_dedup, fingerprints, licenses, mixing, near_dedup, packing, quality, substrings, suffix_buckets, token_counts
+from keyfold.llm import exact_dedup, fingerprints, licenses, merkle, mixing, near_dedup, packing, quality, spelling, substrings, suffix_buckets, token_counts
 from keyfold.llm.common import documents, stored
 
 
@@ -64,9 +64,19 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.edited_counts(documents(spark, sf_dir))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf and proof in the manifest, and what its tampered text leads to."""
+    return merkle.document_manifest(documents(spark, sf_dir))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with the spelling that its neighbours suggest."""
+    return spelling.variant_groups(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_near_dedup, op2_licenses, op3_packing, op4_exact_dedup, op5_quality, op6_fingerprints, op7_suffix_buckets, op8_substrings, op9_mixing, op10_token_counts)
+    for f in (op1_near_dedup, op2_licenses, op3_packing, op4_exact_dedup, op5_quality, op6_fingerprints, op7_suffix_buckets, op8_substrings, op9_mixing, op10_token_counts, op12_merkle, op13_spelling)
 }
 
 EXACT_SQL = r"""
@@ -187,10 +197,66 @@ SELECT w.doc_id, CAST(len(w.ws) AS BIGINT) AS n_words, CAST(coalesce(n_removed,
 FROM w LEFT JOIN kept USING (doc_id)
 """
 
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || {0} END"
+
+
+def _leaf_sql(text: str) -> str:
+    return "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+# crc32, bit by bit; no function of DuckDB's own does it
+_CRC = """xor(list_reduce(list_concat([CAST(4294967295 AS UBIGINT)], flatten([[CAST(256 + ascii(substr({0}, CAST(i AS INTEGER), 1)) AS UBIGINT),
+  0, 0, 0, 0, 0, 0, 0] FOR i IN range(1, length({0}) + 1)])),
+  lambda c, x: xor(xor(c, CASE WHEN x > 0 THEN x - 256 ELSE 0 END) >> 1, CASE WHEN xor(c, CASE WHEN x > 0 THEN x - 256 ELSE 0 END) % 2 = 1 THEN 3988292384 ELSE 0 END)), 4294967295)"""
+
+MERKLE_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce('=' || source, '') AS tree, {_leaf_sql("text")} AS leaf,
+         {_leaf_sql("t")} AS claim
+  FROM (SELECT *, CASE WHEN {_CRC.format("coalesce(CAST(doc_id AS VARCHAR), '')")} % 5 = 0
+                       THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS t FROM documents)
+), l AS (
+  SELECT *, row_number() OVER (PARTITION BY encode(tree) ORDER BY doc_id NULLS LAST, leaf) - 1 AS place FROM d
+), t AS (
+  -- all nodes of the sources' trees, a level a step
+  SELECT 0 AS lv, tree, place, leaf AS h FROM l
+  UNION ALL
+  SELECT any_value(lv) + 1, tree, place // 16, sha256(string_agg(h, '' ORDER BY place))
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM t) WHERE n > 1 GROUP BY tree, place // 16
+), tops AS (SELECT tree, max(lv) AS top FROM t GROUP BY tree),
+subroots AS (
+  SELECT tree, h AS subroot, row_number() OVER (ORDER BY encode(tree)) - 1 AS place FROM t JOIN tops USING (tree) WHERE lv = top
+), u AS (
+  SELECT 0 AS lv, place, subroot AS h FROM subroots
+  UNION ALL
+  SELECT any_value(lv) + 1, place // 16, sha256(string_agg(h, '' ORDER BY place))
+  FROM (SELECT *, count(*) OVER () AS n FROM u) WHERE n > 1 GROUP BY place // 16
+), utop AS (SELECT max(lv) AS top, arg_max(h, lv) AS root FROM u),
+runs AS (
+  SELECT tree, lv, place // 16 AS run, string_agg(h, '' ORDER BY place) AS hs FROM t JOIN tops USING (tree) WHERE lv < top GROUP BY tree, lv, place // 16
+), uruns AS (SELECT lv, place // 16 AS run, string_agg(h, '' ORDER BY place) AS hs FROM u, utop WHERE lv < top GROUP BY lv, place // 16),
+steps AS (
+  -- what stands left and right of a leaf's ancestors, from the leaf up
+  SELECT l.tree, l.place, r.lv, substr(r.hs, 1, 64 * (l.place // (16 ** r.lv)::BIGINT % 16)) AS a, substr(r.hs, 64 * (l.place // (16 ** r.lv)::BIGINT % 16) + 65) AS b
+  FROM l JOIN runs r ON r.tree = l.tree AND r.run = l.place // (16 ** (r.lv + 1))::BIGINT
+  UNION ALL
+  SELECT l.tree, l.place, o.top + r.lv, substr(r.hs, 1, 64 * (s.place // (16 ** r.lv)::BIGINT % 16)), substr(r.hs, 64 * (s.place // (16 ** r.lv)::BIGINT % 16) + 65)
+  FROM l JOIN subroots s USING (tree) JOIN tops o USING (tree) JOIN uruns r ON r.run = s.place // (16 ** (r.lv + 1))::BIGINT
+), proofs AS (SELECT tree, place, sha256(string_agg(a || b, '' ORDER BY lv)) AS proof FROM steps GROUP BY tree, place),
+fold AS (
+  SELECT tree, place, 0 AS lv, claim AS h FROM l
+  UNION ALL
+  SELECT f.tree, f.place, f.lv + 1, sha256(p.a || f.h || p.b) FROM fold f JOIN steps p ON p.tree = f.tree AND p.place = f.place AND p.lv = f.lv
+), folded AS (SELECT tree, place, arg_max(h, lv) AS folded_root FROM fold GROUP BY tree, place)
+SELECT doc_id, leaf, subroot, root, coalesce(proof, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM l JOIN subroots s USING (tree) CROSS JOIN utop LEFT JOIN proofs p ON p.tree = l.tree AND p.place = l.place JOIN folded f ON f.tree = l.tree AND f.place = l.place
+"""
+
 ORACLES: dict[str, str] = {
     "op1_near_dedup": NEAR_SQL,
     "op4_exact_dedup": EXACT_SQL,
     "op7_suffix_buckets": SUFFIX_SQL,
     "op8_substrings": SUBSTRING_SQL,
     "op9_mixing": MIXING_SQL,
+    "op12_merkle": MERKLE_SQL,
 }
