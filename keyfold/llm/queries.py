@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keyfold.llm import exact_dedup, fingerprints, licenses, merkle, mixing, near_dedup, packing, quality, spelling, substrings, suffix_buckets, token_counts
+from keyfold.llm import exact_dedup, fingerprints, licenses, merkle, mixing, near_dedup, packing, quality, spelling, substrings, suffix_buckets, token_counts, url_filters
 from keyfold.llm.common import documents, stored
 
 
@@ -64,6 +64,21 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.edited_counts(documents(spark, sf_dir))
 
 
+# The rules of the query, as its contract has them.
+URL_RULES = [
+    url_filters.Rule("allow", "com", "/"),
+    url_filters.Rule("block", "example.com", "/en/"),
+    url_filters.Rule("allow", "www.example.com", "/en/"),
+    url_filters.Rule("block", "net", "/es/"),
+    url_filters.Rule("block", "net", "/fr/"),
+]
+
+
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's verdict, by the rules or by its template."""
+    return url_filters.judged(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's leaf and proof in the manifest, and what its tampered text leads to."""
     return merkle.document_manifest(documents(spark, sf_dir))
@@ -76,7 +91,7 @@ def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_near_dedup, op2_licenses, op3_packing, op4_exact_dedup, op5_quality, op6_fingerprints, op7_suffix_buckets, op8_substrings, op9_mixing, op10_token_counts, op12_merkle, op13_spelling)
+    for f in (op1_near_dedup, op2_licenses, op3_packing, op4_exact_dedup, op5_quality, op6_fingerprints, op7_suffix_buckets, op8_substrings, op9_mixing, op10_token_counts, op11_url_filters, op12_merkle, op13_spelling)
 }
 
 EXACT_SQL = r"""
