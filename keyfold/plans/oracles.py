@@ -200,3 +200,5 @@ SELECT id, '{{"app_id":"' || app_id || '","id":"' || id || '"' || coalesce(',"ni
 ORACLES["store_snapshot"] = ORACLES["document_sources"]
 ORACLES["bulk_nested"] = ORACLES["nested_merge"]
 ORACLES["stream_new_checkpoint"] = ORACLES["stream_field_merge"]
+ORACLES["store_levels"] = ORACLES["document_sources"]
+ORACLES["stream_commit"] = ORACLES["stream_field_merge"]

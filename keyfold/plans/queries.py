@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +14,8 @@ from keyfold.plans.fixtures import BURST_COLUMNS, NESTED_COLUMNS, NUMBER_COLUMNS
 from keyfold.session import scratch_path
 from keyfold.sources.message_log import spread, stream_log
 from keyfold.streaming import bulk, jobs
+from keyfold.streaming.commits import CommitLog
+from keyfold.streaming.levels import LeveledStore
 from keyfold.streaming.tables import DIRECT, DocumentStore
 
 PREFIX, GROUP = "app", "g1"
@@ -191,6 +194,22 @@ def _store(spark: SparkSession, sf_dir: str) -> DocumentStore:
     return store
 
 
+BATCHES = 9
+
+
+def store_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of a store in levels that nine batches went into, with folds between them and buckets that split."""
+    path = scratch_path(spark, "batches")
+    docs = _documents(spark, sf_dir).withColumn("batch", F.pmod("pos", F.lit(BATCHES)))
+    docs.write.partitionBy("batch").parquet(path)
+    store = LeveledStore(CommitLog(spark, scratch_path(spark, "levels")), buckets=2, fan=3, bucket_rows=10_000)
+    for number in range(BATCHES):
+        store.write(spark.read.schema(docs.schema).parquet(path).filter(F.col("batch") == number).drop("batch"))
+        if number < BATCHES - 1:
+            store.fold()
+    return store.documents()
+
+
 def document_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ["nick_name", "phone", "user_from", "tag_id", "batch_id"]
     return merge.wide_state(_documents(spark, sf_dir), names)
@@ -329,6 +348,34 @@ def stream_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, sf_dir, jobs.document_job, checkpoints=2, compact_every=2).store.fields()
 
 
+def stream_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The document job with one commit a batch, which fails in every second batch after its documents were written and is
+    started again: the store's fields."""
+    root = scratch_path(spark, "stream")
+    log, piece = message_log(spark, sf_dir), _piece(spark, sf_dir)
+    failed = set()
+
+    def fails(written: jobs.Written) -> None:
+        if written.batch_id % 2 == 1 and written.batch_id not in failed:
+            failed.add(written.batch_id)
+            raise RuntimeError("the store is down")
+
+    config = jobs.JobConfig(f"{root}/tables", PREFIX, GROUP, sinks=(fails,), compact_every=2, buckets=4, committed=True)
+    for number in range(PIECES):
+        log.filter(piece == number).write.mode("append").parquet(f"{root}/log")
+        job = jobs.start(stream_log(spark, f"{root}/log"), jobs.document_job(config), f"{root}/checkpoint")
+        try:
+            job.awaitTermination()
+        except StreamingQueryException as error:
+            if "the store is down" not in str(error):
+                raise
+            # what was written is not seen
+            seen = jobs.JobTables(spark, config)
+            assert len(seen.metrics.batches()) == len(seen.ledger.batches()) == number
+            jobs.start(stream_log(spark, f"{root}/log"), jobs.document_job(config), f"{root}/checkpoint").awaitTermination()
+    return jobs.JobTables(spark, config).store.fields()
+
+
 def stream_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The keep-last job over a streamed log that brings most messages twice: its signal queue."""
     queue = _streamed(spark, sf_dir, jobs.keep_last_job, replays=True).queue.read()
@@ -366,6 +413,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bulk_written": bulk_written,
     "bulk_nested": bulk_nested,
     "store_snapshot": store_snapshot,
+    "store_levels": store_levels,
     "document_state": document_state,
     "corpus_state": corpus_state,
     "nested_merge": nested_merge,
@@ -379,6 +427,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_metrics": batch_metrics,
     "stream_field_merge": stream_field_merge,
     "stream_new_checkpoint": stream_new_checkpoint,
+    "stream_commit": stream_commit,
     "stream_queue": stream_queue,
     "stream_profiles": stream_profiles,
 }

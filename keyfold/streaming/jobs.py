@@ -2,13 +2,15 @@
 
 The order inside a batch is fixed: all sinks, then metrics, then the ledger. The query's checkpoint
 decides what is read again after a failure; the ledger is there to be queried and to seed a new
-checkpoint.
+checkpoint. With ``committed`` tables nothing of a batch is seen before all of it is, and a batch that was committed is not
+written again.
 """
 
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -20,8 +22,9 @@ from keyfold.operators import messages, profiles, progress, signals
 from keyfold.operators.deep_merge import state_rows
 from keyfold.operators.merge import TIME_ORDER, keep_last
 from keyfold.sources.message_log import trigger
+from keyfold.streaming.commits import CommitLog, CommittedTable, Transaction
+from keyfold.streaming.levels import LeveledStore
 from keyfold.streaming.tables import (
-    DIRECT,
     METRICS_SCHEMA,
     QUARANTINE_SCHEMA,
     QUEUE_SCHEMA,
@@ -53,6 +56,12 @@ class JobConfig:
     compact_every: int = 0
     buckets: int = 16
     unquoted_names: bool = False
+    # one commit a batch for all tables, and the store in levels; its buckets are split at so many rows
+    committed: bool = False
+    bucket_rows: int = 20_000_000
+
+
+LEDGER_TABLE_SCHEMA = "prefix string, group_id string, topic string, part int, until_pos bigint, updated_at timestamp"
 
 
 class JobTables:
@@ -60,16 +69,45 @@ class JobTables:
 
     def __init__(self, spark: SparkSession, config: JobConfig):
         root = config.root.rstrip("/")
-        self.store = DocumentStore(spark, f"{root}/documents", config.order, config.null_policy, config.nested)
-        self.queue = BatchTable(spark, f"{root}/queue", QUEUE_SCHEMA)
-        self.quarantine = BatchTable(spark, f"{root}/quarantine", QUARANTINE_SCHEMA)
-        self.metrics = BatchTable(spark, f"{root}/metrics", METRICS_SCHEMA)
-        self.outcome = BatchTable(spark, f"{root}/outcome", OUTCOME_SCHEMA)
-        self.ledger = BatchTable(
-            spark,
-            f"{root}/ledger",
-            "prefix string, group_id string, topic string, part int, until_pos bigint, updated_at timestamp",
-        )
+        self.transaction: Transaction | None = None
+        self.log = CommitLog(spark, root) if config.committed else None
+        merging = config.order, config.null_policy, config.nested
+
+        def table(name: str, schema: str) -> BatchTable | CommittedTable:
+            if self.log is None:
+                return BatchTable(spark, f"{root}/{name}", schema)
+            return CommittedTable(self.log, name, schema, self._current)
+
+        if self.log is None:
+            self.store = DocumentStore(spark, f"{root}/documents", *merging)
+        else:
+            sizes = {"buckets": config.buckets, "bucket_rows": config.bucket_rows}
+            self.store = LeveledStore(self.log, *merging, **sizes, current=self._current)
+        self.queue = table("queue", QUEUE_SCHEMA)
+        self.quarantine = table("quarantine", QUARANTINE_SCHEMA)
+        self.metrics = table("metrics", METRICS_SCHEMA)
+        self.outcome = table("outcome", OUTCOME_SCHEMA)
+        self.ledger = table("ledger", LEDGER_TABLE_SCHEMA)
+
+    def _current(self) -> Transaction | None:
+        return self.transaction
+
+    @contextmanager
+    def batch(self, run: str, batch_id: int) -> Iterator[bool]:
+        """The writes of a batch; committed tables show them when it ends well. False if it was committed before."""
+        if self.log is None:
+            yield True
+            return
+        transaction = Transaction(self.log, run, batch_id)
+        if transaction.done():
+            yield False
+            return
+        self.transaction = transaction
+        try:
+            yield True
+            transaction.commit()
+        finally:
+            self.transaction = None
 
 
 @dataclass(frozen=True)
@@ -124,39 +162,47 @@ def _batch_function(
         spark = batch.sparkSession
         # whatever the session: of a nested object's repeated keys the last one wins
         spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-        own_run = spark.sparkContext.getLocalProperty(_QUERY_ID) or DIRECT
+        own_run = spark.sparkContext.getLocalProperty(_QUERY_ID)
+        if not own_run:
+            raise RuntimeError("a job runs as a streaming query; write single batches with the store's write")
         tables = JobTables(spark, config)
         parsed = messages.parse_messages(batch, config.unquoted_names).persist()
         try:
-            if with_signals:
-                reasons = {"document": messages.document_reason(), "signal": signals.signal_reason()}
-            else:
-                reasons = {"profile": profiles.profile_reason()}
-            # one row per topic partition: counts and positions; computing it fills the cache in parallel
-            counted = batch_metrics(parsed, reasons, ["topic", "part"], F.max("pos").alias("last_pos")).collect()
-            if not counted:
-                return
-            totals = [sum(row[name] for row in counted) for name in COUNTS]
-            found = dict(zip(COUNTS, totals))
-            if found["rejected"]:
-                tables.quarantine.write(messages.rejects(parsed, **reasons), batch_id, own_run)
-            tables.store.write_rows(to_states(parsed), batch_id, own_run)
-            written = Written(tables, own_run, batch_id)
-            failed = sum(sink(written) or 0 for sink in config.sinks)
-            if with_signals and found["signals"]:
-                queued = signals.queue_rows(signals.signals(parsed), config.queue)
-                tables.queue.write(queued, batch_id, own_run)
-
-            elapsed = int((time.monotonic() - started) * 1000)
-            names = [getattr(sink, "name", getattr(sink, "__name__", "sink")) for sink in config.sinks]
-            row = spark.createDataFrame([(*totals, failed, names, elapsed)], METRICS_SCHEMA)
-            tables.metrics.write(row, batch_id, own_run)
-            ledger.save(tables.ledger, counted, batch_id, own_run)
+            with tables.batch(own_run, batch_id) as fresh:
+                if fresh:
+                    write(tables, parsed, batch_id, own_run, started)
             if config.compact_every and (batch_id + 1) % config.compact_every == 0 and tables.store.compact(config.buckets):
                 tables.store.clean()
         finally:
             parsed.unpersist()
 
+    def write(tables: JobTables, parsed: DataFrame, batch_id: int, own_run: str, started: float) -> None:
+        spark = parsed.sparkSession
+        if with_signals:
+            reasons = {"document": messages.document_reason(), "signal": signals.signal_reason()}
+        else:
+            reasons = {"profile": profiles.profile_reason()}
+        # one row per topic partition: counts and positions; computing it fills the cache in parallel
+        counted = batch_metrics(parsed, reasons, ["topic", "part"], F.max("pos").alias("last_pos")).collect()
+        if not counted:
+            return
+        totals = [sum(row[name] for row in counted) for name in COUNTS]
+        found = dict(zip(COUNTS, totals))
+        if found["rejected"]:
+            tables.quarantine.write(messages.rejects(parsed, **reasons), batch_id, own_run)
+        tables.store.write_rows(to_states(parsed), batch_id, own_run)
+        written = Written(tables, own_run, batch_id)
+        failed = sum(sink(written) or 0 for sink in config.sinks)
+        if with_signals and found["signals"]:
+            queued = signals.queue_rows(signals.signals(parsed), config.queue)
+            tables.queue.write(queued, batch_id, own_run)
+
+        elapsed = int((time.monotonic() - started) * 1000)
+        names = [getattr(sink, "name", getattr(sink, "__name__", "sink")) for sink in config.sinks]
+        row = spark.createDataFrame([(*totals, failed, names, elapsed)], METRICS_SCHEMA)
+        tables.metrics.write(row, batch_id, own_run)
+        ledger.save(tables.ledger, counted, batch_id, own_run)
+
     return run
 
 

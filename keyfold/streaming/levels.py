@@ -182,7 +182,9 @@ class LeveledStore:
             done = True
         return done
 
-    compact = fold
+    def compact(self, buckets: int = 0) -> bool:
+        """Folds every batch; the number of buckets takes care of itself."""
+        return self.fold(every=True)
 
     def clean(self, keep: int = 2) -> None:
         """Deletes what the last ``keep`` versions of the log do not name."""

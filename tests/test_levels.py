@@ -9,6 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from keyfold.operators import messages
+from keyfold.sources.message_log import stream_log
+from keyfold.streaming import jobs
 from keyfold.streaming.commits import Changes, CommitLog, CommittedTable, Conflict, Transaction
 from keyfold.streaming.levels import Buckets, LeveledStore, _runs
 from tests.test_merge import brute_force, random_messages
@@ -191,3 +193,54 @@ def test_an_empty_store(spark, tmp_path):
     store = LeveledStore(CommitLog(spark, f"{tmp_path}/none"))
     assert store.documents().count() == 0 and not store.fold(every=True)
     assert store.get_many(["a"]).collect() == []
+
+
+def test_a_job_that_fails_after_any_write_shows_nothing(spark, log, tmp_path, monkeypatch):
+    """After each single write of a batch the job is stopped: all tables stay at the batch before."""
+    sent = [(0, 0, '{"id":"a","x":1}'), (1, 0, "junk"), (0, 1, '{"data_source":"tag_operate_queue","is_last_batch":1}')]
+    more = [(0, 2, '{"id":"a","y":2}'), (1, 1, "[]"), (0, 3, '{"data_source":"tag_operate_queue","is_last_batch":1,"n":2}')]
+    config = jobs.JobConfig(f"{tmp_path}/tables", committed=True, buckets=2)
+    names = ("store", "queue", "quarantine", "metrics", "ledger")
+
+    def start():
+        stream = stream_log(spark, f"{tmp_path}/log")
+        jobs.start(stream, jobs.document_job(config), f"{tmp_path}/checkpoint").awaitTermination()
+
+    def seen():
+        tables = jobs.JobTables(spark, config)
+        whole = [tables.store.documents(), *(getattr(tables, n).read().drop("updated_at", "ms") for n in names[1:])]
+        return [sorted(map(str, frame.collect())) for frame in whole], tables.log.state().version
+
+    log(*sent).write.parquet(f"{tmp_path}/log")
+    start()
+    before = seen()
+    assert [len(rows) for rows in before[0]] == [1, 1, 3, 1, 2]
+    log(*more).write.mode("append").parquet(f"{tmp_path}/log")
+    real, left = CommittedTable.write, [0]
+
+    def write(self, *args):
+        real(self, *args)
+        left[0] -= 1
+        if left[0] == 0:
+            raise RuntimeError("stopped")
+
+    monkeypatch.setattr(CommittedTable, "write", write)
+    for after in range(1, 6):
+        left[0] = after
+        with pytest.raises(Exception, match="stopped"):
+            start()
+        assert seen() == before
+    left[0] = -1
+    start()
+    rows, version = seen()
+    assert [len(r) for r in rows] == [1, 2, 6, 2, 4] and version == before[1] + 1
+    # a batch whose acknowledgement was lost is not written twice
+    tables = jobs.JobTables(spark, config)
+    run, batch_id = tables.metrics.batches()[-1]
+    with tables.batch(run, batch_id) as fresh:
+        assert not fresh
+
+
+def test_a_batch_outside_a_stream_is_no_job(spark, log, tmp_path):
+    with pytest.raises(RuntimeError, match="streaming query"):
+        jobs.document_job(jobs.JobConfig(f"{tmp_path}/tables"))(log('{"id":"a"}'), 0)
