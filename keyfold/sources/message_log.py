@@ -68,7 +68,7 @@ def trigger(interval_seconds: float | None) -> dict:
     return {"processingTime": f"{interval_seconds} seconds"}
 
 
-def spread(rows: DataFrame, slots: int | None, *keys: str) -> DataFrame:
-    """Spreads a scan of fewer splits than the cluster has ``slots``, for parsing is CPU-bound. None leaves it
-    alone, without a shuffle, as is right for an input of many splits."""
-    return rows if slots is None else rows.repartition(slots, *keys)
+def spread(rows: DataFrame, slots: int, *keys: str) -> DataFrame:
+    """Spreads a scan that has fewer splits than the cluster has ``slots``, for parsing is CPU-bound. A larger input is left as
+    it was split: no shuffle stands between the scan and the parse."""
+    return rows if rows.rdd.getNumPartitions() >= slots else rows.repartition(slots, *keys)

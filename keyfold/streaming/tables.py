@@ -33,6 +33,7 @@ METRICS_SCHEMA = (
 )
 # Writes outside of any stream belong to this run.
 DIRECT = "direct"
+_MANIFEST_SCHEMA = "name string, buckets int, run string, upto bigint, writes map<bigint, string>"
 
 
 class Folders:
@@ -49,6 +50,17 @@ class Folders:
         names = [(s.getPath().getParent().getName(), s.getPath().getName()) for s in found]
         return sorted((run.removeprefix("run="), int(batch.removeprefix("batch_id="))) for run, batch in names)
 
+    def writes(self) -> dict[tuple[str, int], str]:
+        """``(run, batch_id)`` of every folder and a name of the write that filled it: Spark's file names have one for each."""
+        found = self._files.globStatus(self._path(f"{self.path}/run=*/batch_id=*/part-*")) or []
+        out: dict[tuple[str, int], str] = {}
+        for status in found:
+            file = status.getPath()
+            batch, run = file.getParent().getName(), file.getParent().getParent().getName()
+            key = run.removeprefix("run="), int(batch.removeprefix("batch_id="))
+            out[key] = max(out.get(key, ""), file.getName().split("-", 2)[2])
+        return out
+
     def delete(self, name: str) -> None:
         self._files.delete(self._path(f"{self.path}/{name}"), True)
 
@@ -95,14 +107,16 @@ def _read(spark: SparkSession, schema: str, path: str) -> DataFrame:
 
 
 class Snapshot:
-    """An entry of the manifest: a folder of merged rows, and of each run the last batch folded into it."""
+    """An entry of the manifest: a folder of merged rows, of each run the last batch folded into it, and the writes that were
+    there to fold. A folder that was written again since is none of them, whatever its number."""
 
     def __init__(self, rows: list):
         self.seq, self.name, self.buckets = rows[0].seq, rows[0].name, rows[0].buckets
         self.folded = {r.run: r.upto for r in rows if r.run is not None}
+        self.writes = {(r.run, batch): write for r in rows for batch, write in (r.writes or {}).items()}
 
-    def holds(self, run: str, batch_id: int) -> bool:
-        return batch_id <= self.folded.get(run, -1)
+    def holds(self, batch: tuple[str, int], write: str) -> bool:
+        return self.writes.get(batch) == write
 
 
 class DocumentStore:
@@ -139,15 +153,15 @@ class DocumentStore:
     def state(self, upto: Mapping[str, int] | None = None, where: Column | None = None) -> DataFrame:
         """Merged state rows of everything written, or of each run as of a batch. ``where`` is a condition on
         ``id``; it reaches both scans, and on the snapshot picks the bucket."""
-        batches = self._written(upto)
+        written = self._written(upto)
         newest = next((s for s in self._snapshots() if _within(s.folded, upto)), None)
 
         def chosen(rows: DataFrame) -> DataFrame:
             return rows if where is None else rows.filter(where)
 
         if newest is None:
-            return merge_rows(chosen(self.changes.read(batches).drop("run", "batch_id")), self.order)
-        live = self.changes.read([b for b in batches if not newest.holds(*b)]).drop("run", "batch_id")
+            return merge_rows(chosen(self.changes.read(list(written)).drop("run", "batch_id")), self.order)
+        live = self.changes.read([b for b, write in written.items() if not newest.holds(b, write)]).drop("run", "batch_id")
         snapshot = chosen(self._snapshot_table(newest))
         return merge_rows(snapshot.unionByName(chosen(live).repartition(newest.buckets, "id")), self.order)
 
@@ -171,12 +185,12 @@ class DocumentStore:
         ``buckets`` counts for the first snapshot; later ones keep its number, which is what saves
         the shuffle. Choose it so that a bucket of the final size fits a task.
         """
-        snapshots, batches = self._snapshots(), self._written(None)
+        snapshots, written = self._snapshots(), self._written(None)
         newest = snapshots[0] if snapshots else None
-        if not [b for b in batches if newest is None or not newest.holds(*b)]:
+        if not [b for b, write in written.items() if newest is None or not newest.holds(b, write)]:
             return False
         if newest is None:
-            merged = merge_rows(self.changes.read(batches).drop("run", "batch_id").repartition(buckets, "id"), self.order)
+            merged = merge_rows(self.changes.read(list(written)).drop("run", "batch_id").repartition(buckets, "id"), self.order)
         else:
             buckets = newest.buckets
             merged = self.state()
@@ -191,11 +205,10 @@ class DocumentStore:
             .saveAsTable(self._table_name(name))
         )
         folded = dict(newest.folded) if newest else {}
-        for run, batch_id in batches:
+        for run, batch_id in written:
             folded[run] = max(batch_id, folded.get(run, -1))
-        entry = self.spark.createDataFrame(
-            [(name, buckets, run, upto) for run, upto in folded.items()], "name string, buckets int, run string, upto bigint"
-        )
+        rows = [(name, buckets, run, upto, {b: w for (r, b), w in written.items() if r == run}) for run, upto in folded.items()]
+        entry = self.spark.createDataFrame(rows, _MANIFEST_SCHEMA)
         entry.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/manifest/seq={seq}")
         return True
 
@@ -210,16 +223,17 @@ class DocumentStore:
             manifest.delete(f"seq={old.seq}")
             self.spark.sql(f"DROP TABLE IF EXISTS {self._table_name(old.name)}")
             tables.delete(old.name)
-        for run, batch_id in changes.batches():
-            if snapshots[keep - 1].holds(run, batch_id):
+        for (run, batch_id), write in changes.writes().items():
+            if snapshots[keep - 1].holds((run, batch_id), write):
                 changes.delete(self.changes.folder(batch_id, run))
 
-    def _written(self, upto: Mapping[str, int] | None) -> list[tuple[str, int]]:
-        return [b for b in self.changes.folders().batches() if upto is None or b[1] <= upto.get(b[0], -1)]
+    def _written(self, upto: Mapping[str, int] | None) -> dict[tuple[str, int], str]:
+        found = sorted(self.changes.folders().writes().items())
+        return {b: write for b, write in found if upto is None or b[1] <= upto.get(b[0], -1)}
 
     def _snapshots(self) -> list[Snapshot]:
         """Newest first; the manifest has a row per snapshot and run."""
-        schema = "name string, buckets int, run string, upto bigint, seq bigint"
+        schema = f"{_MANIFEST_SCHEMA}, seq bigint"
         rows: dict[int, list] = {}
         for row in _read(self.spark, schema, f"{self.root}/manifest").collect():
             rows.setdefault(row.seq, []).append(row)

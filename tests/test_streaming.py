@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from keyfold.__main__ import main
 from keyfold.operators import deep_merge, lookup, merge, messages, progress, signals
+from keyfold.plans.queries import QUERIES
 from keyfold.sources.message_log import read_log, stream_log
 from keyfold.streaming import jobs
 from keyfold.streaming.tables import DIRECT, DocumentStore
@@ -247,3 +248,37 @@ def test_wide_state_reads_the_same_as_the_store(spark, log, tmp_path):
     docs = messages.documents(messages.parse_messages(log('{"id":"a","x":"1"}', '{"id":"a","y":"2"}')))
     row = merge.wide_state(docs, ["x", "y"]).first()
     assert (row.x, row.y) == ("1", "2")
+
+
+@pytest.mark.parametrize("numbers", [(0, 0), (5, 3)])
+def test_writes_outside_a_stream_are_kept_whatever_their_number(spark, log, tmp_path, numbers):
+    """The number of a write says nothing about what was folded: a folder written after a fold is new."""
+    store = DocumentStore(spark, f"{tmp_path}/documents")
+    for name, number in zip("ab", numbers):
+        store.write_batch(messages.documents(messages.parse_messages(log(f'{{"id":"{name}"}}'))), number)
+        assert store.compact(buckets=2)
+        store.clean(keep=1)
+        assert not store.compact()
+    assert sorted(documents_of(store.documents())) == ["a", "b"]
+    store.write_batch(messages.documents(messages.parse_messages(log('{"id":"c"}'))), min(numbers))
+    assert sorted(documents_of(store.documents())) == ["a", "b", "c"]
+    store.clean(keep=1)
+    assert sorted(documents_of(store.documents())) == ["a", "b", "c"]
+
+
+def test_a_large_log_is_parsed_as_it_was_split(spark, tmp_path):
+    """No exchange between scan and parse where the input has as many splits as the cluster has slots."""
+    slots = spark.sparkContext.defaultParallelism
+    rows = spark.range(800).selectExpr("id AS event_id", "timestamp_seconds(id) AS ts", "id % 9 AS user_id", "'click' AS event_type")
+    for name, parts in (("small", 1), ("large", 2 * slots)):
+        rows.repartition(parts).write.parquet(f"{tmp_path}/{name}/events.parquet")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))
+    try:
+        for query, exchanges in (("documents_valid", 0), ("field_merge", 2)):
+            plans = {
+                name: QUERIES[query](spark, f"{tmp_path}/{name}")._jdf.queryExecution().executedPlan().toString() for name in ("small", "large")
+            }
+            assert "REPARTITION_BY_NUM" in plans["small"] and "REPARTITION" not in plans["large"]
+            assert plans["large"].count("Exchange hashpartitioning") == exchanges
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
