@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyfold.operators import progress, signals
 from keyfold.operators.merge import LOG_ORDER, TIME_ORDER
 from keyfold.session import SESSION_CONF
 from keyfold.sources import message_log
+from keyfold.sources.positions import stream_positions
 from keyfold.streaming import bulk, jobs
 
 ORDERS = {"time": TIME_ORDER, "log": LOG_ORDER}
@@ -29,6 +30,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--start", choices=progress.START_POLICIES, default="latest", help="where no position is stored")
     parser.add_argument("--rate", type=int, help="messages per Kafka partition and second at most")
     parser.add_argument("--max-files", type=int, help="files of --messages per batch at most")
+    parser.add_argument("--max-positions", type=int, help="positions of --messages per partition and batch at most; reads from the ledger on")
+    parser.add_argument("--expire", type=int, default=0, metavar="SECONDS", help=f"forget a ledger that was idle so long (originally {progress.TTL_SECONDS}); 0: never")
+    parser.add_argument("--committed", action="store_true", help="one commit a batch for all tables, and a store in levels")
     parser.add_argument("--interval", type=float, help="seconds between batches; without it the backlog is worked off once")
     parser.add_argument("--prefix", default="app")
     parser.add_argument("--group", default="g1")
@@ -46,6 +50,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         parser.error("give either --messages, or --servers and --topic")
     if parsed.messages and parsed.rate:
         parser.error("--rate caps Kafka partitions; use --max-files with --messages")
+    if parsed.max_positions and (not parsed.messages or parsed.max_files):
+        parser.error("--max-positions goes with --messages, in place of --max-files")
     if parsed.rate and not parsed.partitions:
         parser.error("--rate is per partition; give --partitions too")
     if [option for option in parsed.sink_option if "=" not in option]:
@@ -60,7 +66,7 @@ def kafka_source_options(tables: jobs.JobTables, args: argparse.Namespace) -> di
     wants one for each, and a ledger that knows more partitions than were given is an error.
     """
     spark = tables.ledger.spark
-    stored = progress.load_ledger(tables.ledger.read(), args.prefix, args.group, args.topic)
+    stored = stored_positions(tables, args, args.topic)
     count = progress.checked_partitions(stored, args.partitions)
     start = args.start
     if count is not None:
@@ -70,6 +76,22 @@ def kafka_source_options(tables: jobs.JobTables, args: argparse.Namespace) -> di
     return message_log.kafka_options(args.servers, args.topic, args.group, start, cap)
 
 
+def stored_positions(tables: jobs.JobTables, args: argparse.Namespace, topic: str | None, as_of: Column | None = None) -> DataFrame:
+    """``part, until_pos`` of the ledger (T3), nothing of it once it was idle for ``--expire`` seconds (T5). Without a topic, the one the
+    ledger knows."""
+    ledger = progress.current_ledger(tables.ledger.read())
+    if args.expire:
+        ledger = progress.live_ledger(ledger, F.current_timestamp() if as_of is None else as_of, args.expire)
+    mine = ledger.filter((F.col("prefix") == args.prefix) & (F.col("group_id") == args.group))
+    return (mine if topic is None else mine.filter(F.col("topic") == topic)).select("part", "until_pos")
+
+
+def position_stream(spark: SparkSession, tables: jobs.JobTables, args: argparse.Namespace) -> DataFrame:
+    """The files as a stream of positions, a new checkpoint starting where the ledger ends."""
+    starting = {r.part: r.until_pos for r in stored_positions(tables, args, args.topic).collect()}
+    return stream_positions(spark, args.messages, args.checkpoint, starting, "earliest", args.max_positions)
+
+
 def job_config(args: argparse.Namespace) -> jobs.JobConfig:
     sinks = ()
     if args.sink:
@@ -86,6 +108,7 @@ def job_config(args: argparse.Namespace) -> jobs.JobConfig:
         args.compact_every,
         args.buckets,
         args.unquoted_names,
+        args.committed,
     )
 
 
@@ -96,12 +119,17 @@ def main(argv: list[str] | None = None) -> None:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     config = job_config(args)
-    if args.messages:
+    if args.max_positions:
+        stream = position_stream(spark, jobs.JobTables(spark, config), args)
+    elif args.messages:
         stream = message_log.stream_log(spark, args.messages, args.max_files)
     else:
         stream = message_log.stream_kafka(spark, kafka_source_options(jobs.JobTables(spark, config), args))
     if config.sinks:
         bulk.register(spark)
+    if args.max_positions and args.interval is None:
+        jobs.work_off(stream, JOBS[args.job](config), args.checkpoint, f"keyfold-{args.job}")
+        return
     jobs.start(stream, JOBS[args.job](config), args.checkpoint, args.interval, f"keyfold-{args.job}").awaitTermination()
 
 

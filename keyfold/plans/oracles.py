@@ -202,3 +202,4 @@ ORACLES["bulk_nested"] = ORACLES["nested_merge"]
 ORACLES["stream_new_checkpoint"] = ORACLES["stream_field_merge"]
 ORACLES["store_levels"] = ORACLES["document_sources"]
 ORACLES["stream_commit"] = ORACLES["stream_field_merge"]
+ORACLES["stream_from_positions"] = ORACLES["stream_queue"]

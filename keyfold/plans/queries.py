@@ -13,6 +13,7 @@ from keyfold.operators import lookup, merge, messages, profiles, progress, signa
 from keyfold.plans.fixtures import BURST_COLUMNS, NESTED_COLUMNS, NUMBER_COLUMNS, TOPIC, message_log, table
 from keyfold.session import scratch_path
 from keyfold.sources.message_log import spread, stream_log
+from keyfold.sources.positions import stream_positions
 from keyfold.streaming import bulk, jobs
 from keyfold.streaming.commits import CommitLog
 from keyfold.streaming.levels import LeveledStore
@@ -383,17 +384,35 @@ def stream_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The profile job over a streamed log, capped at one file a batch: its documents."""
+    """The profile job over a streamed log, capped at a few files a batch: its documents."""
     root = scratch_path(spark, "stream")
     log, piece = message_log(spark, sf_dir), _piece(spark, sf_dir)
     for number in range(PIECES):
-        log.filter(piece == number).coalesce(1).write.mode("append").parquet(f"{root}/log")
+        log.filter(piece == number).write.mode("append").parquet(f"{root}/log")
     config = jobs.JobConfig(f"{root}/tables", PREFIX, GROUP)
-    stream = stream_log(spark, f"{root}/log", max_files_per_trigger=1)
+    stream = stream_log(spark, f"{root}/log", max_files_per_trigger=2 * _slots(spark))
     jobs.start(stream, jobs.profile_job(config), f"{root}/checkpoint").awaitTermination()
     return jobs.JobTables(spark, config).store.documents()
 
 
+def stream_from_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keep-last job over positions of the log, a third of each partition's a batch at most. Halfway the checkpoint is lost; a new one
+    starts at the positions in the ledger. The signal queue as it was written, in which no message may stand twice."""
+    root = scratch_path(spark, "stream")
+    log, piece = message_log(spark, sf_dir), _piece(spark, sf_dir)
+    last = table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] or 0
+    config = jobs.JobConfig(f"{root}/tables", PREFIX, GROUP, buckets=4, committed=True)
+    for life, pieces in enumerate((piece < PIECES // 2, piece >= PIECES // 2)):
+        ordered = log.filter(pieces).repartition("part").sortWithinPartitions("part", "pos")
+        ordered.write.mode("append").parquet(f"{root}/log")
+        stored = progress.load_ledger(jobs.JobTables(spark, config).ledger.read(), PREFIX, GROUP, TOPIC)
+        starting = {r.part: r.until_pos for r in stored.collect()}
+        checkpoint = f"{root}/checkpoint{life}"
+        stream = stream_positions(spark, f"{root}/log", checkpoint, starting, positions_per_trigger=max(1, last // 3))
+        jobs.work_off(stream, jobs.keep_last_job(config), checkpoint)
+    return jobs.JobTables(spark, config).queue.read().select("queue_name", "payload", "part", "pos")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "documents_valid": documents_valid,
     "rejects": rejects,
@@ -430,4 +449,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_commit": stream_commit,
     "stream_queue": stream_queue,
     "stream_profiles": stream_profiles,
+    "stream_from_positions": stream_from_positions,
 }

@@ -262,3 +262,13 @@ def start(
     if name:
         writer = writer.queryName(name)
     return writer.trigger(**trigger(interval_seconds)).start()
+
+
+def work_off(stream: DataFrame, run: BatchFunction, checkpoint: str, name: str | None = None) -> None:
+    """Runs a job until nothing is left, in as many batches as the source's cap asks for. A source that caps itself by its offsets needs
+    this: working off a backlog in one go is for sources that Spark caps."""
+    query = start(stream, run, checkpoint, 0, name)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
