@@ -203,3 +203,14 @@ ORACLES["stream_new_checkpoint"] = ORACLES["stream_field_merge"]
 ORACLES["store_levels"] = ORACLES["document_sources"]
 ORACLES["stream_commit"] = ORACLES["stream_field_merge"]
 ORACLES["stream_from_positions"] = ORACLES["stream_queue"]
+ORACLES["stream_no_replays"] = ORACLES["stream_queue"]
+ORACLES["multi_get_store"] = ORACLES["multi_get"]
+# a batch takes the next third of the positions of every partition; what it reached is the end of each or the cap
+ORACLES["stream_progress"] = f"""WITH log AS ({log_sql(BEHAVIOR_COLUMNS)}),
+cap AS (SELECT greatest(1, max(pos) // 3) AS n FROM log),
+ends AS (SELECT part, max(pos) + 1 AS until_pos FROM log GROUP BY part),
+batches AS (SELECT unnest(range((SELECT max(pos) // n + 1 FROM log, cap GROUP BY n))) AS batch_id),
+counts AS (SELECT pos // n AS batch_id, count(*) AS messages FROM log, cap GROUP BY 1)
+SELECT cast(b.batch_id AS bigint) AS batch_id, cast(coalesce(any_value(c.messages), 0) AS bigint) AS messages,
+  '{{' || string_agg('"' || part || '": ' || least(until_pos, (b.batch_id + 1) * n), ', ' ORDER BY cast(part AS varchar)) || '}}' AS reached
+FROM batches b LEFT JOIN counts c ON c.batch_id = b.batch_id, ends, cap GROUP BY b.batch_id"""

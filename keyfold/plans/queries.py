@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
@@ -14,10 +15,10 @@ from keyfold.plans.fixtures import BURST_COLUMNS, NESTED_COLUMNS, NUMBER_COLUMNS
 from keyfold.session import scratch_path
 from keyfold.sources.message_log import spread, stream_log
 from keyfold.sources.positions import stream_positions
-from keyfold.streaming import bulk, jobs
+from keyfold.streaming import bulk, jobs, monitor
 from keyfold.streaming.commits import CommitLog
 from keyfold.streaming.levels import LeveledStore
-from keyfold.streaming.tables import DIRECT, DocumentStore
+from keyfold.streaming.tables import DIRECT, BatchTable, DocumentStore
 
 PREFIX, GROUP = "app", "g1"
 
@@ -322,10 +323,17 @@ def _piece(spark: SparkSession, sf_dir: str):
 
 
 def _streamed(
-    spark: SparkSession, sf_dir: str, job, checkpoints: int = 1, compact_every: int = 0, replays: bool = False
+    spark: SparkSession,
+    sf_dir: str,
+    job,
+    checkpoints: int = 1,
+    compact_every: int = 0,
+    replays: bool = False,
+    window: str | None = None,
 ) -> jobs.JobTables:
     """Writes the log in pieces and restarts the job after each of them, some time with a new checkpoint and a
-    new log if there are to be several. With ``replays`` a piece brings the one before along again."""
+    new log if there are to be several. With ``replays`` a piece brings the one before along again; with a ``window`` the
+    stream drops it."""
     root = scratch_path(spark, "stream")
     log, piece = message_log(spark, sf_dir), _piece(spark, sf_dir)
     config = jobs.JobConfig(f"{root}/tables", PREFIX, GROUP, compact_every=compact_every, buckets=8)
@@ -334,6 +342,7 @@ def _streamed(
         wanted = piece.between(number - 1, number) if replays else piece == number
         log.filter(wanted).write.mode("append").parquet(f"{root}/log{life}")
         stream = stream_log(spark, f"{root}/log{life}")
+        stream = jobs.without_replays(stream, window) if window else stream
         jobs.start(stream, job(config), f"{root}/checkpoint{life}").awaitTermination()
     return jobs.JobTables(spark, config)
 
@@ -413,6 +422,41 @@ def stream_from_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.JobTables(spark, config).queue.read().select("queue_name", "payload", "part", "pos")
 
 
+def stream_no_replays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keep-last job over a streamed log that brings most messages twice and drops what comes again: its queue as it was written."""
+    return _streamed(spark, sf_dir, jobs.keep_last_job, replays=True, window="10 days").queue.read().select(
+        "queue_name", "payload", "part", "pos"
+    )
+
+
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of the profile job over positions, a third of each partition's a batch at most, as a listener saw them."""
+    root = scratch_path(spark, "stream")
+    last = table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] or 0
+    message_log(spark, sf_dir).repartition("part").sortWithinPartitions("part", "pos").write.parquet(f"{root}/log")
+    seen = BatchTable(spark, f"{root}/progress", monitor.PROGRESS_SCHEMA)
+    name = f"keyfold-{uuid.uuid4().hex}"
+    listener = monitor.ProgressListener({name: seen}.get)
+    spark.streams.addListener(listener)
+    try:
+        stream = stream_positions(spark, f"{root}/log", f"{root}/checkpoint", positions_per_trigger=max(1, last // 3))
+        jobs.work_off(stream, jobs.profile_job(jobs.JobConfig(f"{root}/tables", PREFIX, GROUP)), f"{root}/checkpoint", name)
+        monitor.settled(spark)
+    finally:
+        spark.streams.removeListener(listener)
+    return seen.read().select("batch_id", "messages", "reached")
+
+
+def multi_get_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of all users that had an error, read from a store in levels: ids go to the buckets, stored rows stay."""
+    store = LeveledStore(CommitLog(spark, scratch_path(spark, "levels")), buckets=8, fan=2, bucket_rows=50_000)
+    for half in (0, 1):
+        store.write(_documents(spark, sf_dir).filter(F.pmod("pos", F.lit(2)) == half))
+        store.fold(every=True)
+    events = table(spark, sf_dir, "events").filter(F.col("event_type") == "error")
+    return store.get_joined(events.select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("id")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "documents_valid": documents_valid,
     "rejects": rejects,
@@ -442,6 +486,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "start_positions": start_positions,
     "point_get": point_get,
     "multi_get": multi_get,
+    "multi_get_store": multi_get_store,
     "key_glob": key_glob,
     "batch_metrics": batch_metrics,
     "stream_field_merge": stream_field_merge,
@@ -450,4 +495,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_queue": stream_queue,
     "stream_profiles": stream_profiles,
     "stream_from_positions": stream_from_positions,
+    "stream_no_replays": stream_no_replays,
+    "stream_progress": stream_progress,
 }

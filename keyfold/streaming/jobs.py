@@ -254,6 +254,20 @@ def _before(ledger: BatchTable, run: str, batch_id: int) -> list[tuple[str, int]
     return own[-1:] or [b for b in folders if b[0] != run]
 
 
+def without_replays(stream: DataFrame, window: str) -> DataFrame:
+    """A message stream without what was read before: a position of a partition that comes again within ``window`` of its arrival.
+
+    Arrival is the time of the batch, so no message is ever too late, and what is remembered is bounded by the window. A message
+    without a position cannot be told from others and stays. The positions are kept in Spark's state store, by partition of the shuffle;
+    with windows of many messages let it be on disk (``spark.sql.streaming.stateStore.providerClass``).
+    """
+    position = ["topic", "part", "pos"]
+    unknown = F.col("part").isNull() | F.col("pos").isNull()
+    arrived = stream.withColumn("_arrived", F.current_timestamp()).withColumn("_own", F.when(unknown, F.uuid()))
+    fresh = arrived.withWatermark("_arrived", window).dropDuplicatesWithinWatermark([*position, "_own"])
+    return fresh.drop("_arrived", "_own")
+
+
 def start(
     stream: DataFrame, run: BatchFunction, checkpoint: str, interval_seconds: float | None = None, name: str | None = None
 ) -> StreamingQuery:

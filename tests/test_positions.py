@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from keyfold.__main__ import arguments, main, stored_positions
 from keyfold.operators import progress
+from keyfold.sources.message_log import stream_log
 from keyfold.sources.positions import stream_positions
-from keyfold.streaming import jobs
+from keyfold.streaming import jobs, monitor
+from keyfold.streaming.tables import BatchTable
 
 
 def message(part: int, pos: int) -> tuple[int, int, str]:
@@ -116,3 +118,55 @@ def test_an_idle_ledger_is_forgotten(spark, log, tmp_path):
     log(*[message(0, i) for i in range(10)]).write.parquet(f"{tmp_path}/log")
     main(runner(tmp_path, f"{tmp_path}/cp", "--expire", "172800"))
     assert len(read_so_far(jobs.JobTables(spark, jobs.JobConfig(f"{tmp_path}/out", committed=True)))) == 10
+
+
+def test_replays_are_dropped_while_streaming(spark, log, tmp_path):
+    path = f"{tmp_path}/log"
+    signal = '{"data_source":"tag_operate_queue","is_last_batch":1,"n":%d}'
+    config = jobs.JobConfig(f"{tmp_path}/tables")
+    for batch in ([(0, i, signal % i) for i in range(6)], [(0, i, signal % i) for i in range(3, 9)] * 2, [(1, 3, signal % 3), (0, 0, signal % 0)]):
+        log(*batch).write.mode("append").parquet(path)
+        stream = jobs.without_replays(stream_log(spark, path), "1 day")
+        jobs.start(stream, jobs.document_job(config), f"{tmp_path}/cp").awaitTermination()
+    queue = jobs.JobTables(spark, config).queue.read()
+    assert sorted((r.part, r.pos) for r in queue.collect()) == [*((0, i) for i in range(9)), (1, 3)]
+
+
+def test_messages_without_a_position_are_no_replays(spark, tmp_path):
+    rows = spark.sql("SELECT 't' topic, CAST(null AS int) part, 1L pos, timestamp'2024-01-01' ts, '{\"id\":\"a\"}' value FROM range(3)")
+    rows.write.parquet(f"{tmp_path}/log")
+    stream = jobs.without_replays(stream_log(spark, f"{tmp_path}/log"), "1 day")
+    seen = []
+    jobs.start(stream, lambda batch, _: seen.append(batch.count()), f"{tmp_path}/cp").awaitTermination()
+    assert sum(seen) == 3
+
+
+def test_a_listener_writes_what_each_batch_did(spark, log, tmp_path):
+    log(*[message(0, i) for i in range(25)], message(1, 0)).write.parquet(f"{tmp_path}/log")
+    table = BatchTable(spark, f"{tmp_path}/progress", monitor.PROGRESS_SCHEMA)
+    listener = monitor.ProgressListener({"watched": table}.get)
+    spark.streams.addListener(listener)
+    try:
+        for name in ("watched", "other"):
+            stream = stream_positions(spark, f"{tmp_path}/log", f"{tmp_path}/{name}", positions_per_trigger=10)
+            jobs.work_off(stream, jobs.document_job(jobs.JobConfig(f"{tmp_path}/tables-{name}")), f"{tmp_path}/{name}", name)
+        monitor.settled(spark)
+    finally:
+        spark.streams.removeListener(listener)
+    rows = table.read().orderBy("batch_id").collect()
+    assert [(r.name, r.batch_id, r.messages) for r in rows] == [("watched", 0, 11), ("watched", 1, 10), ("watched", 2, 5)]
+    assert all(r.ms >= r.write_ms > 0 and r.messages_per_second > 0 for r in rows)
+
+
+@pytest.mark.parametrize(
+    "reached, latest, lag",
+    [
+        ('{"0": 5, "1": 7}', '{"0": 9, "1": 7, "2": 1}', 5),
+        ('{"t":{"0":5}}', '{"t":{"0":8,"1":2}}', 5),
+        ('{"0": 5}', None, None),
+        ('{"logOffset":3}', "no json", None),
+        ("{}", '{"0": 1}', None),
+    ],
+)
+def test_lag_in_positions(reached, latest, lag):
+    assert monitor.lag_of(reached, latest) == lag
