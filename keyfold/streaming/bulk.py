@@ -20,12 +20,13 @@ import tempfile
 import time
 from collections.abc import Iterator
 from dataclasses import dataclass
+from datetime import datetime, timezone
 from pathlib import Path
 
 import pandas as pd
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource,
@@ -34,8 +35,8 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
-from keyfold.operators.deep_merge import update_documents
-from keyfold.streaming.jobs import OUTCOME_SCHEMA, Written
+from keyfold.operators.deep_merge import STATE_SCHEMA, merge_rows, state_documents, update_documents
+from keyfold.streaming.jobs import OUTCOME_SCHEMA, JobTables, Written
 
 # The default flush and retry policy.
 MAX_ROWS = 1_000
@@ -228,6 +229,10 @@ class bulk_sink:  # noqa: N801 - used like a function
         self.name = name
 
     def __call__(self, written: Written) -> int:
+        return self.sent(written, written.changes()).count()
+
+    def sent(self, written: Written, changes: DataFrame) -> DataFrame:
+        """Sends change rows as updates; ``id, reason`` of what the store refused."""
         options = {**self.options, "batch": f"{written.run}-{written.batch_id}"}
         name = self.name
 
@@ -240,10 +245,72 @@ class bulk_sink:  # noqa: N801 - used like a function
             out += [(name, task, doc_id, reason, 0, 0, 0, 0) for doc_id, reason in refusals]
             yield pd.DataFrame(out, columns=[c.split(" ")[0] for c in OUTCOME_SCHEMA.split(", ")])
 
-        updates = update_documents(written.changes(), written.tables.store.order)
+        updates = update_documents(changes, written.tables.store.order)
         ordered = updates.repartition("id").sortWithinPartitions("id", "step").select("id", "source")
         outcome = written.tables.outcome
         # a folder for each sink of the batch
         run = f"{written.run}-{name}"
         outcome.write(ordered.mapInPandas(send, OUTCOME_SCHEMA), written.batch_id, run)
-        return outcome.read_batch(written.batch_id, run).filter(F.col("id").isNotNull()).count()
+        return outcome.read_batch(written.batch_id, run).filter(F.col("id").isNotNull()).select("id", "reason")
+
+
+class retrying_sink(bulk_sink):  # noqa: N801
+    """A :class:`bulk_sink` that sends refused items again (K2).
+
+    What the store refused waits as change rows, with the number of attempts and the time of the next. Each batch merges what is due, and what it
+    touches anyway, with its own changes, so an item is always sent as it is by then and never falls behind a later update; the wait
+    doubles from ``backoff_seconds``. After ``limit`` attempts an item goes to the ``dead`` table as a document, with the last reason.
+    Waiting rows are a snapshot a batch, the newest counts; a batch that is repeated starts from the one before it. Items
+    that wait when no batch follows are sent by :meth:`drain`.
+    """
+
+    def __init__(self, options: dict[str, str], name: str = "bulk", limit: int = 5, backoff_seconds: float = 60.0):
+        super().__init__(options, name)
+        self.limit = limit
+        self.backoff_seconds = backoff_seconds
+
+    def __call__(self, written: Written) -> int:
+        return self._retried(written, written.changes())
+
+    def drain(self, tables: JobTables, run: str = "drain") -> int:
+        """Sends what is due without a batch; the number of refused items."""
+        batches = [b for r, b in tables.waiting.folders().batches() if r == f"{run}-{self.name}"]
+        nothing = tables.spark.createDataFrame([], STATE_SCHEMA)
+        return self._retried(Written(tables, run, max(batches, default=-1) + 1), nothing)
+
+    def _waiting(self, written: Written) -> DataFrame:
+        """The newest snapshot before this batch, of whatever run."""
+        table, own = written.tables.waiting, f"{written.run}-{self.name}"
+        last: dict[str, int] = {}
+        for run, batch_id in table.folders().batches():
+            if run.endswith(f"-{self.name}") and (run != own or batch_id < written.batch_id):
+                last[run] = max(batch_id, last.get(run, -1))
+        rows = table.read(list(last.items()))
+        newest = rows.groupBy("run").agg(F.max("at").alias("at")).orderBy(F.col("at").desc()).first() if last else None
+        rows = rows.filter(F.col("run") == newest["run"]) if newest else rows.limit(0)
+        return rows.filter("id IS NOT NULL").drop("run", "batch_id", "at")
+
+    def _retried(self, written: Written, changes: DataFrame) -> int:
+        tables, order, run = written.tables, written.tables.store.order, f"{written.run}-{self.name}"
+        before, now = self._waiting(written), datetime.now(timezone.utc)
+        touched = changes.select("id").distinct().withColumn("touched", F.lit(True))
+        marked = before.join(touched, "id", "left")
+        ready = F.coalesce("touched", F.lit(False)) | (F.col("due") <= F.lit(now))
+        again, rest = marked.filter(ready), marked.filter(~ready)
+        whole = merge_rows(changes.unionByName(again.select(*changes.columns)), order)
+        refused = self.sent(written, whole)
+        tried = again.groupBy("id").agg(F.max("attempts").alias("tried"))
+        failed = refused.groupBy("id").agg(F.max("reason").alias("reason")).join(tried, "id", "left")
+        failed = failed.withColumn("attempts", F.coalesce("tried", F.lit(0)) + 1).drop("tried")
+        wait = F.make_dt_interval(secs=self.backoff_seconds * F.pow(F.lit(2.0), F.col("attempts") - 1))
+        left = whole.join(failed.filter(F.col("attempts") < self.limit), "id").withColumn("due", F.lit(now) + wait)
+        kept = left.unionByName(rest.drop("touched")).withColumn("at", F.lit(now))
+        # a row that says when, also where nothing waits
+        stamp = tables.spark.createDataFrame([(now,)], "at timestamp")
+        tables.waiting.write(kept.unionByName(stamp, allowMissingColumns=True), written.batch_id, run)
+        dead = failed.filter(F.col("attempts") >= self.limit)
+        lost = whole.join(dead.select("id"), "id", "left_semi")
+        tables.dead.write(
+            state_documents(lost, order).join(dead, "id").withColumn("sink", F.lit(self.name)), written.batch_id, run
+        )
+        return refused.count()

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from keyfold.operators import messages, profiles, progress, signals
-from keyfold.operators.deep_merge import state_rows
+from keyfold.operators.deep_merge import STATE_SCHEMA, state_rows
 from keyfold.operators.merge import TIME_ORDER, keep_last
 from keyfold.sources.message_log import trigger
 from keyfold.streaming.commits import CommitLog, CommittedTable, Transaction
@@ -69,6 +69,7 @@ class JobTables:
 
     def __init__(self, spark: SparkSession, config: JobConfig):
         root = config.root.rstrip("/")
+        self.spark = spark
         self.transaction: Transaction | None = None
         self.log = CommitLog(spark, root) if config.committed else None
         merging = config.order, config.null_policy, config.nested
@@ -87,6 +88,9 @@ class JobTables:
         self.quarantine = table("quarantine", QUARANTINE_SCHEMA)
         self.metrics = table("metrics", METRICS_SCHEMA)
         self.outcome = table("outcome", OUTCOME_SCHEMA)
+        # what sinks send again, and what they have given up
+        self.waiting = table("waiting", f"{STATE_SCHEMA}, reason string, attempts int, due timestamp, at timestamp")
+        self.dead = table("dead", "sink string, id string, source string, reason string, attempts int")
         self.ledger = table("ledger", LEDGER_TABLE_SCHEMA)
 
     def _current(self) -> Transaction | None:
