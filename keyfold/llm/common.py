@@ -91,11 +91,11 @@ def encoded(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def encoded_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+def encoded_slices(column: pa.Array, limit: int = SLICE_BYTES, row_bytes: int = 0) -> Iterator[tuple[int, list[bytes]]]:
     """The texts of a column as :func:`encoded`, some rows at a time, and the number of the first: a batch
-    may hold many texts, and Python's copies take more room than the batch."""
+    may hold many texts, and Python's copies take more room than the batch. ``row_bytes`` is what a row counts besides its text."""
     sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
-    for start, end in slices(sizes, limit):
+    for start, end in slices(sizes + row_bytes, limit):
         yield start, encoded(column.slice(start, end - start))
 
 

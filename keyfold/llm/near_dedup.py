@@ -9,7 +9,9 @@ Texts that agree in all coordinates of a band share a bucket. A bucket sends no
 members are held against one of them, the one that shares most buckets. Sketches rule out most pairs, the
 rest are verified on the texts, and links make components. Buckets that then hold several components go on: small
 ones are compared across components, the members of large ones are joined on the rarest of their shingles, one
-of which any two that are similar share.
+of which any two that are similar share. Of both, only pairs are made whose parities allow them to be similar: a
+parity says of each of 512 slots whether an odd number of shingles falls into it, so the slots in which two differ are at most as many as
+the shingles that one text has and the other has not.
 """
 
 from __future__ import annotations
@@ -41,6 +43,11 @@ SLOTS = 1 << 20
 # A shingle that more texts are found by is joined in pieces of about so many.
 CROWD = 1024
 
+# A signature takes room for its darts, however short the text; a row counts as so many bytes of text more.
+ROW_BYTES = 2048
+# Slots of a parity, in 64-bit numbers.
+PARITY = [f"parity{i}" for i in range(8)]
+
 _STEP = 0x9E3779B97F4A7C15
 #: A tile holds at least 1, 2, ... darts if its hash lies above these: the Poisson distribution of mean 1.
 _POISSON = [
@@ -122,15 +129,35 @@ def weighted_shingles(texts: list[bytes], words: int = SHINGLE_WORDS) -> tuple[n
     return row[first], shingle[first], np.diff(np.append(first, len(row)))
 
 
+def parities(row: np.ndarray, shingle: np.ndarray, count: np.ndarray, rows: int) -> np.ndarray:
+    """The parities of some multisets of shingles, ``rows`` by 8 numbers; a shingle counts anew each time it stands."""
+    each = mix(np.repeat(shingle, count), count_up(count).astype(np.uint64))
+    slots = 64 * len(PARITY)
+    place = np.repeat(row, count) * slots + (scramble(each) % np.uint64(slots)).astype(np.int64)
+    place, often = np.unique(place, return_counts=True)
+    odd = place[often & 1 == 1]
+    # no place stands twice, so the bits of a byte add up
+    filled = np.bincount(odd >> 3, weights=1 << (odd & 7), minlength=rows * slots // 8).astype(np.uint8)
+    return filled.view("<i8").reshape(rows, len(PARITY))
+
+
+def _may_be_similar(n: str, other_n: str, other: list[str]) -> F.Column:
+    """Whether the parities of two texts of ``n`` and ``other_n`` shingles leave room for ``SIMILARITY``: of two similar texts at most
+    (1 - 0.8) / (1 + 0.8) of all shingles stand in one alone."""
+    differ = sum((F.bit_count(F.col(a).bitwiseXOR(F.col(b))) for a, b in zip(PARITY, other)), F.lit(0))
+    return differ <= F.floor((1 - SIMILARITY) / (1 + SIMILARITY) * (F.col(n) + F.col(other_n)) + 1e-6)
+
+
 def signed(docs: DataFrame) -> DataFrame:
-    """``row, doc, part, doc_id, digest, sketch, bands`` of every document, stored: the first pass over
+    """``row, doc, part, doc_id, digest, sketch, bands``, the number ``n`` of shingles and their parity, of every document, stored: the first pass over
     the texts. Texts are compared in lower case by their words."""
     rows = identified(docs, row_number()).withColumn("text", F.lower("text"))
-    schema = schema_with(rows, ["row", "doc", "part", "doc_id"], "digest binary, sketch binary, bands array<bigint>")
+    more = ", ".join(f"{name} bigint" for name in PARITY)
+    schema = schema_with(rows, ["row", "doc", "part", "doc_id"], f"digest binary, sketch binary, bands array<bigint>, n bigint, {more}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, some in encoded_slices(batch.column("text")):
+            for start, some in encoded_slices(batch.column("text"), row_bytes=ROW_BYTES):
                 row, shingle, count = weighted_shingles(some)
                 found = signatures(row, shingle, count.astype(float), len(some))
                 key = np.zeros((len(some), COORDINATES // BAND_ROWS), np.uint64)
@@ -141,12 +168,15 @@ def signed(docs: DataFrame) -> DataFrame:
                 bands = [list(b) if a.any() else [] for a, b in zip(found, key.tolist())]
                 digests = [hashlib.blake2b(b" ".join(t.split()), digest_size=16).digest() for t in some]
                 sketches = [s.tobytes() for s in found.astype("<u2")]
+                parity = parities(row, shingle, count, len(some))
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(batch.column(c).slice(start, len(some)) for c in ("row", "doc", "part", "doc_id")),
                         pa.array(digests, pa.binary()),
                         pa.array(sketches, pa.binary()),
                         pa.array(bands, pa.list_(pa.int64())),
+                        pa.array(np.bincount(row, weights=count, minlength=len(some)).astype(np.int64)),
+                        *(pa.array(np.ascontiguousarray(parity[:, i])) for i in range(len(PARITY))),
                     ],
                     names=schema.names,
                 )
@@ -223,10 +253,19 @@ def _against_hub(members: DataFrame, hubs: DataFrame) -> DataFrame:
     return members.join(hubs, "key").filter("label != hub_label").select(*_pair("row", "hub")).distinct()
 
 
+def _others() -> list:
+    """The columns of a text's other side in a join."""
+    return [F.col(name).alias(f"other_{name}") for name in ("label", "n", *PARITY)]
+
+
+_OTHER_PARITY = [f"other_{name}" for name in PARITY]
+
+
 def _across(members: DataFrame) -> DataFrame:
-    """Distinct pairs of the members of small buckets that are not in one component."""
-    other = members.select("key", F.col("row").alias("other"), F.col("label").alias("other_label"))
-    return members.join(other, "key").filter("row < other AND label != other_label").select(*_pair("row", "other")).distinct()
+    """Distinct pairs of the members of small buckets that are not in one component and may be similar."""
+    other = members.select("key", F.col("row").alias("other"), *_others())
+    both = members.join(other, "key").filter("row < other AND label != other_label")
+    return both.filter(_may_be_similar("n", "other_n", _OTHER_PARITY)).select(*_pair("row", "other")).distinct()
 
 
 def _labelled(rows: DataFrame, column: str, labels: DataFrame, name: str) -> DataFrame:
@@ -261,7 +300,7 @@ def _links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     inside = _labelled(crowded, "row", components(links), "label")
     mixed = inside.groupBy("key").agg((F.min("label") != F.max("label")).alias("mixed")).filter("mixed")
     inside = stored(inside.join(mixed.select("key"), "key"), "mixed")
-    across = _across(inside.filter(F.col("size") <= SMALL_BUCKET))
+    across = _across(inside.filter(F.col("size") <= SMALL_BUCKET).join(nodes.select("row", "n", *PARITY), "row"))
     large = inside.filter(F.col("size") > SMALL_BUCKET).select("row", "label").distinct()
     joined = _sharing_rare(stored(texts.join(large, "row"), "large"))
     pairs = across.unionByName(joined).distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti")
@@ -303,13 +342,13 @@ def _unpacked_slices(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]
     """The texts of a batch, some rows at a time, and the number of the first."""
     column = batch.column("packed")
     # compressed texts; they take three to five times the room
-    for start, end in slices(4 * np.array([len(x) for x in column.to_pylist()], np.int64)):
+    for start, end in slices(4 * np.array([len(x) for x in column.to_pylist()], np.int64) + ROW_BYTES):
         yield start, unpacked(column.slice(start, end - start))
 
 
 def _rare_shingles(texts: DataFrame) -> DataFrame:
-    """``shingle, row, label, n, found`` of the rarest of each text's ``n`` shingles, a repeated shingle being one
-    each time it stands.
+    """``shingle, row, label, n, place, found`` and the parity of the rarest of each text's ``n`` shingles, a repeated shingle being one
+    each time it stands; ``place`` of them are rarer.
 
     All texts order shingles alike. Of two similar texts the larger has one of its first ``n - 0.8 n + 1`` among the
     first ``n - 1.6 / 1.8 n + 1`` (``found``) of the other: what they share is no less than 0.8 of the larger and
@@ -320,12 +359,14 @@ def _rare_shingles(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, some in _unpacked_slices(batch):
-                row, shingle, count = weighted_shingles(some)
+                weighted = weighted_shingles(some)
+                row, shingle, count = weighted
                 often = counts[(shingle % np.uint64(SLOTS)).astype(np.int64)]
                 order = np.lexsort((shingle, often, row))
                 times = count[order]
                 row, shingle = np.repeat(row[order], times), np.repeat(shingle[order], times)
                 shingle = mix(shingle, count_up(times).astype(np.uint64))
+                parity = parities(*weighted, len(some))[row]
                 total = np.bincount(row, minlength=len(some))
                 place = count_up(total)
                 n = total[row]
@@ -338,12 +379,15 @@ def _rare_shingles(texts: DataFrame) -> DataFrame:
                         batch.column("row").take(at),
                         batch.column("label").take(at),
                         pa.array(n[kept]),
+                        pa.array(place[kept]),
                         pa.array(found[kept]),
+                        *(pa.array(parity[kept, i]) for i in range(len(PARITY))),
                     ],
-                    names=["shingle", "row", "label", "n", "found"],
+                    names=["shingle", "row", "label", "n", "place", "found", *PARITY],
                 )
 
-    return texts.mapInArrow(run, "shingle bigint, row bigint, label bigint, n bigint, found boolean")
+    more = ", ".join(f"{name} bigint" for name in PARITY)
+    return texts.mapInArrow(run, f"shingle bigint, row bigint, label bigint, n bigint, place bigint, found boolean, {more}")
 
 
 def _sharing_rare(texts: DataFrame) -> DataFrame:
@@ -357,14 +401,18 @@ def _sharing_rare(texts: DataFrame) -> DataFrame:
         "shingle",
         F.pmod(F.hash("row"), "pieces").alias("piece"),
         F.col("row").alias("other"),
-        F.col("label").alias("other_label"),
-        F.col("n").alias("other_n"),
+        F.col("place").alias("other_place"),
+        *_others(),
     )
     larger = dealt.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    needed = F.ceil(SIMILARITY / (1 + SIMILARITY) * (F.col("n") + F.col("other_n")) - 1e-6)
     both = larger.join(smaller, ["shingle", "piece"]).filter(
         (F.col("label") != F.col("other_label"))
         & (F.struct("other_n", "other") < F.struct("n", "row"))
         & (F.col("other_n") >= SIMILARITY * F.col("n") - 1e-9)
+        # the first shingle two texts share has nothing in common ahead of it; so much has to be left behind
+        & (F.least(F.col("n") - F.col("place"), F.col("other_n") - F.col("other_place")) >= needed)
+        & _may_be_similar("n", "other_n", _OTHER_PARITY)
     )
     return both.select(*_pair("row", "other")).distinct()
 
@@ -394,7 +442,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     copies = stored(copies, "copies")
     nodes = stored(rows.join(copies.select("leader"), F.col("row") == F.col("leader"), "left_semi"), "nodes")
     labels = components(_links(nodes, docs))
-    named = _labelled(rows.drop("sketch", "bands").join(copies, "digest"), "leader", labels, "label")
+    named = _labelled(rows.select("row", "doc", "part", "doc_id", "digest").join(copies, "digest"), "leader", labels, "label")
     named = stored(named.select("row", "doc", "part", "doc_id", "label"), "labelled")
     groups = named.groupBy("label").agg(
         F.min(F.struct("doc", "row", "doc_id")).alias("first"), F.count(F.lit(1)).alias("group_size")

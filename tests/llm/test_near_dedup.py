@@ -171,3 +171,20 @@ def test_components(spark):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert near_dedup.near_groups(empty).count() == 0 and near_dedup.without_near_copies(empty).count() == 0
+
+
+def test_parities_rule_out_no_similar_pair():
+    """Texts of some words, many of them repeated: the slots that differ are no more than the shingles that do."""
+    texts = [prose(70, 120)]
+    texts += [changed(texts[0], 700 + i, 1 + i) for i in range(25)] + ["x y " * 40, "x y " * 45, "a", "", prose(71, 3000)]
+    weighted = near_dedup.weighted_shingles([t.encode() for t in texts])
+    found = near_dedup.parities(*weighted, len(texts))
+    own = [shingles(t) for t in texts]
+    ruled_out = 0
+    for i, a in enumerate(own):
+        for j in range(i):
+            differ = sum(int(x).bit_count() for x in (found[i] ^ found[j]).view(np.uint64))
+            assert differ <= sum(((a - own[j]) + (own[j] - a)).values())
+            room = (1 - 0.8) / (1 + 0.8) * (sum(a.values()) + sum(own[j].values()))
+            ruled_out += differ > room
+    assert ruled_out > 200
