@@ -364,13 +364,15 @@ def _rare_shingles(texts: DataFrame) -> DataFrame:
                 often = counts[(shingle % np.uint64(SLOTS)).astype(np.int64)]
                 order = np.lexsort((shingle, often, row))
                 times = count[order]
+                shared = np.repeat(often[order], times) > 1
                 row, shingle = np.repeat(row[order], times), np.repeat(shingle[order], times)
                 shingle = mix(shingle, count_up(times).astype(np.uint64))
                 parity = parities(*weighted, len(some))[row]
                 total = np.bincount(row, minlength=len(some))
                 place = count_up(total)
                 n = total[row]
-                kept = place <= n - np.ceil(SIMILARITY * n - 1e-9)
+                # no other text has what one alone holds
+                kept = (place <= n - np.ceil(SIMILARITY * n - 1e-9)) & shared
                 found = place <= n - np.ceil(2 * SIMILARITY / (1 + SIMILARITY) * n - 1e-9)
                 at = pa.array(start + row[kept])
                 yield pa.RecordBatch.from_arrays(
