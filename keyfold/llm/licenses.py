@@ -41,8 +41,9 @@ TEMPLATES = (
     ("reserved", "all rights reserved", ("all rights reserved",)),
 )
 
-ANCHORS = 3  # rare words of a template by which it is looked up
+ANCHORS = 3  # rare words of a template by which it is looked up, besides one of each key phrase
 MIN_COVERAGE = 0.8
+DRIFT = 2  # places by which words of a template may have moved, as where some were put in or left out
 
 # Every byte as it counts in a word: A-Z lower-cased, other ASCII signs as blanks, the rest as it is.
 _FOLD = bytes(
@@ -65,6 +66,14 @@ class Template:
     weights: list[float] = field(default_factory=list)
 
 
+_DRIFTS = sorted(range(-DRIFT, DRIFT + 1), key=abs)
+
+
+def _find(text: list[bytes], phrase: list[bytes]) -> int:
+    """Where a phrase stands first among some words, or -1."""
+    return next((i for i in range(len(text) - len(phrase) + 1) if text[i : i + len(phrase)] == phrase), -1)
+
+
 def templates(more: tuple = TEMPLATES) -> list[Template]:
     base = [Template(label, words(p.encode()), [words(p.encode())], True) for p, label in BASE_PHRASES]
     return base + [Template(a, words(t.encode()), [words(p.encode()) for p in keys]) for a, t, keys in more]
@@ -105,8 +114,12 @@ class RareWordIndex:
         for template in known:
             template.weights = [idf[w] for w in template.words]
             order = sorted(range(len(template.words)), key=lambda i: (-idf[template.words[i]], i))
-            # a base phrase stands as a whole, so one of its words is enough to find it
-            template.anchors = order[: 1 if template.base else ANCHORS]
+            # a key phrase stands as a whole, so the rarest of its words finds every template that can be verified
+            template.anchors = order[: 0 if template.base else ANCHORS]
+            for phrase in template.phrases:
+                begin = _find(template.words, phrase)
+                inside = [i for i in order if begin <= i < begin + len(phrase)]
+                template.anchors += [i for i in inside[:1] if i not in template.anchors]
             for at in template.anchors:
                 self.rare[template.words[at]].append((template, at))
         self.known = frozenset(w for t in known for w in t.words)
@@ -132,7 +145,8 @@ class RareWordIndex:
                     if start in tried[id(template)]:
                         continue
                     tried[id(template)].add(start)
-                    present = [start + i in places.get(w, ()) for i, w in enumerate(template.words)]
+                    drift = (0,) if template.base else _DRIFTS
+                    present = [any(start + i + d in places.get(w, ()) for d in drift) for i, w in enumerate(template.words)]
                     share = sum(x for x, there in zip(template.weights, present) if there) / sum(template.weights)
                     if template.base:
                         if all(present):
@@ -144,10 +158,8 @@ class RareWordIndex:
 
     @staticmethod
     def _phrases_stand(template: Template, text: list[bytes], start: int) -> bool:
-        region = text[start : start + len(template.words) + 2]
-        return all(
-            any(region[i : i + len(p)] == p for i in range(len(region) - len(p) + 1)) for p in template.phrases
-        )
+        region = text[max(0, start - DRIFT) : start + len(template.words) + DRIFT]
+        return all(_find(region, p) >= 0 for p in template.phrases)
 
 
 def license_scan(docs: DataFrame, more: tuple = TEMPLATES) -> DataFrame:

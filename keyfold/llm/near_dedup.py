@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from keyfold.llm.common import count_up, encoded_slices, first_rows, id_order, mix, row_number, schema_with, scramble, slices, stored
 from keyfold.llm.components import components
 from keyfold.llm.fingerprints import shingle_hashes
-from keyfold.llm.meeting import identified, packed, unpacked
+from keyfold.llm.meeting import NAME, identified, packed, text_name, unpacked
 
 COORDINATES = 96
 BAND_ROWS = 4
@@ -149,11 +149,11 @@ def _may_be_similar(n: str, other_n: str, other: list[str]) -> F.Column:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """``row, doc, part, doc_id, digest, sketch, bands``, the number ``n`` of shingles and their parity, of every document, stored: the first pass over
+    """``row, doc, part, more, doc_id, digest, sketch, bands``, the number ``n`` of shingles and their parity, of every document, stored: the first pass over
     the texts. Texts are compared in lower case by their words."""
     rows = identified(docs, row_number()).withColumn("text", F.lower("text"))
     more = ", ".join(f"{name} bigint" for name in PARITY)
-    schema = schema_with(rows, ["row", "doc", "part", "doc_id"], f"digest binary, sketch binary, bands array<bigint>, n bigint, {more}")
+    schema = schema_with(rows, ["row", *NAME, "doc_id"], f"digest binary, sketch binary, bands array<bigint>, n bigint, {more}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -171,7 +171,7 @@ def signed(docs: DataFrame) -> DataFrame:
                 parity = parities(row, shingle, count, len(some))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(batch.column(c).slice(start, len(some)) for c in ("row", "doc", "part", "doc_id")),
+                        *(batch.column(c).slice(start, len(some)) for c in ("row", *NAME, "doc_id")),
                         pa.array(digests, pa.binary()),
                         pa.array(sketches, pa.binary()),
                         pa.array(bands, pa.list_(pa.int64())),
@@ -287,9 +287,9 @@ def _buckets(nodes: DataFrame) -> DataFrame:
 def _links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """Verified links that connect what is linked, ``a, b``."""
     crowded = _buckets(nodes)
-    places = crowded.select("row").distinct().join(nodes.select("row", "doc", "part"), "row")
+    places = crowded.select("row").distinct().join(nodes.select("row", *NAME), "row")
     lower = identified(docs).withColumn("text", F.lower("text"))
-    texts = packed(lower).join(places, ["doc", "part"]).dropDuplicates(["row"])
+    texts = packed(lower).join(places, NAME).dropDuplicates(["row"])
     texts = stored(texts.select("row", "packed"), "texts")
 
     most = F.max_by("row", F.struct("shares", "row")).alias("hub")
@@ -426,7 +426,7 @@ def _confirmed(pairs: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFra
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
-    """``doc, part`` (see :func:`meeting.identified`), ``doc_id, class_id, group_size, kept`` of every document.
+    """``doc, part, more`` (see :func:`meeting.identified`), ``doc_id, class_id, group_size, kept`` of every document.
 
     Documents are linked when their multisets of five-word shingles, in lower case, have a weighted Jaccard
     similarity of 0.8 or more, and grouped by chains of links; a shorter text is a single shingle. ``class_id`` is
@@ -444,14 +444,13 @@ def near_groups(docs: DataFrame) -> DataFrame:
     copies = stored(copies, "copies")
     nodes = stored(rows.join(copies.select("leader"), F.col("row") == F.col("leader"), "left_semi"), "nodes")
     labels = components(_links(nodes, docs))
-    named = _labelled(rows.select("row", "doc", "part", "doc_id", "digest").join(copies, "digest"), "leader", labels, "label")
-    named = stored(named.select("row", "doc", "part", "doc_id", "label"), "labelled")
+    named = _labelled(rows.select("row", *NAME, "doc_id", "digest").join(copies, "digest"), "leader", labels, "label")
+    named = stored(named.select("row", *NAME, "doc_id", "label"), "labelled")
     groups = named.groupBy("label").agg(
         F.min(F.struct("doc", "row", "doc_id")).alias("first"), F.count(F.lit(1)).alias("group_size")
     )
     return named.join(groups, "label").select(
-        "doc",
-        "part",
+        *NAME,
         "doc_id",
         F.col("first.doc_id").alias("class_id"),
         "group_size",
@@ -461,6 +460,6 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
 def without_near_copies(docs: DataFrame) -> DataFrame:
     """One document of each group, all columns as they are."""
-    kept = near_groups(docs).filter("kept").select("doc", "part")
-    key = {"doc": id_order(F.col("doc_id")), "part": F.hash(F.coalesce("text", F.lit("")))}
+    kept = near_groups(docs).filter("kept").select(*NAME)
+    key = {"doc": id_order(F.col("doc_id")), **text_name(F.coalesce("text", F.lit("")))}
     return first_rows(docs, key, kept)

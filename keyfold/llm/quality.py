@@ -95,7 +95,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED
     )
     count = usable.count()
     share = min(1.0, most / max(count, 1))
-    chosen = usable.filter(F.pmod(F.xxhash64("labelled"), F.lit(1_000_000)) < int(share * 1_000_000))
+    # fine enough for any number of labels
+    chosen = usable.filter(F.xxhash64("labelled").bitwiseAND(2**62 - 1) < int(share * 2**62))
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled"))
     found = with_statistics(rows).select(*STATISTICS, "kept.quality").toPandas()
     return found[STATISTICS].to_numpy(dtype=float), found["quality"].to_numpy(dtype=int)

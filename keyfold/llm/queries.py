@@ -12,7 +12,7 @@ from keyfold.llm.common import documents, stored
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its group of near copies."""
-    return near_dedup.near_groups(documents(spark, sf_dir)).drop("doc", "part")
+    return near_dedup.near_groups(documents(spark, sf_dir)).drop("doc", "part", "more")
 
 
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

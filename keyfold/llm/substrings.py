@@ -34,16 +34,19 @@ from keyfold.llm.common import (
     slices,
 )
 from keyfold.llm.meeting import (
+    NAME,
     PLACES,
     PROBE,
     ROWS,
     SETTLED,
     by_row,
     concatenated,
-    identified,
     meet,
+    named,
+    names_of,
     packed,
     probes,
+    shortly_identified,
     unpacked,
 )
 
@@ -64,7 +67,7 @@ def anchors(rows: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, part = (batch.column(c).to_numpy() for c in ("doc", "part"))
+            doc, part = names_of(batch)
             for start, texts in encoded_slices(batch.column("text")):
                 words = Words(texts)
                 place = np.arange(len(words.text)) - words.bounds[words.text]
@@ -74,12 +77,12 @@ def anchors(rows: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
                 row = words.text[at] + start
                 yield probes(keys, np.zeros(len(at), np.uint32), doc[row], part[row], place[at], later=False)
 
-    return rows.select("doc", "part", "text").mapInArrow(run, ROWS)
+    return rows.select(*NAME, "text").mapInArrow(run, ROWS)
 
 
 def _packed_slices(batch: pa.RecordBatch, lists: str) -> Iterator[tuple]:
     """A batch in slices: words, ``doc`` and ``part`` of each text, and a list for each."""
-    doc, part = (batch.column(c).to_numpy() for c in ("doc", "part"))
+    doc, part = names_of(batch)
     entries = batch.column(lists).to_pylist()
     sizes = np.array([len(x) for x in batch.column("packed").to_pylist()])
     for start, end in slices(2 * sizes):
@@ -122,7 +125,7 @@ def cells(rows: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
                     (begin - words.bounds[text]) << 3 | (end - begin),
                 )
 
-    return rows.select("doc", "part", "doc_id", "packed", "anchored").mapInArrow(run, CELL_ROWS)
+    return rows.select(*NAME, "doc_id", "packed", "anchored").mapInArrow(run, CELL_ROWS)
 
 
 def _cell_probes(k1, k2, whole, doc, part, place) -> pa.RecordBatch:
@@ -135,13 +138,13 @@ def _cell_probes(k1, k2, whole, doc, part, place) -> pa.RecordBatch:
     settled = doc > doc[np.flatnonzero(new)][np.cumsum(new) - 1]
     key = k1.copy()
     key[settled] = scramble(doc[settled].view(np.uint64) ^ scramble(place[settled].view(np.uint64)))
-    columns = key.view(np.int64), k2.view(np.int32), whole.view(np.int64), doc, part
+    keys = key.view(np.int64), k2.view(np.int32), whole.view(np.int64)
     mark = place << 2 | np.where(settled, SETTLED, PROBE)
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in (*columns, mark)], names=CELL_ROWS.names)
+    return pa.RecordBatch.from_arrays([*(pa.array(k) for k in keys), *named(doc, part), pa.array(mark)], names=CELL_ROWS.names)
 
 
 def meet_cells(rows: DataFrame) -> DataFrame:
-    """``doc, part, place`` of the cells that stand in an earlier document as a whole (``WHOLE``), and of those
+    """``doc, part, more, place`` of the cells that stand in an earlier document as a whole (``WHOLE``), and of those
     whose windows have to be looked at (``OPEN``): the earliest of each kind where a bucket holds several."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,9 +154,10 @@ def meet_cells(rows: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            k1, k2, whole, doc, part, mark = (batch.column(c).to_numpy() for c in CELL_ROWS.names)
+            k1, k2, whole, mark = (batch.column(c).to_numpy() for c in ("k1", "k2", "whole", "mark"))
             settled = mark & 3 == SETTLED
-            cell = np.stack((doc, part.astype(np.int64), mark >> 2 << 1))
+            doc, *rest = (batch.column(c).to_numpy() for c in NAME)
+            cell = np.stack((doc, *rest, mark >> 2 << 1))
             out = [cell[:, settled]]
             at = np.flatnonzero(~settled)
             if len(at):
@@ -184,15 +188,13 @@ def meet_cells(rows: DataFrame) -> DataFrame:
                 mixed = bool(several[-1])
                 bucket, kind, earliest = (k1[-1], k2[-1]), whole[-1], first[-1]
             found = np.concatenate(out, axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found[0]), pa.array(found[1].astype(np.int32)), pa.array(found[2])], names=PLACES.names
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=PLACES.names)
 
     together = rows.repartition("k1").sortWithinPartitions("k1", "k2", "whole", "doc")
     return together.mapInArrow(run, PLACES)
 
 
-_OPEN_MARK = np.array([[0], [0], [OPEN]], np.int64)
+_OPEN_MARK = np.array([[0], [0], [0], [OPEN]], np.int64)
 
 
 def windows_of(places: np.ndarray, state: int) -> tuple[np.ndarray, np.ndarray]:
@@ -218,7 +220,7 @@ def open_windows(rows: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
                 text = words.text[at]
                 yield probes(k1, k2, doc[text], part[text], at - words.bounds[text], later=True)
 
-    return rows.select("doc", "part", "doc_id", "packed", "refined").mapInArrow(run, ROWS)
+    return rows.select(*NAME, "doc_id", "packed", "refined").mapInArrow(run, ROWS)
 
 
 def covered(size: int, starts: list[int] | None, length: int) -> np.ndarray | None:
@@ -243,7 +245,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     """
     if window <= PERIOD:
         raise ValueError(f"windows have more than {PERIOD} words")
-    rows, key = identified(docs), ["doc", "part"]
+    rows, key = shortly_identified(docs), NAME
     texts = packed(rows)
     anchored = by_row(meet(anchors(rows, window), later=False), "anchored")
     refined = by_row(meet_cells(cells(texts.join(anchored, key), window)), "refined")

@@ -1,8 +1,9 @@
-"""Suffix-array dedup (operator 7): repeated byte strings by bucket-pointer refinement.
+"""Suffix-array dedup (operator 7): repeated byte strings by winnowing and content cells.
 
-Places are put into buckets by the ``GRAM`` bytes that begin there, and buckets are refined by what the
-identifiers of later offsets say, a run's identifier being made of two of half its length. A place whose
-bucket holds nothing else is done, so every round looks at what the one before left together:
+This stands in for bucket-pointer refinement, whose sort of all suffixes would move a row for each byte of text in each round (the
+README says more). Places are bucketed by hashes of what begins there, never by identifiers of a global sort; what is kept of the
+refinement is that every round looks at what the one before left together, and that a place whose bucket holds nothing
+else is done:
 
 1. Each window of ``WINDOW`` bytes is looked up at one gram of its own, the one with the smallest identifier, the first of
    equals. Equal windows choose the same, so a window whose gram stands nowhere else is unique.
@@ -35,6 +36,8 @@ from keyfold.llm.common import (
     span_ids,
 )
 from keyfold.llm.meeting import (
+    NAME,
+    PART,
     PLACES,
     PROBE,
     ROWS,
@@ -42,10 +45,12 @@ from keyfold.llm.meeting import (
     STAND_IN,
     by_row,
     concatenated,
-    identified,
     meet,
+    named,
+    names_of,
     packed,
     probes,
+    shortly_identified,
     unpacked,
 )
 from keyfold.llm.substrings import covered
@@ -107,7 +112,7 @@ def grams(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, part = (batch.column(c).to_numpy() for c in ("doc", "part"))
+            doc, part = names_of(batch)
             before = (-1, -1)  # a gram chosen on both sides of a cut is one place
             some = encoded_slices(batch.column("text"))
             for start, (buffer, names, bounds) in ((start, s) for start, texts in some for s in segments(texts)):
@@ -120,7 +125,7 @@ def grams(rows: DataFrame) -> DataFrame:
                 row, gram, key = runs.row[once], runs.gram[once], runs.key[once]
                 yield probes(key, np.zeros(len(key), np.uint32), doc[row], part[row], gram, later=False)
 
-    return rows.select("doc", "part", "text").mapInArrow(run, ROWS)
+    return rows.select(*NAME, "text").mapInArrow(run, ROWS)
 
 
 def _two_levels(buffer: np.ndarray) -> tuple[dict[int, np.ndarray], dict[int, np.ndarray]]:
@@ -130,7 +135,7 @@ def _two_levels(buffer: np.ndarray) -> tuple[dict[int, np.ndarray], dict[int, np
 
 def _texts(batch: pa.RecordBatch, *lists: str) -> Iterator[tuple]:
     """A batch in slices: texts, ``doc``, ``part`` and lists."""
-    doc, part = (batch.column(c).to_numpy() for c in ("doc", "part"))
+    doc, part = names_of(batch)
     columns = [batch.column(c).to_pylist() for c in lists]
     sizes = np.array([len(x) for x in batch.column("packed").to_pylist()])
     for start, end in slices(2 * sizes):
@@ -172,7 +177,7 @@ def cells(rows: DataFrame) -> DataFrame:
                         begin << 5 | (end - begin),
                     )
 
-    return rows.select("doc", "part", "doc_id", "packed", "shared").mapInArrow(run, CELL_ROWS)
+    return rows.select(*NAME, "doc_id", "packed", "shared").mapInArrow(run, CELL_ROWS)
 
 
 def _cell_probes(k1, k2, whole, doc, part, place) -> pa.RecordBatch:
@@ -197,13 +202,12 @@ def _cell_probes(k1, k2, whole, doc, part, place) -> pa.RecordBatch:
         (part, part),
         (mark, place << 2 | STAND_IN),
     ]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate((own, other[stand_in]))) for own, other in columns], names=CELL_ROWS.names
-    )
+    *keys, doc, part, mark = (np.concatenate((own, other[stand_in])) for own, other in columns)
+    return pa.RecordBatch.from_arrays([*(pa.array(k) for k in keys), *named(doc, part), pa.array(mark)], names=CELL_ROWS.names)
 
 
 def meet_cells(rows: DataFrame) -> DataFrame:
-    """``doc, part, place`` of the cells of which something stands elsewhere; the place says which cell and whether
+    """``doc, part, more, place`` of the cells of which something stands elsewhere; the place says which cell and whether
     it is repeated as a whole or its windows have to be looked at."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,7 +216,8 @@ def meet_cells(rows: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            k1, k2, whole, doc, part, mark = (batch.column(c).to_numpy() for c in CELL_ROWS.names)
+            k1, k2, whole, mark = (batch.column(c).to_numpy() for c in ("k1", "k2", "whole", "mark"))
+            doc, part = names_of(batch)
             settled = mark & 3 == SETTLED
             place = mark >> 2 << 1
             out = [(doc[settled], part[settled], place[settled] | WHOLE)]
@@ -255,15 +260,15 @@ def meet_cells(rows: DataFrame) -> DataFrame:
                 at = first[-1]
                 alone = (doc[at], part[at], place[at]) if not several[-1] else None
                 bucket, kind_of = (k1[-1], k2[-1]), whole[-1]
-            columns = [np.concatenate(c) for c in zip(*out)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=PLACES.names)
+            doc, part, place = (np.concatenate(c) for c in zip(*out))
+            yield pa.RecordBatch.from_arrays([*named(doc, part), pa.array(place)], names=PLACES.names)
 
     together = rows.repartition("k1").sortWithinPartitions("k1", "k2", "whole")
     return together.mapInArrow(run, PLACES)
 
 
 def _one(cell: tuple, state: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return np.array([cell[0]], np.int64), np.array([cell[1]], np.int32), np.array([cell[2] | state], np.int64)
+    return np.array([cell[0]], np.int64), np.array([cell[1]], PART), np.array([cell[2] | state], np.int64)
 
 
 def _pair(row: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -306,7 +311,7 @@ def single_windows(rows: DataFrame) -> DataFrame:
                     k1, k2 = span_ids(levels, at, size, 128), span_ids(second, at, size, 128)
                     yield probes(k1, k2, doc[row[here]], part[row[here]], window[here], later=False)
 
-    return rows.select("doc", "part", "doc_id", "packed", "refined").mapInArrow(run, ROWS)
+    return rows.select(*NAME, "doc_id", "packed", "refined").mapInArrow(run, ROWS)
 
 
 def removed(size: int, cells_: list[int] | None, singles: list[int] | None) -> np.ndarray | None:
@@ -326,9 +331,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     is integral or null; a null or empty text has no bytes; other columns are ignored; an empty table
     gives no rows.
     """
-    rows = identified(docs)
+    rows, key = shortly_identified(docs), NAME
     texts = packed(rows)
-    key = ["doc", "part"]
     shared = by_row(meet(grams(rows), later=False), "shared")
     refined_ = by_row(meet_cells(cells(texts.join(shared, key))), "refined")
     found = by_row(meet(single_windows(texts.join(refined_, key)), later=False), "found")
@@ -356,4 +360,4 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 at += len(texts_)
 
     whole = texts.join(refined_, key, "left").join(found, key, "left")
-    return whole.select("doc", "part", "doc_id", "packed", "refined", "found").mapInArrow(run, schema)
+    return whole.select(*NAME, "doc_id", "packed", "refined", "found").mapInArrow(run, schema)

@@ -6,7 +6,9 @@ import random
 import numpy as np
 import pytest
 
-from keyfold.llm import substrings, suffix_buckets
+from pyspark.sql import functions as F
+
+from keyfold.llm import meeting, near_dedup, substrings, suffix_buckets
 from keyfold.llm.common import Words, run_ids
 from tests.llm.tables import SCHEMA, counted, kept_words, messy, messy_rows, prose, removed_bytes, split
 
@@ -127,3 +129,28 @@ def test_empty_table(spark):
     assert substrings.without_repeats(empty).count() == 0 and suffix_buckets.without_repeats(empty).count() == 0
     with pytest.raises(ValueError):
         substrings.without_repeats(empty, window=31)
+
+
+def test_rows_without_an_id_are_told_apart_by_more_than_a_short_hash(spark):
+    """Two unlike texts of 60 words with the same 32-bit hash: what stands elsewhere of one takes nothing from the other."""
+    word = "substr(sha2(concat(id, ' ', i), 256), 1, 8)"
+    texts = spark.range(300_000).selectExpr(f"array_join(transform(sequence(1, 60), i -> {word}), ' ') AS text")
+    pair = texts.groupBy(F.hash("text")).agg(F.collect_list("text").alias("texts")).filter("size(texts) > 1").first()
+    a, b = sorted(pair["texts"])[:2]
+    rows = [(None, a, None, None, None), (None, b, None, None, None), (1, a + " tail", None, None, None)]
+    # the same with ids that rows share
+    for docs in (messy(spark, rows=rows), messy(spark, rows=[(7, *r[1:]) if r[0] is None else r for r in rows])):
+        by_bytes = {(r.n_bytes, r.n_removed) for r in suffix_buckets.without_repeats(docs).collect()}
+        assert by_bytes == {(len(a), len(a)), (len(b), 0), (len(a) + 5, len(a))}
+        by_words = sorted((r.n_words, r.n_removed) for r in substrings.without_repeats(docs).collect())
+        assert by_words == [(60, 0), (60, 60), (61, 0)]
+    kept = near_dedup.without_near_copies(messy(spark, rows=rows[:2]))
+    assert sorted(r.text for r in kept.collect()) == [a, b]
+
+
+def test_ids_of_their_own_need_no_bits_of_the_text(spark):
+    rows = [(i, f"text {i}", None, None, None) for i in range(50)] + [(7, "again", None, None, None), (None, "none", None, None, None)]
+    found = meeting.shortly_identified(messy(spark, rows=rows)).collect()
+    assert len(found) == 52
+    assert all((r.part, r.more) == (0, 0) for r in found if r.doc_id not in (7, None))
+    assert all(r.part and r.more for r in found if r.doc_id in (7, None))
