@@ -16,7 +16,7 @@ GIVEN = "/root/testdata/sf0.001"
 
 
 def test_one_query_for_each_operator():
-    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 14)) and set(ORACLES) <= set(QUERIES)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "exact_dedup", "near_dedup", "mixing", "packing"]
 
 
