@@ -82,7 +82,7 @@ def test_manifest(spark):
     assert merkle.document_manifest(messy(spark, rows=[])).collect() == []
 
 
-@pytest.mark.parametrize("sizes", [(1,), (16,), (5, 40, 0, 211, 1), (256,), (300, 4000, 20)])
+@pytest.mark.parametrize("sizes", [(1,), (5, 11, 0, 240), (300, 4000, 20)])
 def test_witnesses_grow_with_appends(spark, tmp_path, sizes):
     """Blocks of one level, so that few leaves make many heights; the folder is opened anew for each append."""
     leaves = {"a": [], "b": []}
