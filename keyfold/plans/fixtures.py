@@ -85,4 +85,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def message_log(spark: SparkSession, sf_dir: str, columns: list[str] = BEHAVIOR_COLUMNS) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
-    return spread(events, spark.sparkContext.defaultParallelism, "event_id").selectExpr(*columns)
+    return spread(events, spark.sparkContext.defaultParallelism, "event_id", ranges=True).selectExpr(*columns)

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MESSAGE_SCHEMA = "topic string, part int, pos bigint, ts timestamp, value string"
+# Rows a task parses. Splits tell little of them: a row of a column file may be a few bytes, and a row group is never split.
+TASK_ROWS = 100_000
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
@@ -68,7 +70,11 @@ def trigger(interval_seconds: float | None) -> dict:
     return {"processingTime": f"{interval_seconds} seconds"}
 
 
-def spread(rows: DataFrame, slots: int, *keys: str) -> DataFrame:
-    """Spreads a scan that has fewer splits than the cluster has ``slots``, for parsing is CPU-bound. A larger input is left as
-    it was split: no shuffle stands between the scan and the parse."""
-    return rows if rows.rdd.getNumPartitions() >= slots else rows.repartition(slots, *keys)
+def spread(rows: DataFrame, slots: int, *keys: str, ranges: bool = False) -> DataFrame:
+    """Spreads a scan over as many tasks as the cluster has ``slots``, for parsing is CPU-bound, and over more where a task would get above
+    ``TASK_ROWS`` rows; files count these in their footers. An input with more splits than that is left as it was split: no shuffle
+    stands between the scan and the parse. With ``ranges`` rows that are near each other in ``keys`` stay so."""
+    tasks = max(slots, math.ceil(rows.count() / TASK_ROWS))
+    if rows.rdd.getNumPartitions() >= tasks:
+        return rows
+    return rows.repartitionByRange(tasks, *keys) if ranges else rows.repartition(tasks, *keys)

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from keyfold.__main__ import main
 from keyfold.operators import deep_merge, lookup, merge, messages, progress, signals
+from keyfold.plans import fixtures
 from keyfold.plans.queries import QUERIES
+from keyfold.sources import message_log
 from keyfold.sources.message_log import read_log, stream_log
 from keyfold.streaming import jobs
 from keyfold.streaming.tables import DIRECT, DocumentStore
@@ -282,3 +284,19 @@ def test_a_large_log_is_parsed_as_it_was_split(spark, tmp_path):
             assert plans["large"].count("Exchange hashpartitioning") == exchanges
     finally:
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_few_splits_of_many_rows_are_spread_by_rows(spark, tmp_path, monkeypatch):
+    """A file of one row group lies in one split, however many splits the scan has."""
+    slots = spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(message_log, "TASK_ROWS", 500, raising=False)
+    rows = spark.range(10_000).selectExpr("id AS event_id", "timestamp_seconds(id) AS ts", "id % 9 AS user_id", "'click' AS event_type")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    size = sum(f.stat().st_size for f in (tmp_path / "events.parquet").glob("part-*"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size // (2 * slots)))
+    try:
+        log = fixtures.message_log(spark, str(tmp_path))
+        held = [r["count"] for r in log.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sum(held) == 10_000 and max(held) <= 1_000
