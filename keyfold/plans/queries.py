@@ -35,6 +35,11 @@ def _slots(spark: SparkSession) -> int:
     return spark.sparkContext.defaultParallelism
 
 
+def _append(log: DataFrame, path: str) -> None:
+    """Adds messages to a log that a job streams, a file a slot at most: the job cuts its batches itself."""
+    log.coalesce(_slots(log.sparkSession)).write.mode("append").parquet(path)
+
+
 def documents_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _documents(spark, sf_dir).select("id", "part", "pos", "value")
 
@@ -160,7 +165,7 @@ def bulk_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     bulk.register(spark)
     root = scratch_path(spark, "bulk")
     sink = bulk.bulk_sink({"transport": "keyfold.streaming.bulk:FileTransport", "path": f"{root}/sent"})
-    message_log(spark, sf_dir).write.parquet(f"{root}/log")
+    _append(message_log(spark, sf_dir), f"{root}/log")
     job = jobs.document_job(jobs.JobConfig(f"{root}/tables", PREFIX, GROUP, sinks=(sink,)))
     jobs.start(stream_log(spark, f"{root}/log"), job, f"{root}/checkpoint").awaitTermination()
     written = spark.read.schema("id string, doc string").json(f"{root}/sent/bulk-*.jsonl")
@@ -340,7 +345,7 @@ def _streamed(
     for number in range(PIECES):
         life = number * checkpoints // PIECES
         wanted = piece.between(number - 1, number) if replays else piece == number
-        log.filter(wanted).write.mode("append").parquet(f"{root}/log{life}")
+        _append(log.filter(wanted), f"{root}/log{life}")
         stream = stream_log(spark, f"{root}/log{life}")
         stream = jobs.without_replays(stream, window) if window else stream
         jobs.start(stream, job(config), f"{root}/checkpoint{life}").awaitTermination()
@@ -372,7 +377,7 @@ def stream_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     config = jobs.JobConfig(f"{root}/tables", PREFIX, GROUP, sinks=(fails,), compact_every=2, buckets=4, committed=True)
     for number in range(PIECES):
-        log.filter(piece == number).write.mode("append").parquet(f"{root}/log")
+        _append(log.filter(piece == number), f"{root}/log")
         job = jobs.start(stream_log(spark, f"{root}/log"), jobs.document_job(config), f"{root}/checkpoint")
         try:
             job.awaitTermination()
@@ -397,7 +402,7 @@ def stream_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream")
     log, piece = message_log(spark, sf_dir), _piece(spark, sf_dir)
     for number in range(PIECES):
-        log.filter(piece == number).write.mode("append").parquet(f"{root}/log")
+        _append(log.filter(piece == number), f"{root}/log")
     config = jobs.JobConfig(f"{root}/tables", PREFIX, GROUP)
     stream = stream_log(spark, f"{root}/log", max_files_per_trigger=2 * _slots(spark))
     jobs.start(stream, jobs.profile_job(config), f"{root}/checkpoint").awaitTermination()

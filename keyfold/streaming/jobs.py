@@ -37,6 +37,14 @@ OUTCOME_SCHEMA = (
 )
 # Set by Spark for the jobs of a stream: a query keeps its id as long as its checkpoint lives.
 _QUERY_ID = "sql.streaming.queryId"
+# So much of a batch, as a shuffle holds it, is parsed by one task and cached in one piece, which takes ten times the room or more.
+# Without adaptive execution there are as many pieces as ``spark.sql.shuffle.partitions`` says.
+PARSE_BYTES = "8MB"
+# Without the second a cache has the partitions of the shuffle, however little is in them.
+_PIECES = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": PARSE_BYTES,
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
+}
 
 
 @dataclass(frozen=True)
@@ -156,6 +164,19 @@ def _states(docs: DataFrame, config: JobConfig) -> DataFrame:
     return state_rows(docs, config.null_policy, config.order, config.nested)
 
 
+@contextmanager
+def _in_pieces(spark: SparkSession) -> Iterator[None]:
+    """What is cached and computed meanwhile is cut by ``_PIECES``."""
+    before = {name: spark.conf.get(name) for name in _PIECES}
+    try:
+        for name, value in _PIECES.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def _batch_function(
     config: JobConfig, to_states: Callable[[DataFrame], DataFrame], with_signals: bool
 ) -> BatchFunction:
@@ -170,7 +191,10 @@ def _batch_function(
         if not own_run:
             raise RuntimeError("a job runs as a streaming query; write single batches with the store's write")
         tables = JobTables(spark, config)
-        parsed = messages.parse_messages(batch, config.unquoted_names).persist()
+        # however few splits the source has: its size shows in the shuffle only, as the batch is read once
+        even = batch.hint("rebalance", "part", "pos")
+        with _in_pieces(spark):
+            parsed = messages.parse_messages(even, config.unquoted_names).persist()
         try:
             with tables.batch(own_run, batch_id) as fresh:
                 if fresh:
@@ -187,7 +211,8 @@ def _batch_function(
         else:
             reasons = {"profile": profiles.profile_reason()}
         # one row per topic partition: counts and positions; computing it fills the cache in parallel
-        counted = batch_metrics(parsed, reasons, ["topic", "part"], F.max("pos").alias("last_pos")).collect()
+        with _in_pieces(spark):
+            counted = batch_metrics(parsed, reasons, ["topic", "part"], F.max("pos").alias("last_pos")).collect()
         if not counted:
             return
         totals = [sum(row[name] for row in counted) for name in COUNTS]

@@ -300,3 +300,27 @@ def test_few_splits_of_many_rows_are_spread_by_rows(spark, tmp_path, monkeypatch
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert sum(held) == 10_000 and max(held) <= 1_000
+
+
+def test_a_batch_of_one_split_is_cached_in_pieces(spark, log, tmp_path, monkeypatch):
+    rows = spark.range(20_000).selectExpr(
+        "'t' AS topic", "0 AS part", "id AS pos", "timestamp_seconds(id) AS ts", """concat('{"id":"u', id, '"}') AS value"""
+    )
+    rows.coalesce(1).write.parquet(f"{tmp_path}/log")
+    pieces = getattr(jobs, "_PIECES", {})
+    monkeypatch.setitem(pieces, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+    monkeypatch.setitem(pieces, "spark.sql.adaptive.coalescePartitions.minPartitionSize", "1KB")
+    held, metrics = [], jobs.batch_metrics
+
+    def looked_at(parsed, *more):
+        held.extend(r["count"] for r in parsed.groupBy(F.spark_partition_id()).count().collect())
+        return metrics(parsed, *more)
+
+    monkeypatch.setattr(jobs, "batch_metrics", looked_at)
+    tables = run(spark, jobs.document_job, f"{tmp_path}/log", tmp_path)
+    assert sum(held) == tables.store.documents().count() == 20_000 and max(held) <= 10_000
+    # a small batch is not cut
+    held.clear()
+    log('{"id":"a"}', '{"id":"b"}').write.parquet(f"{tmp_path}/small")
+    run(spark, jobs.document_job, f"{tmp_path}/small", tmp_path / "two")
+    assert sum(held) == 2 and len(held) <= 2
