@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +41,8 @@ SKETCH_SIMILARITY = 0.64
 SMALL_BUCKET = 64
 # Shingles are counted by their hash modulo this; the counts order them, and any order gives the same pairs.
 SLOTS = 1 << 20
+# Slots whose counts travel together.
+BLOCK = 1 << 10
 # A shingle that more texts are found by is joined in pieces of about so many.
 CROWD = 1024
 
@@ -284,8 +287,8 @@ def _buckets(nodes: DataFrame) -> DataFrame:
     return stored(crowded.join(shares, "row").select("key", "row", "size", "shares"), "buckets")
 
 
-def _links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Verified links that connect what is linked, ``a, b``."""
+def _linked(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``node, root`` of the components that verified links make; a node without links may be missing."""
     crowded = _buckets(nodes)
     places = crowded.select("row").distinct().join(nodes.select("row", *NAME), "row")
     lower = identified(docs).withColumn("text", F.lower("text"))
@@ -295,49 +298,72 @@ def _links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     most = F.max_by("row", F.struct("shares", "row")).alias("hub")
     hubs = crowded.groupBy("key").agg(most).withColumn("hub_label", F.col("hub"))
     tried = stored(_alike(_against_hub(crowded.withColumn("label", F.col("row")), hubs), nodes), "pairs")
-    links = _closest_first(tried, None, texts)
+    labels = _closest_first(tried, None, texts)
     # buckets that still hold several components: small ones are compared across them, large ones joined
-    inside = _labelled(crowded, "row", components(links), "label")
+    inside = _labelled(crowded, "row", labels, "label")
     mixed = inside.groupBy("key").agg((F.min("label") != F.max("label")).alias("mixed")).filter("mixed")
     inside = stored(inside.join(mixed.select("key"), "key"), "mixed")
     across = _across(inside.filter(F.col("size") <= SMALL_BUCKET).join(nodes.select("row", "n", *PARITY), "row"))
     large = inside.filter(F.col("size") > SMALL_BUCKET).select("row", "label").distinct()
     joined = _sharing_rare(stored(texts.join(large, "row"), "large"))
     pairs = across.unionByName(joined).distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti")
-    return _closest_first(stored(_alike(pairs, nodes), "pairs"), links, texts)
+    return _closest_first(stored(_alike(pairs, nodes), "pairs"), labels, texts)
 
 
-def _closest_first(tried: DataFrame, links: DataFrame | None, texts: DataFrame) -> DataFrame:
-    """``links`` and those among ``tried`` (``a, b, likeness``) that connect what it links: the most similar
+def _closest_first(tried: DataFrame, labels: DataFrame | None, texts: DataFrame) -> DataFrame:
+    """The components ``labels`` joined by the similar pairs among ``tried`` (``a, b, likeness``): the most similar
     partner of each first, then only what that leaves apart."""
-    closest = [
-        tried.groupBy(F.col(of).alias("of")).agg(F.max_by(other, F.struct("likeness", other)).alias("other"))
-        for of, other in (("a", "b"), ("b", "a"))
+    sides = [
+        tried.select(F.lit(side).alias("side"), F.col(of).alias("of"), F.col(other).alias("other"), "likeness")
+        for side, of, other in ((0, "a", "b"), (1, "b", "a"))
     ]
-    first = stored(closest[0].unionByName(closest[1]).select(*_pair("of", "other")).distinct(), "pairs")
-    found = stored(_verified(first, texts), "links")
-    links = found if links is None else links.unionByName(found)
+    closest = sides[0].unionByName(sides[1]).groupBy("side", "of").agg(F.max_by("other", F.struct("likeness", "other")).alias("other"))
+    first = stored(closest.select(*_pair("of", "other")).distinct(), "pairs")
+    labels = components(stored(_verified(first, texts), "links"), labels)
     rest = tried.select("a", "b").join(first, ["a", "b"], "left_anti")
-    return links.unionByName(_confirmed(rest, components(links), texts))
+    return components(_confirmed(rest, labels, texts), labels)
 
 
 def _shingle_counts(texts: DataFrame) -> np.ndarray:
-    """How many of ``texts`` hold a shingle, by the slot of its hash."""
+    """How many of ``texts`` hold a shingle, by the slot of its hash. What a task has counted goes by blocks of slots, so it
+    is ``SLOTS / BLOCK`` rows at most, however many texts it read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SLOTS, np.int64)
         for batch in batches:
             for _, some in _unpacked_slices(batch):
                 counts += np.bincount((weighted_shingles(some)[1] % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
-        slot = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(counts[slot])], names=["slot", "n"])
+        yield _blocks(counts)
 
-    found = texts.select("packed").mapInArrow(run, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    def added(blocks: pa.Table) -> pa.Table:
+        total = sum(_counts(x) for x in blocks.column("counts").to_pylist())
+        return pa.table({"block": blocks.column("block")[:1], "counts": pa.array([_packed_counts(total)], pa.binary())})
+
+    schema = "block bigint, counts binary"
+    found = texts.select("packed").mapInArrow(run, schema).groupBy("block").applyInArrow(added, schema).toArrow()
     out = np.zeros(SLOTS, np.int64)
-    out[found.column("slot").to_numpy()] = found.column("n").to_numpy()
+    for block, counts in zip(found.column("block").to_pylist(), found.column("counts").to_pylist()):
+        out[block * BLOCK : (block + 1) * BLOCK] = _counts(counts)
     return out
 
 
+def _blocks(counts: np.ndarray) -> pa.RecordBatch:
+    """``block, counts`` of the blocks in which something was counted."""
+    rows = counts.reshape(-1, BLOCK)
+    filled = np.flatnonzero(rows.any(axis=1))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(filled), pa.array([_packed_counts(rows[i]) for i in filled], pa.binary())], names=["block", "counts"]
+    )
+
+
+def _packed_counts(counts: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(counts.astype("<i8").tobytes())
+
+
+def _counts(packed: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), "<i8")
+
+
 def _unpacked_slices(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
     """The texts of a batch, some rows at a time, and the number of the first."""
     column = batch.column("packed")
@@ -443,7 +469,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     copies = rows.groupBy("digest").agg(F.min(F.struct("doc", "row"))["row"].alias("leader"))
     copies = stored(copies, "copies")
     nodes = stored(rows.join(copies.select("leader"), F.col("row") == F.col("leader"), "left_semi"), "nodes")
-    labels = components(_links(nodes, docs))
+    labels = _linked(nodes, docs)
     named = _labelled(rows.select("row", *NAME, "doc_id", "digest").join(copies, "digest"), "leader", labels, "label")
     named = stored(named.select("row", *NAME, "doc_id", "label"), "labelled")
     groups = named.groupBy("label").agg(

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import sys
 
 import numpy as np
 import pytest
@@ -168,6 +169,30 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def test_components_go_on_from_what_is_known(spark, monkeypatch):
+    def linked(*pairs):
+        return spark.createDataFrame(pairs, "a bigint, b bigint") if pairs else spark.createDataFrame([], "a bigint, b bigint")
+
+    first = [(5, 6), (6, 7), (10, 11), (20, 21)]
+    known = components(linked(*first))
+    for new in ([], [(6, 7), (21, 20)], [(7, 10), (11, 3), (30, 31)], [(2, 9), (9, 8)]):
+        assert counted(components(linked(*new), known).collect()) == counted(components(linked(*first, *new)).collect())
+    # what is a star as it stands is written once, and again with its roots
+    module, written = sys.modules[components.__module__], []
+    monkeypatch.setattr(module, "stored", lambda rows, name, write=module.stored: written.append(name) or write(rows, name))
+    assert components(linked(*[(100, 101 + i) for i in range(9)])).count() == 10
+    assert written == ["links", "labels"]
+
+
+def test_shingles_are_counted_in_few_rows(spark):
+    texts = [prose(700 + i % 250, 60) for i in range(300)]
+    rows = spark.createDataFrame([(zstandard.ZstdCompressor().compress(t.encode()),) for t in texts], "packed binary")
+    expected = np.bincount((near_dedup.weighted_shingles([t.encode() for t in texts])[1] % np.uint64(near_dedup.SLOTS)).astype(int), minlength=near_dedup.SLOTS)
+    assert (near_dedup._shingle_counts(rows.repartition(3)) == expected).all() and expected.sum() > 10_000
+    # the rows of a task do not follow its texts
+    assert near_dedup._blocks(expected).num_rows <= near_dedup.SLOTS // near_dedup.BLOCK < np.count_nonzero(expected)
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert near_dedup.near_groups(empty).count() == 0 and near_dedup.without_near_copies(empty).count() == 0
