@@ -20,6 +20,8 @@ from keyfold.llm.common import slices
 PART_BYTES = 1 << 20
 KEPT_WORDS, KEPT_IDS = 1 << 19, 1 << 22
 IDLE_WORDS = 1 << 17  # kept from task to task
+# New words are encoded so many at once, with a sign between them that hardly any text has.
+GROUP, SIGN = 256, "\x01"
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -42,6 +44,9 @@ class WordTokenizer:
         added = self.tokenizer.get_added_tokens_decoder()
         self.added = {token.content.encode(): b" \xff%d " % number for number, token in added.items()}
         self.literals = re.compile(b"|".join(re.escape(x) for x in sorted(self.added, key=len, reverse=True)) or b"(?!)")
+        # its id, if it has one to itself
+        ids, other = (self.tokenizer.encode(x, add_special_tokens=False).ids for x in (SIGN, "\x02"))
+        self.sign = ids[0] if len(ids) == 1 and ids != other else None
         # a word not met before gets the next number, inside the dictionary's own lookup
         self.slots: defaultdict[bytes, int] = defaultdict(count().__next__)
         self.known = 0
@@ -82,18 +87,33 @@ class WordTokenizer:
         if first == last:
             return
         new = list(islice(reversed(self.slots), last - first))[::-1]
-        plain = ["" if w.startswith(b"\xff") else w.decode() for w in new]
-        found = self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)
-        ids = [x.ids if text else [int(w[1:])] for w, text, x in zip(new, plain, found)]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        end = self.used + int(lengths.sum())
+        ids, lengths = zip(*(x for at in range(0, len(new), GROUP * GROUP) for x in self._encoded(new[at : at + GROUP * GROUP])))
+        ids, lengths = np.concatenate(ids), np.concatenate(lengths)
+        end = self.used + len(ids)
         self.starts, self.lengths = _room(self.starts, last), _room(self.lengths, last)
         self.pool = _room(self.pool, end)
         self.starts[first:last] = self.used + np.cumsum(lengths) - lengths
         self.lengths[first:last] = lengths
-        self.pool[self.used : end] = np.fromiter(chain.from_iterable(ids), np.uint32, end - self.used)
+        self.pool[self.used : end] = ids
         self.known, self.used = last, end
 
+    def _encoded(self, words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The ids of each :data:`GROUP` of words in a row, and how many each word has."""
+        groups = [words[at : at + GROUP] for at in range(0, len(words), GROUP)]
+        # the literals of added tokens are no UTF-8
+        texts = [f" {SIGN} ".encode().join(g).decode(errors="replace") for g in groups]
+        for group, found in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(found.ids, np.uint32)
+            signs = np.flatnonzero(ids == (-1 if self.sign is None else self.sign))
+            if len(signs) == len(group) - 1 and not any(w.startswith(b"\xff") for w in group):
+                yield np.delete(ids, signs), np.diff(signs, prepend=-1, append=len(ids)) - 1
+            else:
+                each = [[int(w[1:])] if w.startswith(b"\xff") else self._one(w) for w in group]
+                yield np.array(list(chain.from_iterable(each)), np.uint32), np.array([len(x) for x in each])
+
+    def _one(self, word: bytes) -> list[int]:
+        return self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         """Ids of each text in UTF-8."""
         for start, end in slices(np.array([len(t) for t in texts]), PART_BYTES):

@@ -41,6 +41,31 @@ def test_literals_of_added_tokens_are_these_tokens(texts):
     assert tokenizer.counts(encoded).tolist() == [len(x) for x in wanted]
 
 
+def test_new_words_are_encoded_many_at_once(monkeypatch):
+    class Counting:
+        def __init__(self, inner):
+            self.inner, self.handed = inner, 0
+
+        def encode(self, *args, **named):
+            self.handed += 1
+            return self.inner.encode(*args, **named)
+
+        def encode_batch_fast(self, texts, **named):
+            self.handed += len(texts)
+            return self.inner.encode_batch_fast(texts, **named)
+
+    plain = " ".join(f"word{i}x é{i}" for i in range(2000))
+    # the sign itself, signs in a row and inside words, and words without ids
+    odd = "a\x01b \x01 \x01\x01 x \x02 \x00 a\x00b \u0301x <|endoftext|>"
+    for group in (tokens.GROUP, 1, 3):
+        monkeypatch.setattr(tokens, "GROUP", group)
+        tokenizer = tokens.WordTokenizer(tokens.vocabulary_path())
+        tokenizer.tokenizer = counting = Counting(tokenizer.tokenizer)
+        for text in (plain, odd, ""):
+            assert [x.tolist() for x in tokenizer.encode([text.encode()])] == [LIBRARY.encode(text, add_special_tokens=False).ids]
+            assert text != plain or group == 1 or counting.handed <= 4000 // group + 1
+
+
 def test_long_texts_and_a_full_cache(monkeypatch):
     monkeypatch.setattr(tokens, "KEPT_WORDS", 50)
     monkeypatch.setattr(tokens, "PART_BYTES", 64)
