@@ -39,7 +39,7 @@ OUTCOME_SCHEMA = (
 _QUERY_ID = "sql.streaming.queryId"
 # So much of a batch, as a shuffle holds it, is parsed by one task and cached in one piece, which takes ten times the room or more.
 # Without adaptive execution there are as many pieces as ``spark.sql.shuffle.partitions`` says.
-PARSE_BYTES = "8MB"
+PARSE_BYTES = "2MB"
 # Without the second a cache has the partitions of the shuffle, however little is in them.
 _PIECES = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": PARSE_BYTES,

@@ -324,3 +324,22 @@ def test_a_batch_of_one_split_is_cached_in_pieces(spark, log, tmp_path, monkeypa
     log('{"id":"a"}', '{"id":"b"}').write.parquet(f"{tmp_path}/small")
     run(spark, jobs.document_job, f"{tmp_path}/small", tmp_path / "two")
     assert sum(held) == 2 and len(held) <= 2
+
+
+def test_a_piece_of_a_batch_is_a_few_megabytes(spark, tmp_path, monkeypatch):
+    text = F.concat(*[F.sha2(F.concat(F.col("id").cast("string"), F.lit(f"x{k}")), 512) for k in range(18)])
+    value = F.concat(F.lit('{"id":"u'), F.col("id").cast("string"), F.lit('","t":"'), text, F.lit('"}'))
+    rows = spark.range(20_000).select(
+        F.lit("t").alias("topic"), F.lit(0).alias("part"), F.col("id").alias("pos"), F.timestamp_seconds("id").alias("ts"), value.alias("value")
+    )
+    rows.repartition(16).write.parquet(f"{tmp_path}/log")
+    held, metrics = [], jobs.batch_metrics
+
+    def looked_at(parsed, *more):
+        held.extend(r["count"] for r in parsed.groupBy(F.spark_partition_id()).count().collect())
+        return metrics(parsed, *more)
+
+    monkeypatch.setattr(jobs, "batch_metrics", looked_at)
+    run(spark, jobs.document_job, f"{tmp_path}/log", tmp_path)
+    # 2.3 KB a message, none of which compresses well
+    assert sum(held) == 20_000 and max(held) <= 2_000
